@@ -2,6 +2,7 @@
 
 from civicpanel.catalogue import (  # noqa: F401
     source_queries,
+    territory_queries,
 )
 from civicpanel.catalogue.registry import ORACLES, QUERIES
 
