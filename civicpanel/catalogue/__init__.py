@@ -1,6 +1,7 @@
 """The query catalogue; importing it registers every query."""
 
 from civicpanel.catalogue import (  # noqa: F401
+    aggregate_queries,
     source_queries,
     territory_queries,
 )
