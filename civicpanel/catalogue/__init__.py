@@ -2,6 +2,7 @@
 
 from civicpanel.catalogue import (  # noqa: F401
     aggregate_queries,
+    report_queries,
     source_queries,
     territory_queries,
 )

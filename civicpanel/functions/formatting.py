@@ -67,7 +67,7 @@ def fmt_mil(c: Column) -> Column:
 
 
 def fmt_general(c: Column) -> Column:
-    """Six significant digits without trailing zeros, decimal comma.
+    """Six significant digits without trailing zeros, decimal comma; ties to even.
 
     Values outside ``1e-4 .. 1e6`` are written with an exponent.
     """
@@ -75,12 +75,19 @@ def fmt_general(c: Column) -> Column:
     scientific = F.format_string("%.5e", value)
     mantissa = F.substring_index(scientific, "e", 1)
     exponent = F.substring_index(scientific, "e", -1)
+    power = exponent.try_cast("int")
+    exact = value.try_cast("decimal(38,18)")
     trailing = r"\.?0+\z"
-    fixed = F.regexp_replace(scientific.try_cast("decimal(38,10)").cast("string"), trailing, "")
+    fixed = F.coalesce(
+        *[
+            F.when(power == digit, F.bround(exact, 5 - digit).cast("decimal(38,10)"))
+            for digit in range(-4, 6)
+        ]
+    )
     with_exponent = F.concat(F.regexp_replace(mantissa, trailing, ""), F.lit("e"), exponent)
     text = (
         F.when(value == 0, F.lit("0"))
-        .when(exponent.try_cast("int").between(-4, 5), fixed)
+        .when(power.between(-4, 5), F.regexp_replace(fixed.cast("string"), trailing, ""))
         .otherwise(with_exponent)
     )
     return F.when(value.isNotNull(), F.translate(text, ".", ","))
