@@ -3,6 +3,7 @@
 from civicpanel.catalogue import (  # noqa: F401
     aggregate_queries,
     report_queries,
+    panel_queries,
     source_queries,
     territory_queries,
 )
