@@ -4,6 +4,7 @@ from civicpanel.catalogue import (  # noqa: F401
     aggregate_queries,
     report_queries,
     panel_queries,
+    briefing_queries,
     source_queries,
     territory_queries,
 )

@@ -22,9 +22,15 @@ def fmt_dec_br(c: Column, digits: int) -> Column:
     return F.translate(c.cast(f"decimal(38,{digits})").cast("string"), ".", ",")
 
 
+def fmt_trim_br(c: Column, digits: int) -> Column:
+    """At most ``digits`` decimals, without trailing zeros, decimal comma."""
+    text = c.cast(f"decimal(38,{digits})").cast("string")
+    return F.translate(F.regexp_replace(text, r"\.?0+\z", ""), ".", ",")
+
+
 def scaled(c: Column, power: int) -> Column:
-    """``c`` divided by ``10 ** power``, exactly when ``c`` is a decimal."""
-    return c * F.lit("0." + "0" * (power - 1) + "1").cast(f"decimal({power},{power})")
+    """``c``, read with at most four decimals, divided exactly by ``10 ** power``."""
+    return c.cast("decimal(24,4)") * F.lit("0." + "0" * (power - 1) + "1").cast(f"decimal({power},{power})")
 
 
 def ratio(numerator: Column, denominator: Column, digits: int, factor: int = 100) -> Column:

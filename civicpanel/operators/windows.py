@@ -57,11 +57,11 @@ def dense_id(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
 def with_total(df: DataFrame, totals: Mapping[str, Column]) -> DataFrame:
     """Grand totals beside every row, from a one-row aggregate.
 
-    An unpartitioned window would bring all rows into one task; here only the
-    one-row result travels.
+    An unpartitioned window would bring all rows into one task; here the totals
+    are a scalar subquery, whose one row reaches all tasks as a value.
     """
-    one_row = df.agg(*[value.alias(out) for out, value in totals.items()])
-    return df.crossJoin(F.broadcast(one_row))
+    one_row = df.agg(F.struct(*[value.alias(out) for out, value in totals.items()]))
+    return df.withColumn("_totals", one_row.scalar()).select("*", "_totals.*").drop("_totals")
 
 
 def share_of_total(df: DataFrame, part: str, whole: str, out: str) -> DataFrame:

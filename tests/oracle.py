@@ -70,7 +70,7 @@ def main(argv: list[str]) -> int:
     scale = os.environ.get("SCALE", "sf0.01")
     folder = f"{DATA}/{scale}"
     spark = build_session(
-        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")
