@@ -6,6 +6,8 @@ names in braces are frames, on the SQL side tables and common table expressions.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from civicpanel.catalogue import sql_text as sql
 from civicpanel.catalogue.places import PLACED_ORDERS, municipalities, placed, placed_orders, states, with_places
 from civicpanel.catalogue.registry import query
@@ -89,13 +91,11 @@ SOURCES = {
 
 
 def sources(t):
-    from pyspark.sql import functions as F
-
     items = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     frames = {
-        "po": placed_orders(t),
+        "po": t.frame("placed_orders", lambda: placed_orders(t)),
         "pc": placed(t.customer, "c_nationkey", t),
-        "ps": placed(items, "s_nationkey", t),
+        "ps": t.frame("placed_items", lambda: placed(items, "s_nationkey", t)),
         "pu": placed(t.supplier, "s_nationkey", t),
         "lineitem": t.lineitem,
         "supplier": t.supplier,
@@ -107,6 +107,16 @@ def sources(t):
     return {**built, "municipio": municipalities(t), "uf": states(t)}
 
 
+def numbers(t):
+    """The briefing numbers; the two joined facts feed many blocks and are kept meanwhile."""
+    built = sources(t)
+    shared = [t.frame(name, lambda: None).persist() for name in ("placed_orders", "placed_items")]
+    result = briefing.briefing_numbers(built, single_level_state=SINGLE)
+    for df in shared:
+        df.unpersist()
+    return result
+
+
 SOURCE_SQL = [
     PLACED_ORDERS,
     "pc AS (SELECT * FROM customer JOIN mun ON c_nationkey = n_nationkey)",
@@ -350,7 +360,7 @@ WITH_NUMBERS = [*SOURCE_SQL, *NUMBERS]
     with_places("SELECT " + ",\n".join(f"{text} AS {name}" for name, text in REPORT.items()) + " FROM nums ORDER BY 1", *WITH_NUMBERS),
 )
 def wide_report(t):
-    return briefing.briefing(sources(t), single_level_state=SINGLE)
+    return briefing.briefing_report(numbers(t))
 
 
 LONG_METRICS = ["conectadas", "pdm_estudantes", "cnca_cantinho", "pacto_previsto", "sesu_total", "uf_mat"]
@@ -368,7 +378,7 @@ LONG_METRICS = ["conectadas", "pdm_estudantes", "cnca_cantinho", "pacto_previsto
     ),
 )
 def briefing_long(t):
-    return briefing.briefing_long(briefing.briefing_numbers(sources(t), SINGLE), LONG_METRICS)
+    return briefing.briefing_long(numbers(t), LONG_METRICS)
 
 
 @query(

@@ -11,6 +11,10 @@ from civicpanel.operators.territory import build_territory
 
 def municipalities(t: Tables) -> DataFrame:
     """The municipality master table."""
+    return t.frame("municipalities", lambda: _municipalities(t))
+
+
+def _municipalities(t: Tables) -> DataFrame:
     state = F.lpad((F.col("r_regionkey") + 11).cast("string"), 2, "0")
     number = F.col("n_nationkey")
     joined = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -34,7 +38,7 @@ def municipalities(t: Tables) -> DataFrame:
 
 
 def territory(t: Tables) -> DataFrame:
-    return build_territory(municipalities(t))
+    return t.frame("territory", lambda: build_territory(municipalities(t)))
 
 
 def states(t: Tables) -> DataFrame:

@@ -18,9 +18,18 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self._folder = folder.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self.frame(
+            name, lambda: self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        )
+
+    def frame(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The frame of that name, declared once per query."""
+        if name not in self._frames:
+            self._frames[name] = build()
+        return self._frames[name]
 
 
 def query(name: str, sql: str | None = None):
