@@ -1,26 +1,39 @@
-"""Cutting lineage with a reliable checkpoint."""
+"""Cutting lineage with a table written to the shared checkpoint folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_local_folder: str | None = None
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written once to the checkpoint folder and read back from there.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder the session names for checkpoints.
 
-    The folder is the one the session names; only a local session without one
-    gets a temporary folder, because executors on other machines cannot see it.
+    Only a local session without one gets a temporary folder, because executors
+    on other machines could not see it.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get(CHECKPOINT_DIR, None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError(f"set {CHECKPOINT_DIR} to a shared folder")
-            folder = tempfile.mkdtemp(prefix="civicpanel-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a shared folder")
+    global _local_folder
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix="civicpanel-checkpoint-")
+    return _local_folder
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` computed once, written as Parquet and read back.
+
+    The copy survives lost executors, has no lineage, and its file sizes tell
+    the optimizer how large it really is.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/civicpanel-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

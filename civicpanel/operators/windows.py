@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicpanel.lineage import checkpointed
+from civicpanel.lineage import written
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -35,11 +35,11 @@ def dense_id(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
 
     The distinct rows are range-sorted over all tasks and numbered inside their
     range; only the row count of each range is summed up in one place.  The
-    sorted rows are checkpointed first, because both steps must see the same
+    sorted rows are written first, because both steps must see the same
     ranges even when a task is run again.
     """
     position = F.monotonically_increasing_id()
-    ordered = checkpointed(
+    ordered = written(
         df.select(*columns).distinct().orderBy(*columns).withColumn("_position", position)
     )
     # The id packs the partition number above 33 bits of row number.
@@ -50,6 +50,7 @@ def dense_id(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
     starts = counts.select(
         "_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
     )
+    # One row per range, so at most as many as the sort has partitions.
     numbered = ordered.withColumn("_range", ranges).join(F.broadcast(starts), "_range")
     return numbered.select(*columns, (F.col("_start") + inside + 1).alias(out))
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from civicpanel.functions import formatting as fmt
 from civicpanel.functions.brazil import STATE_NAMES
 from civicpanel.functions.text import plural, strip_suffix
-from civicpanel.lineage import checkpointed
+from civicpanel.lineage import written
 from civicpanel.operators.aggregate import (
     MONEY,
     dedupe_then_sum,
@@ -448,7 +448,7 @@ def briefing_numbers(s: Mapping[str, DataFrame], single_level_state: str = "DF")
     columns = [name for name in stacked.columns if name != UF]
     # At most one row per state: written once, so that the national totals and the
     # report do not run the blocks again.
-    states = checkpointed(stacked.groupBy(UF).agg(*[F.max(name).alias(name) for name in columns]))
+    states = written(stacked.groupBy(UF).agg(*[F.max(name).alias(name) for name in columns]))
     is_country = F.col(UF).eqNullSafe(BR)
     totals = [F.sum(F.when(~is_country, F.col(name))).alias(f"{name}_br") for name in SUMMED]
     totals += [F.max(F.when(is_country, F.col(name))).alias(f"{name}_br") for name in NATIONAL]

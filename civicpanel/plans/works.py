@@ -30,12 +30,18 @@ DATE_FORMATS = {
 }
 
 
-def at_all_levels(works: DataFrame, territory: DataFrame, code: str) -> DataFrame:
-    """Works under every territory, territories without works included."""
+def at_all_levels(
+    works: DataFrame, territory: DataFrame, code: str, codes: DataFrame | None = None
+) -> DataFrame:
+    """Works under every territory, territories without works included.
+
+    ``codes`` may give the place codes of ``works`` without its other columns.
+    """
+    codes = (works if codes is None else codes).select(code).distinct()
     place = terr.label(F.col("municipio"), F.col("uf"))
     labelled = works.withColumn("municipio_obra", place).drop("municipio", "uf")
     expanded = terr.expand_ids(labelled, code).drop(code)
-    return terr.territory_complete(territory, expanded)
+    return terr.territory_complete(territory, expanded, used=terr.expand_ids(codes, code))
 
 
 def works_panel(sources: Mapping[str, DataFrame]) -> DataFrame:
@@ -57,7 +63,7 @@ def works_panel(sources: Mapping[str, DataFrame]) -> DataFrame:
     # A work without a unit is numbered too, hence the null-safe comparison.
     same = F.col("sigla_unidade").eqNullSafe(F.col("_unidade")) & (F.col("nome_obra") == F.col("_nome"))
     numbered = typed.join(small_side(numbers), same).drop("_unidade", "_nome")
-    return at_all_levels(numbered, sources["filtro_territorio"], "ibge_cod")
+    return at_all_levels(numbered, sources["filtro_territorio"], "ibge_cod", codes=raw)
 
 
 def campus_works_panel(sources: Mapping[str, DataFrame], measures: Sequence[str]) -> DataFrame:
