@@ -34,25 +34,33 @@ def dense_id(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
     """Distinct ``columns`` numbered 1, 2, 3 ... in their sort order.
 
     The distinct rows are range-sorted over all tasks and numbered inside their
-    range; only the row count of each range is summed up in one place.  The
-    sorted rows are written first, because both steps must see the same
-    ranges even when a task is run again.
+    range.  They are written out first, because the numbering and the count of
+    each range must see the same ranges even when a task runs again.  Only the
+    row counts, one per range, meet in one place; their running sum reaches the
+    rows as an array value.
     """
-    position = F.monotonically_increasing_id()
     ordered = written(
-        df.select(*columns).distinct().orderBy(*columns).withColumn("_position", position)
+        df.select(*columns)
+        .distinct()
+        .orderBy(*columns)
+        .withColumn("_position", F.monotonically_increasing_id())
     )
     # The id packs the partition number above 33 bits of row number.
-    ranges = F.shiftright("_position", 33)
+    number = F.shiftright("_position", 33).cast("int")
     inside = F.col("_position").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = ordered.groupBy(ranges.alias("_range")).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        "_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
-    )
-    # One row per range, so at most as many as the sort has partitions.
-    numbered = ordered.withColumn("_range", ranges).join(F.broadcast(starts), "_range")
-    return numbered.select(*columns, (F.col("_start") + inside + 1).alias(out))
+    counts = ordered.groupBy(number.alias("_range")).agg(F.count(F.lit(1)).alias("_rows"))
+    in_order = Window.orderBy("_range")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    # Empty ranges have no row; the next range also fills their places.
+    places = F.col("_range") - F.coalesce(F.lag("_range").over(in_order), F.lit(-1))
+    filled = counts.select(
+        "_range",
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
+        places.alias("_places"),
+    ).select("_range", F.array_repeat("_start", F.col("_places")).alias("_starts"))
+    by_range = F.sort_array(F.collect_list(F.struct("_range", "_starts")))
+    starts = filled.agg(F.flatten(F.transform(by_range, lambda item: item["_starts"]))).scalar()
+    return ordered.select(*columns, (F.get(starts, number) + inside + 1).alias(out))
 
 
 def with_total(df: DataFrame, totals: Mapping[str, Column]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
@@ -48,8 +49,11 @@ def read_delimited_txt(
         .option("header", header)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)
         .csv(path)
     )
+    # Spark judges a line by the columns a query reads; this keeps all of them in use.
+    df = df.where(F.length(F.concat_ws("", *columns)) >= 0)
     good = df.where(df[CORRUPT].isNull()).drop(CORRUPT)
     bad = df.where(df[CORRUPT].isNotNull()).select(*columns, CORRUPT)
     return good, bad
