@@ -61,17 +61,12 @@ def join_left(t):
     "join_full",
     """SELECT coalesce(o_custkey, user_id + 100) AS id_pessoa, COUNT(o_orderkey) AS com_pedido,
               COUNT(event_id) AS com_evento, COUNT(*) AS linhas
-       FROM (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT')
-       FULL JOIN (SELECT * FROM events WHERE event_type = 'purchase') ON o_custkey = user_id + 100
+       FROM orders FULL JOIN events ON o_custkey = user_id + 100
        GROUP BY 1""",
 )
 def join_full(t):
-    left = t.orders.where("o_orderpriority = '1-URGENT'").select(
-        F.col("o_custkey").alias("id_pessoa"), "o_orderkey"
-    )
-    right = t.events.where("event_type = 'purchase'").select(
-        (F.col("user_id") + 100).alias("id_pessoa"), "event_id"
-    )
+    left = t.orders.select(F.col("o_custkey").alias("id_pessoa"), "o_orderkey")
+    right = t.events.select((F.col("user_id") + 100).alias("id_pessoa"), "event_id")
     return (
         joins.full_join(left, right, ["id_pessoa"])
         .groupBy("id_pessoa")
@@ -106,9 +101,9 @@ def join_semi(t):
        LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey % 5 <> 0 GROUP BY 1""",
 )
 def join_cast(t):
-    text_keys = t.nation.where("n_nationkey % 5 <> 0").select(
-        F.lpad(F.col("n_nationkey").cast("string"), 4, "0").alias("codigo"), "n_name"
-    )
+    number = F.col("n_nationkey")
+    code = F.when(number % 5 == 0, "s/n").otherwise(F.lpad(number.cast("string"), 4, "0"))
+    text_keys = t.nation.select(code.alias("codigo"), "n_name")
     joined = joins.join_on_cast(t.customer, text_keys, "c_nationkey", "codigo")
     return joined.groupBy("n_name").agg(count("clientes"))
 
@@ -320,28 +315,28 @@ def dedupe_sum(t):
     return agg.dedupe_then_sum(rows, "l_orderkey", "o_orderpriority", {"valor": "o_totalprice"}, "obras")
 
 
-DEFICIT_SQL = """SELECT l_suppkey, l_linenumber, CAST(SUM(p) AS BIGINT) AS pontuacao,
+DEFICIT_SQL = """SELECT l_orderkey, l_linenumber, CAST(SUM(p) AS BIGINT) AS pontuacao,
          CASE WHEN SUM(p) >= 2 THEN 'Atende a 3 itens' WHEN SUM(p) = 1 THEN 'Atende a 4 itens'
               WHEN SUM(p) = 0 THEN 'Atende a todos os itens' END AS indice_infraestrutura
-       FROM (SELECT l_suppkey, l_linenumber,
+       FROM (SELECT l_orderkey, l_linenumber,
                CASE WHEN l_returnflag = 'A' THEN NULL WHEN l_returnflag = 'R' THEN 1 ELSE 0 END
                + CASE WHEN l_quantity < 2 THEN 1 ELSE 0 END
-               + CASE WHEN l_discount > 0 THEN 0 ELSE 1 END AS p FROM lineitem WHERE l_quantity > 49 OR l_quantity < 3)
+               + CASE WHEN l_discount > 0 THEN 0 ELSE 1 END AS p FROM lineitem)
        GROUP BY 1, 2"""
 
 
 @query("deficit_score", DEFICIT_SQL)
 def deficit_score(t):
     flag = F.col("l_returnflag")
-    rows = t.lineitem.where("l_quantity > 49 OR l_quantity < 3").select(
-        "l_suppkey",
+    rows = t.lineitem.select(
+        "l_orderkey",
         "l_linenumber",
         F.when(flag == "A", F.lit(None)).when(flag == "R", 1).otherwise(0).alias("agua_inexistente"),
         F.when(F.col("l_quantity") < 2, 1).otherwise(0).alias("energia_inexistente"),
         F.when(F.col("l_discount") > 0, 1).alias("internet"),
     )
     return agg.deficit_score(
-        rows, ["l_suppkey", "l_linenumber"], ["agua_inexistente", "energia_inexistente"], ["internet"]
+        rows, ["l_orderkey", "l_linenumber"], ["agua_inexistente", "energia_inexistente"], ["internet"]
     )
 
 
@@ -357,26 +352,24 @@ def size_band(t):
     return agg.size_band(rows, ["c_custkey"], F.count(F.lit(1)), [5, 10, 15], labels, "porte")
 
 
-MAJORITY_SQL = """SELECT l_suppkey, l_linenumber, CAST(SUM(t) AS BIGINT) AS total, CAST(SUM(a) AS BIGINT) AS a,
+MAJORITY_SQL = """SELECT l_orderkey, CAST(SUM(t) AS BIGINT) AS total, CAST(SUM(a) AS BIGINT) AS a,
          CAST(SUM(n) AS BIGINT) AS n, CAST(SUM(r) AS BIGINT) AS r,
          CASE WHEN SUM(a) * 10 >= SUM(t) * 4 AND SUM(t) <> 0 THEN 'Maioria A'
               WHEN (SUM(n) + SUM(r)) * 10 >= SUM(t) * 4 AND SUM(t) <> 0 THEN 'Maioria N ou R'
               ELSE 'Sem maioria' END AS maioria
-       FROM (SELECT l_suppkey, l_linenumber, CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS t,
+       FROM (SELECT l_orderkey, CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS t,
                CASE WHEN l_quantity > 25 AND l_returnflag = 'A' THEN 1 ELSE 0 END AS a,
                CASE WHEN l_quantity > 25 AND l_returnflag = 'N' AND l_tax > 0.04 THEN 1 ELSE 0 END AS n,
-               CASE WHEN l_quantity > 25 AND l_returnflag = 'R' AND l_tax > 0.04 THEN 1 ELSE 0 END AS r FROM lineitem
-             WHERE l_discount > 0.08)
-       GROUP BY 1, 2"""
+               CASE WHEN l_quantity > 25 AND l_returnflag = 'R' AND l_tax > 0.04 THEN 1 ELSE 0 END AS r FROM lineitem)
+       GROUP BY 1"""
 
 
 @query("majority_group", MAJORITY_SQL)
 def majority_group(t):
     large, flag = F.col("l_quantity") > 25, F.col("l_returnflag")
     taxed = F.col("l_tax") > 0.04
-    rows = t.lineitem.where("l_discount > 0.08").select(
-        "l_suppkey",
-        "l_linenumber",
+    rows = t.lineitem.select(
+        "l_orderkey",
         F.when(large, 1).otherwise(0).alias("total"),
         F.when(large & (flag == "A"), 1).otherwise(0).alias("a"),
         F.when(large & (flag == "N") & taxed, 1).otherwise(0).alias("n"),
@@ -384,7 +377,7 @@ def majority_group(t):
     )
     return agg.majority_group(
         rows,
-        ["l_suppkey", "l_linenumber"],
+        ["l_orderkey"],
         {"Maioria A": ["a"], "Maioria N ou R": ["n", "r"]},
         "total",
         "maioria",

@@ -265,9 +265,9 @@ def census(t):
 
 
 def school_names(t):
-    return t.supplier.where("s_suppkey % 10 <> 0").select(
-        F.lpad(F.col("s_suppkey").cast("string"), 9, "0").alias("id_escola"), F.upper("s_name").alias("nome")
-    )
+    key = F.col("s_suppkey")
+    code = F.when(key % 10 == 0, "s/n").otherwise(F.lpad(key.cast("string"), 9, "0"))
+    return t.supplier.select(code.alias("id_escola"), F.upper("s_name").alias("nome"))
 
 
 CENSUS_SQL = (
@@ -413,10 +413,10 @@ def panel_possession(t):
 # --- adhesion ---------------------------------------------------------------------------
 
 ADHESION_FX = """rs AS (SELECT DISTINCT CASE WHEN c_custkey % 4 = 0 THEN sigla_uf ELSE id_municipio END AS codigo_acesso,
-    c_custkey % 30 AS k, c_acctbal > 0 AS ok FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE c_nationkey % 3 <> 0),
+    c_custkey % 30 AS k, c_acctbal > 0 AS ok, c_acctbal > 8000 AS grande FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE nome_uf <> 'AMERICA'),
 ad AS (SELECT DISTINCT codigo_acesso FROM rs WHERE ok),
 es AS (SELECT DISTINCT codigo_acesso, CASE k % 3 WHEN 0 THEN 'Até 100 professores' WHEN 1 THEN 'Ainda não tenho estimativa' END AS vaga
-       FROM rs WHERE k > 26 OR k % 7 = 0),
+       FROM rs WHERE grande),
 an AS (SELECT ad.codigo_acesso, vaga FROM ad LEFT JOIN es USING (codigo_acesso)),
 sp AS (SELECT id_municipio AS cod_ibge, sigla_uf, nome || ' - ' || sigla_uf AS nome, codigo_acesso, vaga, true AS cidade
        FROM mun LEFT JOIN an ON codigo_acesso = id_municipio
@@ -439,10 +439,10 @@ ADHESION_SQL = with_places(
 def adhesion_sources(t):
     key = F.col("c_custkey")
     code = F.when(key % 4 == 0, F.col("sigla_uf")).otherwise(F.col("id_municipio")).alias("codigo_acesso")
-    people = placed(t.customer.where("c_nationkey % 3 <> 0"), "c_nationkey", t)
+    people = placed(t.customer, "c_nationkey", t).where("nome_uf <> 'AMERICA'")
     k = key % 30
     answers = people.select(code, F.when(F.col("c_acctbal") > 0, True).when(k > 3, False).alias("submissao"))
-    vacancies = people.where((k > 26) | (k % 7 == 0)).select(
+    vacancies = people.where("c_acctbal > 8000").select(
         code,
         F.when(k % 3 == 0, "Até 100 professores")
         .when(k % 3 == 1, "Ainda não tenho estimativa")
@@ -464,21 +464,23 @@ def panel_adhesion(t):
 
 ADHESION_FULL_SQL = with_places(
     """SELECT ter.id, ter.municipio, ter.estado, ter.titulo, a.dia AS data_adesao,
-              CASE WHEN a.codigo IN (SELECT id_municipio FROM mun WHERE n_nationkey > 9) THEN 1 ELSE 0 END AS participa_municipio,
+              CASE WHEN a.codigo IN (SELECT id_municipio FROM mun WHERE capital_uf = 0) THEN 1 ELSE 0 END AS participa_municipio,
               CASE WHEN a.codigo IN ('AF', 'EU') THEN 1 ELSE 0 END AS participa_estado
        FROM ter LEFT JOIN (SELECT DISTINCT id_uf, sigla_uf FROM mun) u ON ter.id = u.id_uf
        LEFT JOIN (SELECT CASE WHEN c_custkey % 3 = 0 THEN sigla_uf ELSE id_municipio END AS codigo,
                          DATE '2024-01-01' + CAST(c_custkey % 90 AS INTEGER) AS dia
-                  FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE c_nationkey < 20) a
+                  FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE nome_uf <> 'ASIA') a
        ON ter.id = a.codigo OR u.sigla_uf = a.codigo"""
 )
 STATE_IDS = {"AF": "11", "AM": "12", "AS": "13", "EU": "14", "MI": "15"}
 
 
-def adhesion_codes(t):
+def adhesion_codes(t, silent=("ASIA",)):
+    """Codes of the places that answered; nobody did in the ``silent`` states."""
     key = F.col("c_custkey")
     code = F.when(key % 3 == 0, F.col("sigla_uf")).otherwise(F.col("id_municipio"))
-    return placed(t.customer.where("c_nationkey < 20"), "c_nationkey", t).select(
+    people = placed(t.customer, "c_nationkey", t).where(~F.col("nome_uf").isin(*silent))
+    return people.select(
         code.alias("codigo_acesso"),
         F.date_add(F.lit("2024-01-01").cast("date"), (key % 90).cast("int")).alias("data_envio"),
     )
@@ -486,7 +488,7 @@ def adhesion_codes(t):
 
 @query("panel_adhesion_full", ADHESION_FULL_SQL)
 def panel_adhesion_full(t):
-    approved = municipalities(t).where("n_nationkey > 9").select(F.col("id_municipio").alias("id"))
+    approved = municipalities(t).where("capital_uf = 0").select(F.col("id_municipio").alias("id"))
     sources = {
         "filtro_territorio": territory(t),
         "adesao": adhesion_codes(t),
@@ -502,13 +504,11 @@ def panel_adhesion_full(t):
                   bool_or(id_municipio IN (SELECT codigo FROM a) OR sigla_uf IN (SELECT codigo FROM a)) OVER (PARTITION BY id_uf) AS uf_participa
            FROM mun""",
         """a AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN sigla_uf ELSE id_municipio END AS codigo
-                 FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE c_nationkey < 20 AND c_nationkey % 5 <> 3)""",
+                 FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE nome_uf NOT IN ('ASIA', 'EUROPE'))""",
     ),
 )
 def panel_adhesion_inherited(t):
-    codes = adhesion_codes(t).where(
-        ~F.col("codigo_acesso").startswith("14") & (F.col("codigo_acesso") != "EU")
-    )
+    codes = adhesion_codes(t, silent=("ASIA", "EUROPE"))
     return adhesion.inherited_adhesion({"municipio": municipalities(t), "adesao": codes})
 
 
@@ -716,7 +716,9 @@ def panel_budget(t):
     "panel_universities",
     """SELECT CAST(year(l_shipdate) AS INTEGER) AS ano_censo, l_returnflag AS sigla_uf,
               CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS matriculas, COUNT(DISTINCT l_suppkey) AS instituicoes
-       FROM lineitem WHERE l_linenumber IN (1, 2) AND l_returnflag <> 'N' AND l_suppkey % 10 <> 0
+       FROM lineitem l WHERE l_linenumber IN (1, 2) AND l_returnflag <> 'N' AND EXISTS (
+         SELECT 1 FROM lineitem i WHERE i.l_quantity > 49 AND i.l_suppkey = l.l_suppkey
+           AND year(i.l_shipdate) = year(l.l_shipdate))
        GROUP BY 1, 2""",
 )
 def panel_universities(t):
@@ -730,7 +732,7 @@ def panel_universities(t):
         F.col("l_linenumber").alias("id_tipo_modalidade_ensino"),
         F.col("l_quantity").cast("bigint").alias("quantidade_matriculas"),
     )
-    institutions = t.lineitem.where("l_suppkey % 10 <> 0").select(
+    institutions = t.lineitem.where("l_quantity > 49").select(
         F.col("l_suppkey").alias("id_ies"), F.year("l_shipdate").alias("ano_censo")
     )
     return budget.universities_series({"curso": courses, "ies": institutions})

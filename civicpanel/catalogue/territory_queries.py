@@ -269,13 +269,13 @@ COMPLETE_SQL = with_places(
        FROM ter LEFT JOIN (SELECT s_suppkey, id_municipio AS id FROM s UNION ALL SELECT s_suppkey, id_uf FROM s
                            UNION ALL SELECT s_suppkey, '99' FROM s) x USING (id)
        GROUP BY ALL""",
-    "s AS (SELECT * FROM supplier JOIN mun ON s_nationkey = n_nationkey WHERE n_nationkey % 3 <> 0)",
+    "s AS (SELECT * FROM supplier JOIN mun ON s_nationkey = n_nationkey WHERE nome_uf <> 'ASIA')",
 )
 
 
 @query("territory_complete", COMPLETE_SQL)
 def territory_complete(t):
-    suppliers = placed(t.supplier.where("s_nationkey % 3 <> 0"), "s_nationkey", t)
+    suppliers = placed(t.supplier, "s_nationkey", t).where("nome_uf <> 'ASIA'")
     expanded = terr.expand_ids(suppliers.select("s_suppkey", "id_municipio"), "id_municipio")
     complete = terr.territory_complete(territory(t), expanded.drop("id_municipio"))
     return complete.groupBy("id", "municipio", "estado", "titulo").agg(
@@ -335,7 +335,7 @@ def point_coords(t):
 
 INSTITUTION_SQL = """inst AS (
   SELECT id_municipio AS id_ibge, s_name AS unidade,
-         CASE WHEN s_suppkey % 7 = 0 THEN '' WHEN s_suppkey % 7 = 1 THEN NULL
+         CASE WHEN s_suppkey % 7 = 0 THEN '' WHEN s_suppkey % 7 = 1 OR nome_uf = 'AFRICA' THEN NULL
               ELSE '-' || CAST(s_suppkey % 30 AS VARCHAR) || '.5' END AS latitude,
          '-' || CAST(s_suppkey % 60 AS VARCHAR) || '.25' AS longitude
   FROM supplier JOIN mun ON s_nationkey = n_nationkey),
@@ -348,7 +348,7 @@ def institutions(t):
     key = F.col("s_suppkey")
     latitude = (
         F.when(key % 7 == 0, "")
-        .when(key % 7 == 1, F.lit(None))
+        .when((key % 7 == 1) | (F.col("nome_uf") == "AFRICA"), F.lit(None))
         .otherwise(F.concat(F.lit("-"), (key % 30).cast("string"), F.lit(",5")))
     )
     longitude = F.concat(F.lit("-"), (key % 60).cast("string"), F.lit(",25"))
@@ -370,13 +370,13 @@ def coord_dedup(t):
     with_places(
         """SELECT c_custkey, id_municipio, latitude, longitude, coordenada FROM (
              SELECT c_custkey, id_municipio FROM customer JOIN mun ON c_nationkey = n_nationkey) c
-           LEFT JOIN coord ON id_municipio = id_ibge AND id_ibge NOT LIKE '11%'""",
+           LEFT JOIN coord ON id_municipio = id_ibge""",
         INSTITUTION_SQL,
     ),
 )
 def attach_coords(t):
     people = placed(t.customer, "c_nationkey", t).select("c_custkey", "id_municipio")
-    coordinates = terr.institution_coordinates(institutions(t).where(~F.col("id_ibge").startswith("11")))
+    coordinates = terr.institution_coordinates(institutions(t))
     return terr.attach_coordinates(people, coordinates, "id_municipio", "id_ibge", bound=territory(t))
 
 
@@ -396,13 +396,13 @@ def capital_per_state(t):
 ANSWERS_SQL = """ans AS (
   SELECT DISTINCT CASE WHEN c_custkey % 4 = 0 THEN sigla_uf ELSE id_municipio END AS codigo_acesso,
          c_mktsegment AS estimativa_vaga
-  FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE c_nationkey % 2 = 0 AND c_acctbal > 0)"""
+  FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE nome_uf <> 'EUROPE' AND c_acctbal > 0)"""
 
 
 def answers(t):
     code = F.when(F.col("c_custkey") % 4 == 0, F.col("sigla_uf")).otherwise(F.col("id_municipio"))
-    people = t.customer.where("c_nationkey % 2 = 0 AND c_acctbal > 0")
-    return placed(people, "c_nationkey", t).select(
+    people = placed(t.customer.where("c_acctbal > 0"), "c_nationkey", t).where("nome_uf <> 'EUROPE'")
+    return people.select(
         code.alias("codigo_acesso"), F.col("c_mktsegment").alias("estimativa_vaga")
     )
 
@@ -429,7 +429,7 @@ def adhesion_spine(t):
            FROM (SELECT ter.id, m.sigla_uf FROM ter LEFT JOIN (SELECT DISTINCT id_uf, sigla_uf FROM mun) m
                  ON ter.id = m.id_uf) ter
            LEFT JOIN (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN ' ' || sigla_uf ELSE id_municipio || ' ' END AS codigo
-                      FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE c_nationkey < 20) c
+                      FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE nome_uf <> 'ASIA') c
            ON ter.id = trim(c.codigo) OR ter.sigla_uf = trim(c.codigo)"""
     ),
 )
@@ -439,9 +439,8 @@ def or_key_join(t):
     code = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(" "), "sigla_uf")).otherwise(
         F.concat("id_municipio", F.lit(" "))
     )
-    right = placed(t.customer.where("c_nationkey < 20"), "c_nationkey", t).select(
-        "c_custkey", code.alias("codigo")
-    )
+    people = placed(t.customer, "c_nationkey", t).where("nome_uf <> 'ASIA'")
+    right = people.select("c_custkey", code.alias("codigo"))
     return terr.or_key_join(left, right, ["id", "sigla_uf"], "codigo", ["id"]).drop("sigla_uf")
 
 

@@ -453,15 +453,19 @@ def or_key_join(
     """Left join where any of ``left_keys`` equals ``right_key``.
 
     The distinct candidate keys of a row are exploded and joined by equality,
-    so a pair matches at most once and no nested-loop join is needed.
+    so a pair matches at most once and no nested-loop join is needed.  The left
+    rows without a partner are added, which leaves the large join an inner one:
+    a small left side is broadcast, and a hot key of a large one can be split.
     ``left_id`` identifies a left row.
     """
     trimmed = [F.trim(F.col(key)) for key in left_keys]
     candidates = F.array_distinct(F.array_compact(F.array(*trimmed)))
-    exploded = left.select(*left_id, F.explode(candidates).alias("_candidate"))
+    exploded = left.withColumn("_candidate", F.explode(candidates))
     keyed = right.withColumn("_candidate", F.trim(F.col(right_key)))
-    pairs = exploded.join(keyed, "_candidate").drop("_candidate")
-    return left.join(pairs, list(left_id), "left")
+    matched = keyed.join(small_side(exploded, left), "_candidate").drop("_candidate")
+    partnered = exploded.join(keyed.select("_candidate").distinct(), "_candidate", "left_semi")
+    lonely = left.join(partnered.select(*left_id).distinct(), list(left_id), "left_anti")
+    return matched.unionByName(lonely, allowMissingColumns=True)
 
 
 def membership_flag(
