@@ -56,10 +56,13 @@ def distinct_by_level(
     A missing state counts for the country only.
     """
     pairs = df.where(F.col(person).isNotNull()).select(state, person).distinct()
+    # Naming the count, which is never 0, keeps this filter above the pairs, so
+    # that both counts read the same shuffled pairs and the facts only once.
+    known = F.col(state).isNotNull() | (F.col(out) == 0)
     states = (
-        pairs.where(F.col(state).isNotNull())
-        .groupBy(state)
+        pairs.groupBy(state)
         .agg(F.count(F.lit(1)).alias(out))
+        .where(known)
         .withColumn("nivel", F.lit("estado"))
     )
     people = pairs.select(person).distinct().agg(F.count(F.lit(1)).alias(out))

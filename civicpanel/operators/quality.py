@@ -5,42 +5,42 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicpanel.operators.aggregate import money
 from civicpanel.operators.reshape import union_all
 from civicpanel.operators.territory import COUNTRY_ID
+from civicpanel.operators.windows import with_total
 from civicpanel.sizing import small_side
 
 
-def compare_counts(environments: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count of a table in each environment, and the gap to the first one."""
-    counts = union_all(
+def _counts(frames: Mapping[str, DataFrame], name: str) -> DataFrame:
+    """One row per frame, in the given order: its name and row count."""
+    return union_all(
         [
-            df.agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(name).alias("ambiente"), "linhas")
-            for name, df in environments.items()
+            df.agg(F.count(F.lit(1)).alias("linhas")).select(
+                F.lit(number).alias("ordem"), F.lit(key).alias(name), "linhas"
+            )
+            for number, (key, df) in enumerate(frames.items(), start=1)
         ]
     )
-    first = next(iter(environments.values())).agg(F.count(F.lit(1))).scalar()
-    return counts.withColumn("diferenca", F.col("linhas") - first)
+
+
+def compare_counts(environments: Mapping[str, DataFrame]) -> DataFrame:
+    """Row count of a table in each environment, and the gap to the first one."""
+    counts = _counts(environments, "ambiente")
+    # One row per environment.
+    first = F.first("linhas").over(Window.orderBy("ordem"))
+    return counts.withColumn("diferenca", F.col("linhas") - first).drop("ordem")
 
 
 def row_loss_guard(steps: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows after each step and the rows that the step lost or added."""
-    names = list(steps)
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("linhas")).select(
-            F.lit(number).alias("ordem"), F.lit(name).alias("etapa"), "linhas"
-        )
-        for number, (name, df) in enumerate(steps.items(), start=1)
-    ]
-    before = [None] + [steps[name].agg(F.count(F.lit(1))).scalar() for name in names[:-1]]
-    with_before = [
-        df.withColumn("perda", F.lit(0).cast("bigint") if prior is None else prior - F.col("linhas"))
-        for df, prior in zip(counts, before)
-    ]
-    return union_all(with_before)
+    """Rows after each step and the rows that the step lost (negative: added)."""
+    counts = _counts(steps, "etapa")
+    # One row per step.
+    before = F.lag("linhas").over(Window.orderBy("ordem"))
+    return counts.withColumn("perda", F.coalesce(before, F.col("linhas")) - F.col("linhas"))
 
 
 def reconcile(
@@ -100,15 +100,14 @@ def level_overlap_check(df: DataFrame, id_column: str, measure: str) -> DataFram
     levels = df.groupBy(level.alias("nivel")).agg(
         F.count(F.lit(1)).alias("linhas"), money(measure).alias("_soma")
     )
-    whole = levels.agg(F.sum("_soma").cast("double")).scalar()
-    spread = levels.agg(F.max("_soma") == F.min("_soma")).scalar()
-    return levels.select(
-        "nivel",
-        "linhas",
-        F.col("_soma").cast("double").alias("soma"),
-        whole.alias("soma_indevida"),
-        spread.alias("niveis_conferem"),
+    compared = with_total(
+        levels,
+        {
+            "soma_indevida": F.sum("_soma").cast("double"),
+            "niveis_conferem": F.max("_soma") == F.min("_soma"),
+        },
     )
+    return compared.withColumn("soma", F.col("_soma").cast("double")).drop("_soma")
 
 
 def dq_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

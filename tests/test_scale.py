@@ -85,6 +85,15 @@ def test_hot_key_survives_the_person_count(spark):
     )
     from civicpanel.operators.aggregate import distinct_by_level
 
-    result = distinct_by_level(df, "p", "s", "n")
-    assert "partial" in plan(result) or "HashAggregate" in plan(result)
+    result = distinct_by_level(df, "p", "s", "n").cache()
     assert result.where("nivel = 'pais'").first().n == 100_001
+    assert result.where("nivel = 'estado'").count() == 5
+    result.unpersist()
+
+
+@needs_data
+def test_people_are_counted_from_one_scan(spark):
+    df = QUERIES["distinct_by_level"](spark, FOLDER)
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert final.count("ReusedExchange") >= 1
