@@ -81,8 +81,8 @@ def enforce_schema_query(t):
               CASE p_size % 3 WHEN 0 THEN 'Mensal' WHEN 1 THEN 'Anual' END AS frequencia_atualizacao,
               'Estado e Município' AS particao, 'id ' || p_partkey AS nivel_observacao,
               p_brand AS fonte,
-              CASE WHEN p_size % 2 = 0 THEN 'CAPES' END AS gestora_dados,
-              'SEGAPE' AS tratamento_dados,
+              CASE WHEN p_size % 2 = 0 THEN 'Agência' END AS gestora_dados,
+              'Equipe' AS tratamento_dados,
               concat_ws(',', CASE WHEN p_size % 3 = 2 THEN 'frequencia_atualizacao' END,
                              CASE WHEN p_size % 2 = 1 THEN 'gestora_dados' END) AS campos_ausentes,
               p_size % 3 <> 2 AND p_size % 2 = 0 AS descricao_completa
@@ -95,7 +95,7 @@ def catalog_fields(t):
         .when(size % 3 == 1, " // Frequência de atualização: Anual.")
         .otherwise("")
     )
-    owner = F.when(size % 2 == 0, " // Gestora dos dados: CAPES.").otherwise(
+    owner = F.when(size % 2 == 0, " // Gestora dos dados: Agência.").otherwise(
         " // Gestora dos dados: ."
     )
     description = F.concat(
@@ -109,7 +109,7 @@ def catalog_fields(t):
         "p_brand",
         F.lit("."),
         owner,
-        F.lit(" // Tratamento dos dados: SEGAPE."),
+        F.lit(" // Tratamento dos dados: Equipe."),
     )
     described = t.part.select("p_partkey", description.alias("descricao"))
     return parse_catalog_descriptions(described, "descricao").drop("descricao")

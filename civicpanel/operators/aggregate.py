@@ -56,8 +56,8 @@ def distinct_by_level(
     A missing state counts for the country only.
     """
     pairs = df.where(F.col(person).isNotNull()).select(state, person).distinct()
-    # Naming the count, which is never 0, keeps this filter above the pairs, so
-    # that both counts read the same shuffled pairs and the facts only once.
+    # Both branches name a count that is never 0.  That keeps them above the same
+    # shuffled pairs, so the facts are read only once.
     known = F.col(state).isNotNull() | (F.col(out) == 0)
     states = (
         pairs.groupBy(state)
@@ -65,7 +65,8 @@ def distinct_by_level(
         .where(known)
         .withColumn("nivel", F.lit("estado"))
     )
-    people = pairs.select(person).distinct().agg(F.count(F.lit(1)).alias(out))
+    per_person = pairs.groupBy(person).agg(F.count(F.lit(1)).alias("_states"))
+    people = per_person.agg(F.count_if(F.col("_states") > 0).alias(out))
     nation = people.select(F.lit(country).alias(state), out, F.lit("pais").alias("nivel"))
     return states.unionByName(nation)
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicpanel.functions import conversion, text
+from civicpanel.sizing import small_side
 
 Expression = Callable[[Column], Column]
 
@@ -79,6 +80,15 @@ def fix_names(
     return df.withColumn(out or column, text.fix_names(F.col(column), exact, prefix))
 
 
+def fix_names_from_table(
+    df: DataFrame, column: str, rules: DataFrame, wrong: str, right: str, out: str | None = None
+) -> DataFrame:
+    """Corrections held in a table, one row per misspelling, for long lists of rules."""
+    lookup = rules.select(F.col(wrong).alias("_wrong"), F.col(right).alias("_right"))
+    joined = df.join(small_side(lookup), F.col(column) == F.col("_wrong"), "left")
+    return joined.withColumn(out or column, F.coalesce("_right", column)).drop("_wrong", "_right")
+
+
 def state_name_to_code(
     df: DataFrame, column: str, out: str, names: Mapping[str, str] | None = None
 ) -> DataFrame:

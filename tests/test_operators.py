@@ -20,6 +20,14 @@ def test_sensitive_columns(frame):
     assert masked == [(None, None), ("***", "***")]
 
 
+def test_name_corrections_by_code_and_by_table(frame):
+    df = frame([("Cidade de X",), ("Comboriu",), ("Y",), (None,)], "n string")
+    by_code = clean.fix_names(df, "n", {"Cidade de X": "X"}, {"Combori": "Camboriú"})
+    assert rows(by_code) == [(None,), ("Camboriú",), ("X",), ("Y",)]
+    rules = frame([("Cidade de X", "X"), ("Comboriu", "Camboriú")], "errado string, certo string")
+    assert rows(clean.fix_names_from_table(df, "n", rules, "errado", "certo")) == rows(by_code)
+
+
 def test_robust_indicator_uses_quantity_when_flag_is_empty(frame):
     df = frame([(None, 3), (None, 0), (False, 5)], "f boolean, q int")
     assert [r[0] for r in clean.robust_indicator(df, "f", "q").select("f").collect()] == [True, False, False]

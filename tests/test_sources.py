@@ -88,7 +88,7 @@ def test_literal_table(spark):
 def test_catalog_descriptions(frame):
     description = (
         "Descrição breve. // Frequência de atualização: Mensal. // Partição: Estado. // "
-        "Nível da observação: id_pessoa. // Fonte: CAPES. // Gestora dos dados: CAPES."
+        "Nível da observação: id_pessoa. // Fonte: Censo. // Gestora dos dados: Agência."
     )
     r = catalog.parse_catalog_descriptions(frame([(description,)], "d string"), "d").first()
     assert (r.resumo, r.frequencia_atualizacao, r.nivel_observacao) == ("Descrição breve", "Mensal", "id_pessoa")
