@@ -28,6 +28,20 @@ SIZE_LABELS = [
     "De 501 a 1000 matrículas",
     "Mais de 1000 matrículas",
 ]
+MAJORITIES = {
+    "branca": "Maioria de alunos brancos (≥60%)",
+    "preta_parda": "Maioria de alunos pretos ou pardos (≥60%)",
+    "amarela": "Maioria de alunos amarelos (≥60%)",
+    "indigena": "Maioria de alunos indígenas (≥60%)",
+    "nao_declarada": "Maioria sem declaração (≥60%)",
+}
+NO_MAJORITY = "Sem maioria significativa (≥60%)"
+COMMUNITY_CODE, COMMUNITY, COMMUNITY_SCHOOLS = "3", "Quilombolas", "Escolas quilombolas"
+BLACK, NOT_BLACK = "Negros (Pretos ou Pardos ≥60%)", "Não Negros"
+BLACK_SCHOOLS, WHITE_SCHOOLS, OTHER_SCHOOLS = (
+    "Escolas predominantemente negras", "Escolas predominantemente brancas", "Outros",
+)
+BLACK_PEOPLE, OTHER_PEOPLE = "Pessoas Negras e Pardas", "Outros Grupos Raciais"
 INVERSE_ITEMS = ["agua_inexistente", "esgoto_inexistente", "energia_inexistente"]
 DIRECT_ITEMS = ["internet", "local_funcionamento_predio_escolar"]
 SUMS = {
@@ -99,16 +113,16 @@ def white_share_reached() -> Column:
 
 def racial_majority() -> Column:
     """Label of the group with at least 60 % of the pupils."""
-    added = {
-        "Maioria de alunos brancos (≥60%)": F.sum("quantidade_matricula_branca"),
-        "Maioria de alunos pretos ou pardos (≥60%)": F.sum("quantidade_matricula_parda")
+    parts = {
+        MAJORITIES["branca"]: F.sum("quantidade_matricula_branca"),
+        MAJORITIES["preta_parda"]: F.sum("quantidade_matricula_parda")
         + F.sum("quantidade_matricula_preta"),
-        "Maioria de alunos amarelos (≥60%)": F.sum("quantidade_matricula_amarela"),
-        "Maioria de alunos indígenas (≥60%)": F.sum("quantidade_matricula_indigena"),
-        "Maioria sem declaração (≥60%)": F.sum("quantidade_matricula_nao_declarada"),
+        MAJORITIES["amarela"]: F.sum("quantidade_matricula_amarela"),
+        MAJORITIES["indigena"]: F.sum("quantidade_matricula_indigena"),
+        MAJORITIES["nao_declarada"]: F.sum("quantidade_matricula_nao_declarada"),
     }
     total = F.sum("quantidade_matricula_educacao_basica")
-    return agg.majority(added, total, "Sem maioria significativa (≥60%)")
+    return agg.majority(parts, total, NO_MAJORITY)
 
 
 def named(schools: DataFrame, names: DataFrame) -> DataFrame:
@@ -126,7 +140,7 @@ def infrastructure_panel(sources: Mapping[str, DataFrame]) -> DataFrame:
     """
     census = agg.latest_flag(sources["censo"].withColumn("escolarizacao", F.col("escolarizacao").cast("string")), "ano")
     special = F.col("tipo_localizacao_diferenciada")
-    community = special == "3"
+    community = special == COMMUNITY_CODE
     flags = {f"possui_{name}": condition for name, condition in {**basic_flags(), **facility_flags()}.items()}
     grouped = (
         census.where("escolarizacao = '1'")
@@ -152,17 +166,17 @@ def infrastructure_panel(sources: Mapping[str, DataFrame]) -> DataFrame:
         special.alias("cod_infraestrutura"),
         decode(special, SPECIAL_LOCATIONS, "Outros").alias("infraestrutura"),
         *flags,
-        F.when(community, "Quilombolas")
-        .when(F.col("_negra"), "Negros (Pretos ou Pardos ≥60%)")
-        .otherwise("Não Negros")
+        F.when(community, COMMUNITY)
+        .when(F.col("_negra"), BLACK)
+        .otherwise(NOT_BLACK)
         .alias("maioria_racial_60_pct"),
-        F.when(community, "Escolas quilombolas")
-        .when(F.col("_negra"), "Escolas predominantemente negras")
-        .when(F.col("_branca"), "Escolas predominantemente brancas")
-        .otherwise("Outros")
+        F.when(community, COMMUNITY_SCHOOLS)
+        .when(F.col("_negra"), BLACK_SCHOOLS)
+        .when(F.col("_branca"), WHITE_SCHOOLS)
+        .otherwise(OTHER_SCHOOLS)
         .alias("predominancia_racial_especifica"),
-        F.when(F.col("_negra"), "Pessoas Negras e Pardas")
-        .otherwise("Outros Grupos Raciais")
+        F.when(F.col("_negra"), BLACK_PEOPLE)
+        .otherwise(OTHER_PEOPLE)
         .alias("grupo_racial_dashboard"),
         *SUMS.values(),
     )
@@ -228,8 +242,8 @@ def census_policy(
     ]
     if possession:
         measures.append(
-            F.when(black_share_reached(), "Pessoas Negras e Pardas")
-            .otherwise("Outros Grupos Raciais")
+            F.when(black_share_reached(), BLACK_PEOPLE)
+            .otherwise(OTHER_PEOPLE)
             .alias("grupo_racial_dashboard")
         )
         measures += [

@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Wide reports build thousands of column expressions; recording the caller of each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
