@@ -33,6 +33,7 @@ from civicpanel.operators.report import fmt_items
 from civicpanel.operators.reshape import order_report, union_all
 from civicpanel.operators.territory import ALL, COUNTRY_ID
 from civicpanel.sizing import small_side
+from civicpanel.sources.literals import literal_table
 
 UF, BR = "sigla_uf", "BR"
 
@@ -415,7 +416,7 @@ def state_names(s: Mapping[str, DataFrame]) -> DataFrame:
         return s["uf"].select(F.col("sigla").alias(UF), F.upper("nome").alias("nome"))
     spark = s["municipio"].sparkSession
     rows = [(code, name.upper()) for code, name in STATE_NAMES.items()]
-    return spark.createDataFrame(rows, f"{UF} string, nome string")
+    return literal_table(spark, rows, f"{UF} string, nome string")
 
 
 def briefing_numbers(s: Mapping[str, DataFrame], single_level_state: str = "DF") -> DataFrame:

@@ -242,3 +242,11 @@ def test_budget_counts_owner_spending_once(frame):
     assert rows(panel, "origem", "macro_grupo_despesa", "total_ploa", "total_destaque", "total_empenhado", "total_ploa_ipca") == [
         (budget.OWN, "Pessoal", 10.0, 0.0, 0.0, 11.6), (budget.RECEIVED, "Investimento", 0.0, 12.0, 3.0, 0.0),
     ]
+
+
+def test_briefing_knows_all_states(municipio):
+    from civicpanel.plans import briefing
+
+    names = briefing.state_names({"municipio": municipio})
+    assert names.count() == 27
+    assert names.where("sigla_uf = 'SP'").first().nome == "SÃO PAULO"

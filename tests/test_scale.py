@@ -97,3 +97,12 @@ def test_people_are_counted_from_one_scan(spark):
     df.collect()
     final = plan(df).split("Initial Plan")[0]
     assert final.count("ReusedExchange") >= 1
+
+
+def test_literal_tables_are_broadcast(spark):
+    from civicpanel.sources.literals import literal_table
+
+    table = literal_table(spark, [(1, "a"), (2, None)], "k bigint, v string")
+    assert sizing.estimated_bytes(table) < 10_000
+    facts = spark.range(100_000_000).withColumnRenamed("id", "k")
+    assert "BroadcastHashJoin" in plan(facts.join(table, "k", "left"))
