@@ -4,13 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from civicpanel.functions.text import classify
 from civicpanel.operators.aggregate import MONEY, deflate, money
 from civicpanel.operators.joins import join_on_cast
 from civicpanel.operators.reshape import union_all
+from civicpanel.sources.publish import enforce_schema
+from civicpanel.sources.text import read_delimited_txt, read_json_records
+
+# Columns of the treasury tables; every attribute has an id and a name.
+ATTRIBUTES = [
+    "orgao_uge", "unidade_orcamentaria", "resultado_lei", "funcao", "subfuncao", "programa", "acao",
+    "plano_orcamentario", "fonte", "grupo_despesa", "elemento",
+]
+OWN_AMOUNTS = ["ploa", "loa", "dotacao_atualizada", "despesa_empenhada"]
+RECEIVED_AMOUNTS = ["destaque_recebido", "despesa_empenhada"]
+
+
+def treasury_schema(amounts: list[str]) -> StructType:
+    """Year, attributes as text (ids keep leading zeros), amounts and load date."""
+    schema = StructType().add("ano", "integer", False)
+    for name in ATTRIBUTES:
+        schema = schema.add(f"id_{name}", "string").add(name, "string")
+    for name in amounts:
+        schema = schema.add(name, "double")
+    return schema.add("data_ultima_atualizacao", "date")
+
+
+OWN_SCHEMA = treasury_schema(OWN_AMOUNTS)
+RECEIVED_SCHEMA = treasury_schema(RECEIVED_AMOUNTS)
+GROUP_SCHEMA = (
+    StructType()
+    .add("id_unidade_orcamentaria", "integer", False)
+    .add("unidade_orcamentaria", "string")
+    .add("grupo_unidade_orcamentaria", "string")
+    .add("data_ultima_atualizacao", "date")
+)
+
+
+def read_treasury_txt(
+    spark: SparkSession, path: str, schema: StructType, sep: str = ";", encoding: str = "ISO-8859-1"
+) -> tuple[DataFrame, DataFrame]:
+    """A treasury TXT extract with its declared types, and its malformed lines."""
+    rows, malformed = read_delimited_txt(spark, path, schema.fieldNames(), sep, encoding)
+    return enforce_schema(rows, schema), malformed
+
+
+def read_treasury_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A JSON export of quoted values with its declared types."""
+    return enforce_schema(read_json_records(spark, path, schema.fieldNames()), schema)
 
 OWN, RECEIVED = "crédito originário", "crédito recebido"
 # Spending groups and the group of groups each belongs to.

@@ -250,3 +250,22 @@ def test_briefing_knows_all_states(municipio):
     names = briefing.state_names({"municipio": municipio})
     assert names.count() == 27
     assert names.where("sigla_uf = 'SP'").first().nome == "SÃO PAULO"
+
+
+def test_treasury_extracts_are_typed(spark, tmp_path):
+    fields = budget.RECEIVED_SCHEMA.fieldNames()
+    values = ["2021", *["02101", "SENADO"] * len(budget.ATTRIBUTES), "200000.0", "", "2026-02-26"]
+    path = tmp_path / "destaque.txt"
+    path.write_text(";".join(fields) + "\n" + ";".join(values) + "\n2021;curta\n", encoding="latin-1")
+    table, malformed = budget.read_treasury_txt(spark, str(path), budget.RECEIVED_SCHEMA)
+    row = table.first()
+    assert (row.ano, row.id_unidade_orcamentaria, row.destaque_recebido) == (2021, "02101", 200000.0)
+    assert (row.despesa_empenhada, row.data_ultima_atualizacao) == (None, dt.date(2026, 2, 26))
+    assert malformed.count() == 1
+    export = tmp_path / "grupo.json"
+    export.write_text(
+        '[{"id_unidade_orcamentaria": "26435", "unidade_orcamentaria": "IF", '
+        '"grupo_unidade_orcamentaria": "Institutos", "data_ultima_atualizacao": null}]'
+    )
+    group = budget.read_treasury_json(spark, str(export), budget.GROUP_SCHEMA).first()
+    assert (group.id_unidade_orcamentaria, group.data_ultima_atualizacao) == (26435, None)
