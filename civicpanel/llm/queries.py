@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from civicpanel.llm.decontaminate import contamination
+from civicpanel.llm.language_id import identify
 from civicpanel.llm.near_dedup import near_duplicates
 from civicpanel.llm.packing import pack
 from civicpanel.llm.quality_rules import judged
 from civicpanel.llm.shards import shard_by_bytes
 from civicpanel.llm.tables import table
+from civicpanel.llm.toxicity import toxicity
 from civicpanel.llm.warc_archive import archive_pages
 
 
@@ -29,6 +32,18 @@ def op5_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shard_by_bytes(table(spark, folder, "documents"), shards=40)
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(table(spark, folder, "documents"))
+
+
 def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), width=3, percent=85)
 
@@ -41,6 +56,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_archive": op4_archive,
     "op5_shards": op5_shards,
+    "op6_decontamination": op6_decontamination,
+    "op7_toxicity": op7_toxicity,
+    "op8_language": op8_language,
     "op9_near_dedup": op9_near_dedup,
     "op10_packing": op10_packing,
 }
@@ -60,4 +78,46 @@ ORACLES: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
         FROM f
     """,
+    "op6_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), b AS (
+            SELECT item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), n AS (
+            SELECT DISTINCT least(10, len(w)) AS k FROM b WHERE len(w) > 0
+        ), r AS (
+            SELECT false AS doc, item_id AS id, len(w) AS n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM b
+            UNION ALL
+            SELECT true, doc_id, len(w), unnest(w), unnest(range(1, len(w) + 1)) FROM d
+        ), l AS (
+            SELECT doc, id, n, i, [word, lead(word, 1) OVER p, lead(word, 2) OVER p, lead(word, 3) OVER p,
+                   lead(word, 4) OVER p, lead(word, 5) OVER p, lead(word, 6) OVER p, lead(word, 7) OVER p,
+                   lead(word, 8) OVER p, lead(word, 9) OVER p] AS ahead
+            FROM r WINDOW p AS (PARTITION BY doc, id ORDER BY i)
+        ), bw AS (
+            SELECT DISTINCT id AS item_id, k, array_to_string(ahead[1:k], ' ') AS win
+            FROM (SELECT *, least(10, n) AS k FROM l WHERE NOT doc) WHERE i + k - 1 <= n
+        ), dw AS (
+            SELECT id AS doc_id, k, i, array_to_string(ahead[1:k], ' ') AS win
+            FROM l JOIN n ON doc AND i + n.k - 1 <= l.n
+        ), m AS (
+            SELECT doc_id, i, dw.k, item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.k = bw.k
+        ), h AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, i, k FROM m)) GROUP BY doc_id
+        ), t AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+    """,
 }
