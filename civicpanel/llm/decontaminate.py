@@ -81,7 +81,8 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             f"p -> sequence(greatest(0, p - {before}), least(p, size(words) - {SPAN})))))"
         ),
     )
-    spans = again.select("doc_id", "text_key", "words", F.explode("starts").alias("start"))
+    # The outer form, because the plain one filters by the size of the array below the join, where it is computed anew.
+    spans = again.select("doc_id", "text_key", "words", F.explode_outer("starts").alias("start")).where("start IS NOT NULL")
     spans = spans.select("doc_id", "text_key", "start", F.expr(window_text("start", SPAN)).alias("window"))
     found = [spans.join(windows, "window").select("doc_id", "text_key", "start", F.lit(SPAN).alias("length"), "item_id")]
 
