@@ -12,11 +12,16 @@ from civicpanel.llm.near_dedup import near_duplicates
 from civicpanel.llm.packing import pack
 from civicpanel.llm.quality_rules import judged
 from civicpanel.llm.shards import shard_by_bytes
+from civicpanel.llm.substring_dedup import repeated_paragraphs
 from civicpanel.llm.tables import table
 from civicpanel.llm.toxicity import toxicity
 from civicpanel.llm.warc_archive import archive_pages
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_paragraphs(table(spark, folder, "documents"))
+
+
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     rows = judged(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
     return rows.select(
@@ -53,6 +58,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_quality": op3_quality,
     "op4_archive": op4_archive,
     "op5_shards": op5_shards,
