@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from civicpanel.llm.decontaminate import contamination
+from civicpanel.llm.katz import score_corpus
 from civicpanel.llm.language_id import identify
 from civicpanel.llm.near_dedup import near_duplicates
 from civicpanel.llm.packing import pack
@@ -22,6 +23,10 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_paragraphs(table(spark, folder, "documents"))
 
 
+def op2_katz(spark: SparkSession, folder: str) -> DataFrame:
+    return score_corpus(table(spark, folder, "documents"))
+
+
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     rows = judged(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
     return rows.select(
@@ -59,6 +64,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_katz": op2_katz,
     "op3_quality": op3_quality,
     "op4_archive": op4_archive,
     "op5_shards": op5_shards,
