@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civicpanel.lineage import written
+
 SAMPLE_TOXIC = 3_000
 SAMPLE_ORDINARY = 5_000
 SAMPLE_BYTES = 32_768
@@ -141,8 +143,9 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[int | None
         F.lit(SAMPLE_ORDINARY / max(1, found.get(0, 0)))
     )
     draw = F.xxhash64("doc_id", F.lit("toxic")).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
-    rows = docs.join(marks.where(draw < share), "doc_id").where(F.octet_length("text") <= SAMPLE_BYTES)
-    rows = rows.select("doc_id", "text", "toxic").limit(2 * (SAMPLE_TOXIC + SAMPLE_ORDINARY))
+    most = 2 * (SAMPLE_TOXIC + SAMPLE_ORDINARY)
+    chosen = F.broadcast(written(marks.where(draw < share).limit(most)))  # bounded by the limit, so the texts stay where they are
+    rows = docs.join(chosen, "doc_id").where(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id", "text", "toxic").limit(most)
     return sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0], r[1]))
 
 
