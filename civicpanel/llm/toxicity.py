@@ -29,7 +29,7 @@ from civicpanel.lineage import written
 SAMPLE_TOXIC = 3_000
 SAMPLE_ORDINARY = 5_000
 SAMPLE_BYTES = 32_768
-WINDOW_WORDS = 4
+WINDOW_WORDS = 3
 LEVEL = 12
 #: Bytes of ordinary text at the end of both dictionaries, and of toxic text at most.
 ORDINARY_BYTES = 500
@@ -38,7 +38,8 @@ TOXIC_BYTES = 8_192
 TIMES = 10
 #: stands after at least so many different words there, and after such a part of all of its words.
 CONTEXTS, CONTEXT_SHARE = 8, 3e-5
-LEAST_SAVED = 2
+#: Candidates for the bytes that a window must save to count; calibration chooses one.
+LEAST_SAVED = (2, 3, 4, 5, 6, 7)
 MARK = b"\x00\x01window\x02end\x03\x04\x05"
 
 
@@ -46,6 +47,7 @@ MARK = b"\x00\x01window\x02end\x03\x04\x05"
 class Model:
     toxic: bytes
     ordinary: bytes
+    least: int
     threshold: float
     slope: float
 
@@ -95,43 +97,47 @@ def _compressor(content: bytes):
     return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=parameters)
 
 
-def saved(text: str | None, toxic: bytes, ordinary: bytes) -> float:
-    """Bytes that the windows of a text save under the toxic dictionary, for the length of the text."""
+def savings(text: str | None, toxic: bytes, ordinary: bytes) -> np.ndarray:
+    """How many windows of a text save 0, 1, ... bytes under the toxic dictionary; the last place has all above."""
+    counts = np.zeros(33, np.int64)
+    words = text_words(text)
     if toxic == ordinary:
-        return 0.0
+        counts[0] = -(-len(words) // WINDOW_WORDS)
+        return counts
     short, plain = _compressor(toxic), _compressor(ordinary)
-    words = text_words(text)
-    total = windows = 0
     for at in range(0, len(words), WINDOW_WORDS):
         window = b" " + b" ".join(words[at : at + WINDOW_WORDS]) + b" " + MARK
-        gain = len(plain.compress(window)) - len(short.compress(window))
-        windows += 1
-        if gain >= LEAST_SAVED:
-            total += gain
-    return total / (windows + 20) ** 0.5
+        counts[min(32, max(0, len(plain.compress(window)) - len(short.compress(window))))] += 1
+    return counts
+
+
+def saved(counts: np.ndarray, least: int) -> float:
+    """Bytes saved by the windows that save ``least`` or more, for the length of the text."""
+    return float(counts[least:] @ np.arange(least, len(counts))) / float(counts.sum() + 20) ** 0.5
 
 
 def calibrate(values: list[float], toxic: list[int]) -> tuple[float, float]:
-    """The threshold with the best F1 and a slope that spreads scores on both sides of it."""
+    """The threshold with the best F1, and that F1."""
     if not values or not any(toxic):
-        return 1.0, 1.0
+        return 1.0, 0.0
     order = np.argsort(-np.array(values), kind="stable")
     value, label = np.array(values)[order], np.array(toxic)[order]
-    hits = np.cumsum(label)
-    f1 = 2 * hits / (np.arange(1, len(value) + 1) + label.sum())
+    f1 = 2 * np.cumsum(label) / (np.arange(1, len(value) + 1) + label.sum())
     f1[:-1][value[:-1] == value[1:]] = 0
     at = int(np.argmax(f1))
     below = value[at + 1] if at + 1 < len(value) else 0.0
-    threshold = max((value[at] + below) / 2, 1e-6)
-    return float(threshold), float(2 / threshold)
+    return float(max((value[at] + below) / 2, 1e-6)), float(f1[at])
 
 
 def fit(rows: list[tuple[int | None, str, int]]) -> Model:
     """A model of sampled rows (doc_id, text, toxic)."""
     half = [zlib.crc32(b"half%d" % (i or 0)) % 3 // 2 for i, _, _ in rows]
     toxic, ordinary = train_dictionaries([(t, y) for (_, t, y), h in zip(rows, half, strict=True) if h == 0])
-    rest = [(saved(t, toxic, ordinary), y) for (_, t, y), h in zip(rows, half, strict=True) if h == 1]
-    return Model(toxic, ordinary, *calibrate([v for v, _ in rest], [y for _, y in rest]))
+    rest = [(savings(t, toxic, ordinary), y) for (_, t, y), h in zip(rows, half, strict=True) if h == 1]
+    marks = [y for _, y in rest]
+    found = [(*calibrate([saved(v, least) for v, _ in rest], marks), least) for least in LEAST_SAVED]
+    threshold, _, least = max(found, key=lambda x: (x[1], -x[2]))
+    return Model(toxic, ordinary, least, threshold, 2 / threshold)
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[int | None, str, int]]:
@@ -151,7 +157,8 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[int | None
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        values = np.array([saved(t, model.toxic, model.ordinary) for t in batch["text"].to_pylist()], float)
+        texts = batch["text"].to_pylist()
+        values = np.array([saved(savings(t, model.toxic, model.ordinary), model.least) for t in texts], float)
         score = 1 / (1 + np.exp(-np.clip(model.slope * (values - model.threshold), -60, 60)))
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], batch["held_out"], pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
