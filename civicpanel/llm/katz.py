@@ -27,10 +27,10 @@ from civicpanel.lineage import written
 from civicpanel.llm.words import find_words, mix, text_slices
 
 K = 5
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 #: Tokens of training text for each range of histories, and for a history that is split.
-RANGE_TOKENS = 3_000_000
-HOT = 1_000_000
+RANGE_TOKENS = 1_000_000
+HOT = 500_000
 #: At most this many histories are split: the limit grows with the corpus beyond that.
 HOT_MOST = 10_000
 END = np.uint64(0x656E642D6F662D74)

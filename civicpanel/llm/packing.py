@@ -126,9 +126,10 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 def _level(batches: Iterator[pa.RecordBatch], capacity: int, enough: int, level: int) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(list(batches)) if batches else None
-    if table is None or not table.num_rows:
+    given = list(batches)
+    if not given:
         return
+    table = pa.Table.from_batches(given)
     fills, items, offsets = (table[c].to_pylist() for c in ("fill", "items", "offsets"))
     order = sorted(range(len(fills)), key=lambda i: items[i][0])  # not the order of arrival
     task = TaskContext.get().partitionId()

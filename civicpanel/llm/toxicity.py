@@ -67,7 +67,8 @@ def train_dictionaries(texts: list[tuple[str, int]]) -> tuple[bytes, bytes]:
         for word in own:
             pairs[toxic].add((before, word))
             before = word
-        spread.update(set(own))
+        if not toxic:
+            spread.update(set(own))
     counts: tuple[Counter, Counter] = (Counter(), Counter())
     for toxic in (0, 1):
         for _, word in pairs[toxic]:
@@ -90,8 +91,10 @@ def _compressor(content: bytes):
     import zstandard
 
     dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    # Tables sized for windows alone would leave most of the dictionary out.
     parameters = zstandard.ZstdCompressionParameters.from_level(
-        LEVEL, source_size=64, dict_size=len(content), min_match=4, write_content_size=False,
+        LEVEL, window_log=15, hash_log=12, chain_log=12, search_log=6, min_match=4,
+        strategy=zstandard.STRATEGY_BTOPT, write_content_size=False,
         write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
     )
     return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=parameters)
