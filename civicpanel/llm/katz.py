@@ -27,7 +27,7 @@ from civicpanel.lineage import written
 from civicpanel.llm.words import find_words, mix, text_slices
 
 K = 5
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 6 << 20
 #: Tokens of training text for each range of histories, and for a history that is split.
 RANGE_TOKENS = 1_000_000
 HOT = 500_000
@@ -53,6 +53,14 @@ def unpack(data: bytes, kind: str = "<u4") -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).reshape(-1)
 
 
+def pack_sorted(values: np.ndarray) -> bytes:
+    return pack(np.diff(values, prepend=np.uint64(0)), "<u8")
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, "<u8"), dtype=np.uint64)
+
+
 _CHUNK = "chunk bigint, doc_id array<bigint>, held array<boolean>, tokens array<bigint>, stream binary, words binary, counts binary"
 
 
@@ -75,7 +83,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "held": [(~train).tolist()],
                 "tokens": [tokens.tolist()],
                 "stream": [pack(local)],
-                "words": [distinct.tobytes()],
+                "words": [pack_sorted(distinct)],
                 "counts": [pack(counts)],
             }
             types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
@@ -87,7 +95,7 @@ def _ask(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatc
     """Splits the distinct words of each chunk by range of their hash."""
     for batch in batches:
         for row in batch.to_pylist():
-            words, counts = np.frombuffer(row["words"], np.uint64), unpack(row["counts"])
+            words, counts = unpack_sorted(row["words"]), unpack(row["counts"])
             edges = np.searchsorted(words, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else []
             cuts = [0, *edges, len(words)]
             parts = [(k, a, b) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
@@ -95,7 +103,7 @@ def _ask(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatc
                 [
                     pa.array([k for k, _, _ in parts], pa.int32()),
                     pa.array([row["chunk"]] * len(parts), pa.int64()),
-                    pa.array([words[a:b].tobytes() for _, a, b in parts], pa.binary()),
+                    pa.array([pack_sorted(words[a:b]) for _, a, b in parts], pa.binary()),
                     pa.array([pack(counts[a:b]) for _, a, b in parts], pa.binary()),
                 ],
                 ["part", "chunk", "words", "counts"],
@@ -108,7 +116,7 @@ _COUNTED = "part int, chunk bigint, words binary, ids binary, counts binary, n_t
 def _count(key, table: pa.Table, parts: int) -> pa.Table:
     """Counts of all words of one range, back to each chunk in the order it asked, and the table itself."""
     rows = table.sort_by("chunk").to_pylist()
-    own = [np.frombuffer(r["words"], np.uint64) for r in rows]
+    own = [unpack_sorted(r["words"]) for r in rows]
     given = np.concatenate([unpack(r["counts"]) for r in rows])
     words, place = np.unique(np.concatenate(own), return_inverse=True)
     counts = np.bincount(place, weights=given, minlength=len(words)).astype(np.uint64)
@@ -129,7 +137,7 @@ def _count(key, table: pa.Table, parts: int) -> pa.Table:
     small = np.bincount(counts[counts <= K + 1].astype(np.int64), minlength=K + 2)[1:]
     hot = counts > HOT
     add(
-        part=part, words=words.tobytes(), ids=pack(ids, "<u8"), counts=pack(counts, "<u8"), n_tokens=int(counts.sum()),
+        part=part, words=pack_sorted(words), ids=pack(ids, "<u8"), counts=pack(counts, "<u8"), n_tokens=int(counts.sum()),
         n_types=int((counts > 0).sum()), n_r=small.tolist(), hot_ids=ids[hot].astype(np.int64).tolist(),
         hot_counts=counts[hot].astype(np.int64).tolist(),
     )
