@@ -26,9 +26,10 @@ def safe(c: Column, dtype: str) -> Column:
 def strict(c: Column, dtype: str, name: str) -> Column:
     """``c`` as ``dtype``; a value that does not convert stops the job.
 
-    The error names the column and does not depend on the session's ANSI flag.
+    The error names the column and does not depend on the session's ANSI flag.  What
+    :func:`safe` refuses (``12d``, ``NaN``) does not convert here either.
     """
-    value = c.try_cast(dtype)
+    value = safe(c, dtype)
     message = F.concat(F.lit(f"column {name} is not {dtype}: "), c.cast("string"))
     return F.when(c.isNotNull() & value.isNull(), F.raise_error(message).cast(dtype)).otherwise(
         value

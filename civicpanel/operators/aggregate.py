@@ -1,7 +1,8 @@
 """Sums, distinct counts, pivots, shares and scores by key.
 
-Money is summed as ``decimal(18,2)``, so a total does not depend on the order
-in which partitions arrive, and is given back as double.
+Money is summed in decimals of ten places and rounded to the cent once, after the
+sum, so a total depends neither on the order in which partitions arrive nor on
+fractions of a cent in the rows.  Totals are given back as double.
 """
 
 from __future__ import annotations
@@ -14,11 +15,13 @@ from pyspark.sql import functions as F
 from civicpanel.sizing import small_side
 
 MONEY = "decimal(18,2)"
+EXACT = "decimal(28,10)"
+TOTAL = "decimal(28,2)"
 
 
 def money(c: Column | str) -> Column:
     """Exact sum of a money column, as decimal."""
-    return F.sum((F.col(c) if isinstance(c, str) else c).cast(MONEY))
+    return F.sum((F.col(c) if isinstance(c, str) else c).cast(EXACT)).cast(TOTAL)
 
 
 def group_sum(
@@ -286,8 +289,8 @@ def possession_pct(df: DataFrame, keys: Sequence[str], flags: Mapping[str, Colum
 
 def money_sum(df: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
     """Sum to the cent with NULL as zero."""
-    value = F.coalesce(F.col(column).cast(MONEY), F.lit(0).cast(MONEY))
-    return df.groupBy(*keys).agg(F.sum(value).cast("double").alias(out))
+    value = F.coalesce(F.col(column).cast(EXACT), F.lit(0).cast(EXACT))
+    return df.groupBy(*keys).agg(money(value).cast("double").alias(out))
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -339,7 +342,7 @@ def deflate(
     """
     joined = df.join(small_side(index), year, "left")
     real = {
-        out: (F.col(column).cast(MONEY) * F.col(factor).cast("decimal(12,8)")).cast(MONEY)
+        out: (F.col(column).cast(EXACT) * F.col(factor).cast("decimal(12,8)")).cast(MONEY)
         for column, out in columns.items()
     }
     return joined.withColumns(real).drop(factor)

@@ -9,6 +9,8 @@ function says so, ``nome_regiao``, ``capital_uf`` and ``centroide``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -456,7 +458,7 @@ def or_key_join(
     so a pair matches at most once and no nested-loop join is needed.  The left
     rows without a partner are added, which leaves the large join an inner one:
     a small left side is broadcast, and a hot key of a large one can be split.
-    ``left_id`` identifies a left row.
+    ``left_id`` identifies a left row; a NULL in it is a value like any other.
     """
     trimmed = [F.trim(F.col(key)) for key in left_keys]
     candidates = F.array_distinct(F.array_compact(F.array(*trimmed)))
@@ -464,7 +466,9 @@ def or_key_join(
     keyed = right.withColumn("_candidate", F.trim(F.col(right_key)))
     matched = keyed.join(small_side(exploded, left), "_candidate").drop("_candidate")
     partnered = exploded.join(keyed.select("_candidate").distinct(), "_candidate", "left_semi")
-    lonely = left.join(partnered.select(*left_id).distinct(), list(left_id), "left_anti")
+    known = partnered.select(*[F.col(name).alias(f"_known_{name}") for name in left_id]).distinct()
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_known_{name}")) for name in left_id])
+    lonely = left.join(known, same, "left_anti")
     return matched.unionByName(lonely, allowMissingColumns=True)
 
 

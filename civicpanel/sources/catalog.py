@@ -27,7 +27,7 @@ def parse_catalog_descriptions(df: DataFrame, column: str) -> DataFrame:
 
     def field(name: str):
         found = F.filter("_parts", lambda part: F.startswith(part, F.lit(f"{name}:")))
-        value = F.substring(F.get(found, F.lit(0)), len(name) + 2, 1 << 20)
+        value = F.substr(F.get(found, F.lit(0)), F.lit(len(name) + 2))
         cleaned = F.trim(F.regexp_replace(F.trim(value), r"\.\z", ""))
         return F.nullif(cleaned, F.lit(""))
 

@@ -224,3 +224,30 @@ def test_dq_rules_count_unknown_as_broken(frame):
         )
     )
     assert got == [("opt", 1, 3), ("req", 2, 3)]
+
+
+def test_money_is_rounded_once_after_the_sum(frame):
+    from civicpanel.operators import aggregate as agg
+
+    df = frame([("a", 0.004)] * 1000 + [("b", None)], "k string, v double")
+    assert rows(agg.group_sum(df, ["k"], {"s": "v"})) == [("a", 4.0), ("b", None)]
+    assert rows(agg.money_sum(df, ["k"], "v", "s")) == [("a", 4.0), ("b", 0.0)]
+    index = frame([(1, 2.5)], "y int, f double")
+    real = agg.deflate(frame([(1, 0.014)], "y int, v double"), index, "y", "f", {"v": "r"})
+    assert float(real.first().r) == 0.04
+
+
+@pytest.mark.parametrize("text", ["12d", "1.5f", "NaN", "Infinity", "x"])
+def test_strict_cast_refuses_what_the_lenient_one_refuses(frame, text):
+    from civicpanel.functions.conversion import strict
+
+    df = frame([("1.5",), (text,)], "v string")
+    with pytest.raises(Exception, match="column v is not double"):
+        df.select(strict(F.col("v"), "double", "v")).collect()
+
+
+def test_either_key_join_takes_a_null_id_as_a_value(frame):
+    left = frame([(None, "x", "y"), (1, "q", None)], "id int, a string, b string")
+    right = frame([("x", 10)], "r string, v int")
+    joined = terr.or_key_join(left, right, ["a", "b"], "r", ["id"])
+    assert rows(joined, "id", "v") == [(None, 10), (1, None)]
