@@ -31,7 +31,8 @@ WIDTH = 5
 BANDS = 2
 PERCENT = 80
 LEAST_WORDS = 15
-ROWS_OUT = 100_000
+#: Bytes of text for each part of the band keys.
+PART_BYTES = 24 << 20
 
 
 def paragraph_starts(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -47,9 +48,35 @@ def paragraph_starts(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.flatnonzero(least)
 
 
-def _paragraphs(batches: Iterator[pa.RecordBatch], keys_only: bool) -> Iterator[pa.RecordBatch]:
+def _pack(values: np.ndarray) -> bytes:
+    """A compressed column: the bytes of equal weight stand together."""
+    import zstandard
+
+    raw = np.ascontiguousarray(values)
+    return zstandard.ZstdCompressor(level=1).compress(raw.view(np.uint8).reshape(len(raw), raw.itemsize).T.tobytes())
+
+
+def _unpack(data: bytes, kind: str) -> np.ndarray:
+    import zstandard
+
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
+#: The columns of a paragraph in one band, and how they are packed.
+_FIELDS = {"key": "<u8", "band": "u1", "doc": "<u4", "start": "<u4", "n_words": "<u4", "digest": "<i8", "known": "u1"}
+_PACKED = "part int, doc_id array<bigint>, text_key array<bigint>, " + ", ".join(f"{f} binary" for f in _FIELDS)
+
+
+def _paragraphs(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Packed columns of the paragraphs of some texts, split by band key.
+
+    A key that two documents of the same slice have is known to repeat: one row of it goes to
+    the part of the key, where it meets other slices; its other rows are spread over all parts.
+    So a part gets one row for each slice of a very common key.
+    """
     for batch in batches:
-        for a, b in text_slices(batch["text"]):
+        for a, b in text_slices(batch["text"], 8 << 20):
             part = batch.slice(a, b - a)
             words = find_words(part["text"])
             if not len(words.starts):
@@ -61,22 +88,73 @@ def _paragraphs(batches: Iterator[pa.RecordBatch], keys_only: bool) -> Iterator[
             runs, at = run_hashes(hashes, np.append(starts, len(hashes)), WIDTH)
             cut = np.searchsorted(at, starts)
             digest = mix(np.add.reduceat(mix(runs), cut)).view(np.int64)
-            for band in range(BANDS):
-                salt = mix(np.array([band + 1], np.uint64))
-                key = mix(np.minimum.reduceat(mix(runs ^ salt), cut) + salt).view(np.int64)
-                columns = {"key": pa.array(key), "doc_id": part["doc_id"].take(pa.array(text))}
-                if not keys_only:
-                    columns |= {
-                        "text_key": part["text_key"].take(pa.array(text)),
-                        "start": pa.array((starts - words.first[text]).astype(np.int32)),
-                        "n_words": pa.array((ends - starts).astype(np.int32)),
-                        "digest": pa.array(digest),
-                    }
-                yield pa.RecordBatch.from_pydict(columns)
+            salts = [mix(np.array([band + 1], np.uint64)) for band in range(BANDS)]
+            key = np.concatenate([mix(np.minimum.reduceat(mix(runs ^ salt), cut) + salt) for salt in salts])
+            ids = np.asarray(part["doc_id"], np.int64)
+            rows = {
+                "key": key,
+                "band": np.repeat(np.arange(BANDS), len(starts)),
+                "doc": np.tile(text, BANDS),
+                "start": np.tile(starts - words.first[text], BANDS),
+                "n_words": np.tile(ends - starts, BANDS),
+                "digest": np.tile(digest, BANDS),
+            }
+            order = np.argsort(key, kind="stable")
+            rows = {f: v[order] for f, v in rows.items()}
+            new = np.append(True, rows["key"][1:] != rows["key"][:-1])
+            begins, group = np.flatnonzero(new), np.cumsum(new) - 1
+            own = ids[rows["doc"]]
+            low, high = np.minimum.reduceat(own, begins), np.maximum.reduceat(own, begins)
+            rows["known"] = (low != high)[group]
+            to = (rows["key"] % np.uint64(parts)).astype(np.int64)
+            spread = rows["known"] & ~new
+            to[spread] = (a + np.flatnonzero(spread)) % parts
+            order = np.argsort(to, kind="stable")  # keys stay in order inside a part
+            edges = np.searchsorted(to[order], np.arange(parts + 1))
+            out: dict[str, list] = {n: [] for n in ("part", "doc_id", "text_key", *_FIELDS)}
+            text_keys = np.asarray(part["text_key"], np.int64)
+            for k, (x, y) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+                if y > x:
+                    mine = {f: v[order[x:y]] for f, v in rows.items()}
+                    docs, mine["doc"] = np.unique(mine["doc"], return_inverse=True)
+                    mine["key"] = np.diff(mine["key"], prepend=np.uint64(0))
+                    out["part"].append(k)
+                    out["doc_id"].append(ids[docs])
+                    out["text_key"].append(text_keys[docs])
+                    for f, kind in _FIELDS.items():
+                        out[f].append(_pack(mine[f].astype(kind)))
+            types = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.binary()] * len(_FIELDS)]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], list(out))
 
 
-_KEYS = "key bigint, doc_id bigint"
-_ROWS = f"{_KEYS}, text_key bigint, start int, n_words int, digest bigint"
+_ROWS = "key bigint, band int, doc_id bigint, text_key bigint, start int, n_words int, digest bigint"
+
+
+def _met(key, table: pa.Table) -> pa.Table:
+    """The rows of one part whose band key two documents have."""
+    given = {f: [] for f in ("doc_id", "text_key", *_FIELDS)}
+    for r in table.to_pylist():
+        own = {f: _unpack(r[f], kind) for f, kind in _FIELDS.items()}
+        own["key"] = np.cumsum(own["key"], dtype=np.uint64)
+        own |= {f: np.array(r[f], np.int64)[own["doc"]] for f in ("doc_id", "text_key")}
+        for f, v in own.items():
+            given[f].append(v)
+    rows = {f: np.concatenate(v) for f, v in given.items()}
+    _, group = np.unique(rows["key"], return_inverse=True)
+    low, high = np.full(group.max() + 1, np.iinfo(np.int64).max), np.full(group.max() + 1, np.iinfo(np.int64).min)
+    np.minimum.at(low, group, rows["doc_id"])
+    np.maximum.at(high, group, rows["doc_id"])
+    keep = (low != high)[group] | (rows["known"] > 0)
+    return pa.Table.from_arrays(
+        [
+            pa.array(rows["key"][keep].view(np.int64)),
+            pa.array(rows["band"][keep].astype(np.int32)),
+            *(pa.array(rows[f][keep]) for f in ("doc_id", "text_key")),
+            *(pa.array(rows[f][keep].astype(np.int32)) for f in ("start", "n_words")),
+            pa.array(rows["digest"][keep]),
+        ],
+        ["key", "band", "doc_id", "text_key", "start", "n_words", "digest"],
+    )
 
 
 def paragraph_text(text: str | None, start: int, n_words: int) -> str:
@@ -101,11 +179,9 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _links(met: DataFrame, docs: DataFrame) -> DataFrame:
-    """Verified links (a, b) between different paragraphs that share a band."""
-    classes = met.groupBy("key", "digest").agg(F.max("n_words").alias("n_words"))
-    mixed = classes.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
-    classes = classes.join(mixed.select("key"), "key", "left_semi")
+def _links(met: DataFrame, mixed: DataFrame, docs: DataFrame) -> DataFrame:
+    """Verified links (a, b) between different paragraphs that share a band; ``mixed`` has the keys of such bands."""
+    classes = met.join(mixed, "key", "left_semi").groupBy("key", "digest").agg(F.max("n_words").alias("n_words"))
     left, right = (classes.select("key", F.col("digest").alias(s), F.col("n_words").alias(f"n_{s}")) for s in "ab")
     # Sets with a similarity of 0.8 differ in size by a quarter at most; words are a few more than shingles.
     pairs = left.join(right, "key").where("a < b AND 100 * least(n_a, n_b) + 500 >= 80 * greatest(n_a, n_b)")
@@ -134,13 +210,16 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     table gives no rows; further columns are ignored.
     """
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).where("doc_id IS NOT NULL")
-    keys = docs.mapInArrow(partial(_paragraphs, keys_only=True), _KEYS)
-    shared = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high")
-    shared = written(shared.select("key"))
-    met = docs.mapInArrow(partial(_paragraphs, keys_only=False), _ROWS).join(shared, "key", "left_semi")
-    met = written(met)
-    roots = components(_links(met, docs)).select(F.col("node").alias("digest"), "root")
-    rows = met.select("doc_id", "text_key", "start", "n_words", "digest").distinct().join(roots, "digest", "left")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    packed = docs.mapInArrow(partial(_paragraphs, parts=max(1, -(-size // PART_BYTES))), _PACKED)
+    met = written(packed.groupBy("part").applyInArrow(lambda key, rows: _met(key, rows), _ROWS))
+    mixed = met.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
+    mixed = written(mixed.select("key"))
+    roots = components(_links(met, mixed, docs)).select(F.col("node").alias("digest"), "root")
+    # Equal paragraphs meet in the first band; the others matter only where they join different ones.
+    more = met.where("band > 0").join(mixed, "key", "left_semi")
+    columns = ["doc_id", "text_key", "start", "n_words", "digest"]
+    rows = met.where("band = 0").select(*columns).union(more.select(*columns)).distinct().join(roots, "digest", "left")
     rows = written(rows.withColumn("component", F.coalesce("root", "digest")).drop("root", "digest"))
     kept = rows.groupBy("component").agg(
         F.min(F.struct("doc_id", "start", "text_key")).alias("first"), F.max("doc_id").alias("last_id")
