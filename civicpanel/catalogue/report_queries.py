@@ -143,13 +143,13 @@ ITEMS_SQL = f"""SELECT p_brand, string_agg(CAST(n AS VARCHAR) || ' ' || p_type |
           CAST(SUM(n) AS VARCHAR) || CASE WHEN SUM(n) = 1 THEN ' item' ELSE ' itens' END AS total
         FROM (SELECT p_brand, coalesce(nullif(p_type, 'PROMO'), 'Outros') AS p_type, COUNT(*) AS n,
                      {sql.cents("l_extendedprice")} AS v
-              FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity > 40 GROUP BY 1, 2)
+              FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)
         GROUP BY 1"""
 
 
 @query("fmt_items", ITEMS_SQL)
 def fmt_items(t):
-    rows = t.lineitem.where("l_quantity > 40").join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     kinds = rows.select("p_brand", F.nullif("p_type", F.lit("PROMO")).alias("p_type"), "l_extendedprice")
     detail = agg.grouped_detail(kinds, "p_brand", "p_type", "l_extendedprice", "Outros")
     lines = report.fmt_items(detail, "p_brand", "p_type", "itens")

@@ -24,10 +24,10 @@ from civicpanel.sources.tables import current_term, partition_range
 
 @query(
     "scan_project",
-    """SELECT l_orderkey, l_extendedprice FROM lineitem WHERE l_quantity > 45""",
+    """SELECT l_orderkey, l_extendedprice FROM lineitem""",
 )
 def scan_project(t):
-    return t.lineitem.where("l_quantity > 45").select("l_orderkey", "l_extendedprice")
+    return t.lineitem.select("l_orderkey", "l_extendedprice")
 
 
 @query(

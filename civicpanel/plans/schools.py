@@ -36,12 +36,16 @@ MAJORITIES = {
     "nao_declarada": "Maioria sem declaração (≥60%)",
 }
 NO_MAJORITY = "Sem maioria significativa (≥60%)"
-COMMUNITY_CODE, COMMUNITY, COMMUNITY_SCHOOLS = "3", "Quilombolas", "Escolas quilombolas"
-BLACK, NOT_BLACK = "Negros (Pretos ou Pardos ≥60%)", "Não Negros"
-BLACK_SCHOOLS, WHITE_SCHOOLS, OTHER_SCHOOLS = (
-    "Escolas predominantemente negras", "Escolas predominantemente brancas", "Outros",
-)
-BLACK_PEOPLE, OTHER_PEOPLE = "Pessoas Negras e Pardas", "Outros Grupos Raciais"
+COMMUNITY_CODE = "3"
+COMMUNITY = "Quilombolas"
+COMMUNITY_SCHOOLS = "Escolas quilombolas"
+BLACK = "Negros (Pretos ou Pardos ≥60%)"
+NOT_BLACK = "Não Negros"
+BLACK_SCHOOLS = "Escolas predominantemente negras"
+WHITE_SCHOOLS = "Escolas predominantemente brancas"
+OTHER_SCHOOLS = "Outros"
+BLACK_PEOPLE = "Pessoas Negras e Pardas"
+OTHER_PEOPLE = "Outros Grupos Raciais"
 INVERSE_ITEMS = ["agua_inexistente", "esgoto_inexistente", "energia_inexistente"]
 DIRECT_ITEMS = ["internet", "local_funcionamento_predio_escolar"]
 SUMS = {

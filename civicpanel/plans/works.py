@@ -79,10 +79,6 @@ def campus_works_panel(sources: Mapping[str, DataFrame], measures: Sequence[str]
 
 
 # Measures of the two campus tables.
-CAMPUS_A_PARTS = [
-    "total", "adminstracao_central", "edificio_central", "salas_de_aulas", "restaurante",
-    "central_de_utilidades", "areas_externas",
-]
 CAMPUS_B_MEASURES = [
     "valor_estimado_total",
     "valor_total_da_obra",
@@ -90,6 +86,22 @@ CAMPUS_B_MEASURES = [
     "valor_previsto_neste_mes_total",
     "valor_pago_neste_mes_total",
 ]
-CAMPUS_A_MEASURES = CAMPUS_B_MEASURES[:3] + [
-    f"valor_{kind}_neste_mes_{part}" for part in CAMPUS_A_PARTS for kind in ("previsto", "pago")
+CAMPUS_A_MEASURES = [
+    "valor_estimado_total",
+    "valor_total_da_obra",
+    "valor_do_recurso_r",
+    "valor_previsto_neste_mes_total",
+    "valor_pago_neste_mes_total",
+    "valor_previsto_neste_mes_adminstracao_central",
+    "valor_pago_neste_mes_adminstracao_central",
+    "valor_previsto_neste_mes_edificio_central",
+    "valor_pago_neste_mes_edificio_central",
+    "valor_previsto_neste_mes_salas_de_aulas",
+    "valor_pago_neste_mes_salas_de_aulas",
+    "valor_previsto_neste_mes_restaurante",
+    "valor_pago_neste_mes_restaurante",
+    "valor_previsto_neste_mes_central_de_utilidades",
+    "valor_pago_neste_mes_central_de_utilidades",
+    "valor_previsto_neste_mes_areas_externas",
+    "valor_pago_neste_mes_areas_externas",
 ]
