@@ -644,3 +644,21 @@ def long_metrics(t):
     measures = {"pedidos": F.lit(1), "valor": F.col("o_totalprice").cast(MONEY)}
     levels = terr.rollup_levels(placed_orders(t), "sigla_uf", "nome", measures)
     return reshape.to_long(levels, ["uf", "municipio", "nivel_agregacao"], ["pedidos", "valor"])
+
+
+@query(
+    "star_join",
+    """SELECT n_nationkey, n_name, clientes, saldo, fornecedores
+       FROM nation
+       LEFT JOIN (SELECT c_nationkey, COUNT(*) AS clientes, CAST(ROUND(SUM(CAST(c_acctbal AS DECIMAL(28,10))), 2) AS DOUBLE) AS saldo
+                  FROM customer WHERE c_nationkey <> 3 GROUP BY 1) ON c_nationkey = n_nationkey
+       LEFT JOIN (SELECT s_nationkey, COUNT(*) AS fornecedores FROM supplier GROUP BY 1) ON s_nationkey = n_nationkey""",
+)
+def star_join(t):
+    # One nation has no customers of its own, so that a block without a row is seen.
+    nation = F.nullif("c_nationkey", F.lit(3)).alias("n_nationkey")
+    customers = t.customer.groupBy(nation).agg(
+        F.count(F.lit(1)).alias("clientes"), agg.money("c_acctbal").cast("double").alias("saldo")
+    )
+    suppliers = t.supplier.groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("fornecedores"))
+    return joins.star_join(t.nation.select("n_nationkey", "n_name"), [customers, suppliers], "n_nationkey", t.nation)

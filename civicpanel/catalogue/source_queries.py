@@ -543,3 +543,19 @@ def prefix_filter_query(t):
     rows = clean.prefix_filter(rows, "p_type", "E", negate=True)
     rows = clean.length_filter(rows, "p_brand", 8)
     return rows.groupBy("p_brand").agg(F.count(F.lit(1)).alias("pecas"))
+
+
+@query(
+    "flag_is_true",
+    """SELECT o_orderkey, o_custkey FROM orders
+       WHERE CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END""",
+)
+def flag_is_true(t):
+    delivered = F.when(F.col("o_orderstatus") == "F", True).when(F.col("o_orderstatus") == "O", False)
+    flagged = t.orders.select("o_orderkey", "o_custkey", delivered.alias("entregue"))
+    return clean.select_except(clean.is_true(flagged, "entregue"), ["entregue"])
+
+
+@query("select_except", "SELECT * EXCLUDE (n_name, n_regionkey) FROM nation")
+def select_except(t):
+    return clean.select_except(t.nation, ["n_name", "n_regionkey"])
