@@ -64,7 +64,7 @@ def _unpack(data: bytes, kind: str) -> np.ndarray:
 
 
 #: The columns of a paragraph in one band, and how they are packed.
-_FIELDS = {"key": "<u8", "band": "u1", "doc": "<u4", "start": "<u4", "n_words": "<u4", "digest": "<i8", "known": "u1"}
+_FIELDS = {"key": "<u8", "band": "u1", "doc": "<u4", "start": "<u4", "n_words": "<u4", "digest": "<i8", "bits": "<i8", "known": "u1"}
 _PACKED = "part int, doc_id array<bigint>, text_key array<bigint>, " + ", ".join(f"{f} binary" for f in _FIELDS)
 
 
@@ -76,7 +76,7 @@ def _paragraphs(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Re
     So a part gets one row for each slice of a very common key.
     """
     for batch in batches:
-        for a, b in text_slices(batch["text"], 8 << 20):
+        for a, b in text_slices(batch["text"], 4 << 20):
             part = batch.slice(a, b - a)
             words = find_words(part["text"])
             if not len(words.starts):
@@ -88,6 +88,7 @@ def _paragraphs(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Re
             runs, at = run_hashes(hashes, np.append(starts, len(hashes)), WIDTH)
             cut = np.searchsorted(at, starts)
             digest = mix(np.add.reduceat(mix(runs), cut)).view(np.int64)
+            bits = np.bitwise_or.reduceat(np.uint64(1) << (runs & np.uint64(63)), cut).view(np.int64)
             salts = [mix(np.array([band + 1], np.uint64)) for band in range(BANDS)]
             key = np.concatenate([mix(np.minimum.reduceat(mix(runs ^ salt), cut) + salt) for salt in salts])
             ids = np.asarray(part["doc_id"], np.int64)
@@ -98,6 +99,7 @@ def _paragraphs(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Re
                 "start": np.tile(starts - words.first[text], BANDS),
                 "n_words": np.tile(ends - starts, BANDS),
                 "digest": np.tile(digest, BANDS),
+                "bits": np.tile(bits, BANDS),
             }
             order = np.argsort(key, kind="stable")
             rows = {f: v[order] for f, v in rows.items()}
@@ -127,7 +129,7 @@ def _paragraphs(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Re
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], list(out))
 
 
-_ROWS = "key bigint, band int, doc_id bigint, text_key bigint, start int, n_words int, digest bigint"
+_ROWS = "key bigint, band int, doc_id bigint, text_key bigint, start int, n_words int, digest bigint, bits bigint"
 
 
 def _met(key, table: pa.Table) -> pa.Table:
@@ -152,8 +154,9 @@ def _met(key, table: pa.Table) -> pa.Table:
             *(pa.array(rows[f][keep]) for f in ("doc_id", "text_key")),
             *(pa.array(rows[f][keep].astype(np.int32)) for f in ("start", "n_words")),
             pa.array(rows["digest"][keep]),
+            pa.array(rows["bits"][keep]),
         ],
-        ["key", "band", "doc_id", "text_key", "start", "n_words", "digest"],
+        ["key", "band", "doc_id", "text_key", "start", "n_words", "digest", "bits"],
     )
 
 
@@ -180,11 +183,16 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(met: DataFrame, mixed: DataFrame, docs: DataFrame) -> DataFrame:
-    """Verified links (a, b) between different paragraphs that share a band; ``mixed`` has the keys of such bands."""
-    classes = met.join(mixed, "key", "left_semi").groupBy("key", "digest").agg(F.max("n_words").alias("n_words"))
-    left, right = (classes.select("key", F.col("digest").alias(s), F.col("n_words").alias(f"n_{s}")) for s in "ab")
-    # Sets with a similarity of 0.8 differ in size by a quarter at most; words are a few more than shingles.
-    pairs = left.join(right, "key").where("a < b AND 100 * least(n_a, n_b) + 500 >= 80 * greatest(n_a, n_b)")
+    """Verified links (a, b) between different paragraphs that share a band; ``mixed`` has the keys of such bands.
+
+    Sets with a similarity of 0.8 differ in a ninth of their joint sizes at most, and so do their
+    64-bit maps of shingles.  The join tests this before it gives a pair.
+    """
+    classes = met.join(mixed, "key", "left_semi").groupBy("key", "digest").agg(
+        F.greatest(F.max("n_words") - (WIDTH - 1), F.lit(1)).alias("n"), F.first("bits").alias("bits")
+    )
+    left, right = (classes.select("key", F.col("digest").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}")) for s in "ab")
+    pairs = left.join(right, "key").where("a < b AND 9 * bit_count(bits_a ^ bits_b) <= n_a + n_b")
     pairs = written(pairs.select("a", "b").distinct())
     if pairs.isEmpty():
         return pairs
