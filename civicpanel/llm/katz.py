@@ -77,12 +77,15 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens = words.counts + 1
             distinct, local = np.unique(stream, return_inverse=True)
             counts = np.bincount(local[np.repeat(train, tokens)], minlength=len(distinct))
+            order = np.argsort(-counts, kind="stable")  # frequent words get small numbers, which pack well
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
             row = {
                 "chunk": [number],
                 "doc_id": [batch["doc_id"].slice(a, docs).to_pylist()],
                 "held": [(~train).tolist()],
                 "tokens": [tokens.tolist()],
-                "stream": [pack(local)],
+                "stream": [pack(rank[local])],
                 "words": [pack_sorted(distinct)],
                 "counts": [pack(counts)],
             }
@@ -186,7 +189,7 @@ def _send(left: pa.Table, right: pa.Table, model: Unigrams, ranges: int, hot: di
     chunk, answers = left.to_pylist()[0], right.sort_by("part").to_pylist()
     ids = np.concatenate([unpack(r["ids"], "<u8") for r in answers])
     counts = np.concatenate([unpack(r["counts"], "<u8") for r in answers])
-    local = unpack(chunk["stream"])
+    local = np.argsort(-unpack(chunk["counts"]).astype(np.int64), kind="stable")[unpack(chunk["stream"])]
     tokens = np.array(chunk["tokens"], np.int64)
     firsts = np.concatenate([[0], np.cumsum(tokens)[:-1]])
     word, count = ids[local], counts[local]
@@ -355,7 +358,7 @@ def score_corpus(docs: DataFrame) -> DataFrame:
     ranges = max(1, -(-total // RANGE_TOKENS))
     answers = counted.where("n_tokens IS NULL").select("chunk", "part", "ids", "counts")
     sent = (
-        chunks.select("chunk", "doc_id", "held", "tokens", "stream").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+        chunks.select("chunk", "doc_id", "held", "tokens", "stream", "counts").groupBy("chunk").cogroup(answers.groupBy("chunk"))
         .applyInArrow(lambda a, b: _send(a, b, model, ranges, hot, limit), _SENT)
     )
     met = written(sent.groupBy("part").applyInArrow(lambda key, rows: _meet(key, rows, model, hot), _MET))
