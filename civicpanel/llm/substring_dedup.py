@@ -32,7 +32,7 @@ BANDS = 2
 PERCENT = 80
 LEAST_WORDS = 15
 #: Bytes of text for each part of the band keys.
-PART_BYTES = 24 << 20
+PART_BYTES = 22 << 20
 
 
 def paragraph_starts(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -76,7 +76,7 @@ def _paragraphs(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Re
     So a part gets one row for each slice of a very common key.
     """
     for batch in batches:
-        for a, b in text_slices(batch["text"], 4 << 20):
+        for a, b in text_slices(batch["text"], 2 << 20):
             part = batch.slice(a, b - a)
             words = find_words(part["text"])
             if not len(words.starts):
