@@ -32,7 +32,7 @@ BANDS = 2
 PERCENT = 80
 LEAST_WORDS = 15
 #: Bytes of text for each part of the band keys.
-PART_BYTES = 22 << 20
+PART_BYTES = 8 << 20
 
 
 def paragraph_starts(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
