@@ -1,15 +1,19 @@
-"""Substring deduplication by MinHash banding of content-defined paragraphs.
-
-A shared passage may stand anywhere in a longer line, so a paragraph is not a line: it begins
-at every word whose hash is the smallest within ``REACH`` words on either side.  The same
-passage is then cut in the same places wherever it stands.  A paragraph has 13 words on
-average and 7 at least, but for the ends of texts.
-
-Each paragraph is the set of its 5-word shingles.  ``BANDS`` bands of one minimum each find a
-pair with a similarity of 0.8 in 96 of 100 cases and equal paragraphs always.  Paragraphs that
-collide across documents are verified by exact Jaccard similarity, clustered by connected
-components, and reported if they stand in a run of at least ``LEAST_WORDS`` repeated words.
-The first paragraph of a component is kept.
+"""Substring deduplication: exact shared passages, near copies of lines, and repeated fragments.
+
+Three kinds of repeats across documents are reported, each with the place of the first:
+
+* passages: every stretch of words that lies in windows of ``LEAST_WORDS`` words which another
+  document has too, word by word (A-Z lowered), wherever the passage stands and at its full
+  length.  All windows of all texts are compared by 64-bit hashes;
+* lines: lines of ``LEAST_WORDS`` words or more whose sets of 5-word shingles have an exact
+  Jaccard similarity of 0.8 or more, linked as in ``near_dedup`` and clustered by connected
+  components;
+* fragments: content-defined cuts, which begin at every word whose hash is the smallest within
+  ``REACH`` words on either side, 13 words long on average.  ``BANDS`` bands of one minimum each
+  bring similar ones together, which are verified by exact Jaccard similarity and clustered.
+  They are reported in runs of at least ``LEAST_WORDS`` repeated words.
+
+The first of each group, by document and place, is kept.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 
 from civicpanel.lineage import written
 from civicpanel.llm.graph import components
+from civicpanel.llm.near_dedup import near_duplicates
 from civicpanel.llm.words import find_words, jaccard, mix, run_hashes, shingle_sets, text_slices
 
 REACH = 6
@@ -63,18 +68,52 @@ def _unpack(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
 
 
-#: The columns of a paragraph in one band, and how they are packed.
+#: The columns of a paragraph in one band, and of a window, and how they are packed.
 _FIELDS = {"key": "<u8", "band": "u1", "doc": "<u4", "start": "<u4", "n_words": "<u4", "digest": "<i8", "bits": "<i8", "known": "u1"}
-_PACKED = "part int, doc_id array<bigint>, text_key array<bigint>, " + ", ".join(f"{f} binary" for f in _FIELDS)
+_WINDOW = {f: _FIELDS[f] for f in ("key", "doc", "start", "known")}
 
 
-def _paragraphs(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """Packed columns of the paragraphs of some texts, split by band key.
+def _packed(fields: dict[str, str]) -> str:
+    return "part int, doc_id array<bigint>, text_key array<bigint>, " + ", ".join(f"{f} binary" for f in fields)
+
+
+def _sent(rows: dict[str, np.ndarray], part: pa.RecordBatch, place: int, parts: int, fields: dict[str, str]) -> pa.RecordBatch:
+    """Packed columns of the rows of some texts, split by key; ``doc`` is the place of the text in ``part``.
 
     A key that two documents of the same slice have is known to repeat: one row of it goes to
     the part of the key, where it meets other slices; its other rows are spread over all parts.
     So a part gets one row for each slice of a very common key.
     """
+    ids, text_keys = (np.asarray(part[c], np.int64) for c in ("doc_id", "text_key"))
+    order = np.argsort(rows["key"], kind="stable")
+    rows = {f: v[order] for f, v in rows.items()}
+    new = np.append(True, rows["key"][1:] != rows["key"][:-1])
+    begins, group = np.flatnonzero(new), np.cumsum(new) - 1
+    own = ids[rows["doc"]]
+    low, high = np.minimum.reduceat(own, begins), np.maximum.reduceat(own, begins)
+    rows["known"] = (low != high)[group]
+    to = (rows["key"] % np.uint64(parts)).astype(np.int64)
+    spread = rows["known"] & ~new
+    to[spread] = (place + np.flatnonzero(spread)) % parts
+    order = np.argsort(to, kind="stable")  # keys stay in order inside a part
+    edges = np.searchsorted(to[order], np.arange(parts + 1))
+    out: dict[str, list] = {n: [] for n in ("part", "doc_id", "text_key", *fields)}
+    for k, (x, y) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        if y > x:
+            mine = {f: v[order[x:y]] for f, v in rows.items()}
+            docs, mine["doc"] = np.unique(mine["doc"], return_inverse=True)
+            mine["key"] = np.diff(mine["key"], prepend=np.uint64(0))
+            out["part"].append(k)
+            out["doc_id"].append(ids[docs])
+            out["text_key"].append(text_keys[docs])
+            for f, kind in fields.items():
+                out[f].append(_pack(mine[f].astype(kind)))
+    types = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.binary()] * len(fields)]
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], list(out))
+
+
+def _paragraphs(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Packed columns of the paragraphs of some texts, split by band key."""
     for batch in batches:
         for a, b in text_slices(batch["text"], 2 << 20):
             part = batch.slice(a, b - a)
@@ -91,7 +130,6 @@ def _paragraphs(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Re
             bits = np.bitwise_or.reduceat(np.uint64(1) << (runs & np.uint64(63)), cut).view(np.int64)
             salts = [mix(np.array([band + 1], np.uint64)) for band in range(BANDS)]
             key = np.concatenate([mix(np.minimum.reduceat(mix(runs ^ salt), cut) + salt) for salt in salts])
-            ids = np.asarray(part["doc_id"], np.int64)
             rows = {
                 "key": key,
                 "band": np.repeat(np.arange(BANDS), len(starts)),
@@ -101,42 +139,36 @@ def _paragraphs(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Re
                 "digest": np.tile(digest, BANDS),
                 "bits": np.tile(bits, BANDS),
             }
-            order = np.argsort(key, kind="stable")
-            rows = {f: v[order] for f, v in rows.items()}
-            new = np.append(True, rows["key"][1:] != rows["key"][:-1])
-            begins, group = np.flatnonzero(new), np.cumsum(new) - 1
-            own = ids[rows["doc"]]
-            low, high = np.minimum.reduceat(own, begins), np.maximum.reduceat(own, begins)
-            rows["known"] = (low != high)[group]
-            to = (rows["key"] % np.uint64(parts)).astype(np.int64)
-            spread = rows["known"] & ~new
-            to[spread] = (a + np.flatnonzero(spread)) % parts
-            order = np.argsort(to, kind="stable")  # keys stay in order inside a part
-            edges = np.searchsorted(to[order], np.arange(parts + 1))
-            out: dict[str, list] = {n: [] for n in ("part", "doc_id", "text_key", *_FIELDS)}
-            text_keys = np.asarray(part["text_key"], np.int64)
-            for k, (x, y) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-                if y > x:
-                    mine = {f: v[order[x:y]] for f, v in rows.items()}
-                    docs, mine["doc"] = np.unique(mine["doc"], return_inverse=True)
-                    mine["key"] = np.diff(mine["key"], prepend=np.uint64(0))
-                    out["part"].append(k)
-                    out["doc_id"].append(ids[docs])
-                    out["text_key"].append(text_keys[docs])
-                    for f, kind in _FIELDS.items():
-                        out[f].append(_pack(mine[f].astype(kind)))
-            types = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.binary()] * len(_FIELDS)]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], list(out))
-
-
-_ROWS = "key bigint, band int, doc_id bigint, text_key bigint, start int, n_words int, digest bigint, bits bigint"
-
-
-def _met(key, table: pa.Table) -> pa.Table:
-    """The rows of one part whose band key two documents have."""
-    given = {f: [] for f in ("doc_id", "text_key", *_FIELDS)}
+            yield _sent(rows, part, a, parts, _FIELDS)
+
+
+def _windows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Packed columns of all windows of ``LEAST_WORDS`` words of some texts, split by hash."""
+    for batch in batches:
+        for a, b in text_slices(batch["text"], 2 << 20):
+            part = batch.slice(a, b - a)
+            words = find_words(part["text"])
+            runs, at = run_hashes(words.hashes(lower=True), words.first, LEAST_WORDS)
+            text = np.searchsorted(words.first, at, side="right") - 1
+            whole = words.counts[text] >= LEAST_WORDS
+            runs, at, text = runs[whole], at[whole], text[whole]
+            if len(at):
+                yield _sent({"key": runs, "doc": text, "start": at - words.first[text]}, part, a, parts, _WINDOW)
+
+
+_TYPES = {"key": "bigint", "band": "int", "doc_id": "bigint", "text_key": "bigint", "start": "int", "n_words": "int", "digest": "bigint", "bits": "bigint"}
+_NUMPY = {"bigint": np.int64, "int": np.int32}
+
+
+def _columns(fields: dict[str, str]) -> dict[str, str]:
+    return {f: t for f, t in _TYPES.items() if f in fields or f in ("doc_id", "text_key")}
+
+
+def _met(key, table: pa.Table, fields: dict[str, str]) -> pa.Table:
+    """The rows of one part whose key two documents have."""
+    given = {f: [] for f in ("doc_id", "text_key", *fields)}
     for r in table.to_pylist():
-        own = {f: _unpack(r[f], kind) for f, kind in _FIELDS.items()}
+        own = {f: _unpack(r[f], kind) for f, kind in fields.items()}
         own["key"] = np.cumsum(own["key"], dtype=np.uint64)
         own |= {f: np.array(r[f], np.int64)[own["doc"]] for f in ("doc_id", "text_key")}
         for f, v in own.items():
@@ -147,17 +179,14 @@ def _met(key, table: pa.Table) -> pa.Table:
     np.minimum.at(low, group, rows["doc_id"])
     np.maximum.at(high, group, rows["doc_id"])
     keep = (low != high)[group] | (rows["known"] > 0)
-    return pa.Table.from_arrays(
-        [
-            pa.array(rows["key"][keep].view(np.int64)),
-            pa.array(rows["band"][keep].astype(np.int32)),
-            *(pa.array(rows[f][keep]) for f in ("doc_id", "text_key")),
-            *(pa.array(rows[f][keep].astype(np.int32)) for f in ("start", "n_words")),
-            pa.array(rows["digest"][keep]),
-            pa.array(rows["bits"][keep]),
-        ],
-        ["key", "band", "doc_id", "text_key", "start", "n_words", "digest", "bits"],
-    )
+    return pa.table({f: rows[f][keep].astype(_NUMPY[t]) for f, t in _columns(fields).items()})
+
+
+def _meeting(docs: DataFrame, rows_of, parts: int, fields: dict[str, str]) -> DataFrame:
+    """The rows that ``rows_of`` makes of ``docs`` and whose key two documents have, written."""
+    packed = docs.mapInArrow(partial(rows_of, parts=parts), _packed(fields))
+    schema = ", ".join(f"{f} {t}" for f, t in _columns(fields).items())
+    return written(packed.groupBy("part").applyInArrow(lambda key, rows: _met(key, rows, fields), schema))
 
 
 def paragraph_text(text: str | None, start: int, n_words: int) -> str:
@@ -208,19 +237,12 @@ def _links(met: DataFrame, mixed: DataFrame, docs: DataFrame) -> DataFrame:
     return written(pairs.mapInArrow(_similar, "a bigint, b bigint"))
 
 
-def repeated_paragraphs(docs: DataFrame) -> DataFrame:
-    """A row for every paragraph of ``docs`` (doc_id, text) that repeats across documents.
+_FOUND = ["doc_id", "text_key", "start", "n_words", "component_id", "component_start", "removed"]
 
-    Returns doc_id, text_key (a hash of the whole text), start and n_words (in words of the
-    text), component_id and component_start (the document and word of the paragraph that is
-    kept), and removed.  Repeats inside one document are left alone.  Null and empty texts and
-    documents with a null id have no paragraphs; repeated rows count as one document; an empty
-    table gives no rows; further columns are ignored.
-    """
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).where("doc_id IS NOT NULL")
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    packed = docs.mapInArrow(partial(_paragraphs, parts=max(1, -(-size // PART_BYTES))), _PACKED)
-    met = written(packed.groupBy("part").applyInArrow(lambda key, rows: _met(key, rows), _ROWS))
+
+def _fragments(docs: DataFrame, parts: int) -> DataFrame:
+    """Repeated fragments in runs of at least ``LEAST_WORDS`` words."""
+    met = _meeting(docs, _paragraphs, parts, _FIELDS)
     mixed = met.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
     mixed = written(mixed.select("key"))
     roots = components(_links(met, mixed, docs)).select(F.col("node").alias("digest"), "root")
@@ -228,28 +250,99 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     more = met.where("band > 0").join(mixed, "key", "left_semi")
     columns = ["doc_id", "text_key", "start", "n_words", "digest"]
     rows = met.where("band = 0").select(*columns).union(more.select(*columns)).distinct().join(roots, "digest", "left")
-    rows = written(rows.withColumn("component", F.coalesce("root", "digest")).drop("root", "digest"))
-    kept = rows.groupBy("component").agg(
-        F.min(F.struct("doc_id", "start", "text_key")).alias("first"), F.max("doc_id").alias("last_id")
-    )
-    kept = kept.where("first.doc_id <> last_id").drop("last_id")
-    rows = rows.join(kept, "component")
+    rows = _placed(rows.withColumn("component", F.coalesce("root", "digest")).drop("root", "digest"))
     order = Window.partitionBy("doc_id", "text_key").orderBy("start")
     gap = F.coalesce(F.col("start") != F.lag(F.col("start") + F.col("n_words")).over(order), F.lit(True))
     rows = rows.withColumn("run", F.sum(gap.cast("int")).over(order))
     rows = rows.withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc_id", "text_key", "run")))
+    return rows.where(F.col("run_words") >= LEAST_WORDS).select(*_FOUND)
+
+
+def _passages(docs: DataFrame, parts: int) -> DataFrame:
+    """Repeated windows, put together where the windows of the first place go on in step."""
+    met = _meeting(docs, _windows, parts, _WINDOW).withColumnRenamed("key", "component").distinct()
+    rows = _placed(met.withColumn("n_words", F.lit(LEAST_WORDS)))
+    order = Window.partitionBy("doc_id", "text_key").orderBy("start")
+    step = F.struct("component_id", "component_key", F.col("component_start") - F.col("start"), "removed")
+    goes_on = (F.col("start") == F.lag("start").over(order) + 1) & (step == F.lag(step).over(order))
+    rows = rows.withColumn("run", F.sum(F.when(goes_on, 0).otherwise(1)).over(order))
+    rows = rows.groupBy("doc_id", "text_key", "run").agg(
+        F.min("start").alias("start"), (F.count("*") + (LEAST_WORDS - 1)).cast("int").alias("n_words"),
+        F.first("component_id").alias("component_id"), F.min("component_start").alias("component_start"),
+        F.first("removed").alias("removed"),
+    )
+    return rows.select(*_FOUND)
+
+
+def _split_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of at least ``LEAST_WORDS`` words, and the word each begins at."""
+    for batch in batches:
+        for a, b in text_slices(batch["text"]):
+            part = batch.slice(a, b - a)
+            rows = []
+            for i, text in enumerate(part["text"].to_pylist()):
+                start = 0
+                for line in (text or "").encode().split(b"\n"):
+                    n = len(line.split())
+                    if n >= LEAST_WORDS:
+                        rows.append((i, start, n, line.decode()))
+                    start += n
+            if rows:
+                of, start, n_words, lines = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part[c].take(pa.array(of)) for c in ("doc_id", "text_key")), pa.array(start, pa.int32()), pa.array(n_words, pa.int32()), pa.array(lines, pa.string())],
+                    ["doc_id", "text_key", "start", "n_words", "text"],
+                )
+
+
+def _near_lines(docs: DataFrame) -> DataFrame:
+    """Lines that are near copies of lines of other documents."""
+    lines = docs.select("doc_id", "text", "text_key").mapInArrow(
+        _split_lines, "doc_id bigint, text_key bigint, start int, n_words int, text string"
+    )
+    lines = lines.withColumn("line", F.xxhash64("doc_id", "text_key", "start"))
+    found = near_duplicates(lines.select(F.col("line").alias("doc_id"), "text"), WIDTH, PERCENT)
+    found = written(found.select(F.col("doc_id").alias("line"), F.col("component_id").alias("component")).distinct())
+    several = found.groupBy("component").count().where("count > 1").select("component")
+    rows = lines.drop("text").distinct().join(found.join(several, "component", "left_semi"), "line")
+    return _placed(rows.drop("line")).select(*_FOUND)
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows of components in two documents or more, with the first place of the component."""
+    rows = written(rows)
+    kept = rows.groupBy("component").agg(
+        F.min(F.struct("doc_id", "start", "text_key")).alias("first"), F.max("doc_id").alias("last_id")
+    )
+    kept = kept.where("first.doc_id <> last_id").drop("last_id")
     here = F.struct("doc_id", "start", "text_key")
-    return rows.where(F.col("run_words") >= LEAST_WORDS).select(
+    return rows.join(kept, "component").select(
         "doc_id",
         "text_key",
         "start",
         "n_words",
         F.col("first.doc_id").alias("component_id"),
         F.col("first.start").alias("component_start"),
+        F.col("first.text_key").alias("component_key"),
         (here != F.col("first")).alias("removed"),
     )
 
 
+def repeated_paragraphs(docs: DataFrame) -> DataFrame:
+    """A row for every passage, line and fragment of ``docs`` (doc_id, text) that repeats across documents.
+
+    Returns doc_id, text_key (a hash of the whole text), start and n_words (in words of the
+    text), component_id and component_start (the document and word of the one that is
+    kept), and removed.  Rows of different kinds may overlap.  Repeats inside one document are
+    left alone.  Null and empty texts and documents with a null id have no rows; repeated rows
+    count as one document; an empty table gives no rows; further columns are ignored.
+    """
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).where("doc_id IS NOT NULL")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(1, -(-size // PART_BYTES))
+    return _passages(docs, parts).union(_near_lines(docs)).union(_fragments(docs, parts)).distinct()
+
+
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, spans = batch["text"].to_pylist(), batch["removed_spans"].to_pylist()
