@@ -6,8 +6,9 @@ and scaled to length one.  Each language has a few centroids, found by spherical
 text gets the language of the centroid with the largest cosine; it is marked as rejected if
 that cosine is below what nearly all training texts of the centroid reach.
 
-Document frequencies count all training documents.  The centroids are fitted on a bounded
-sample: at most about ``SAMPLE`` training texts, chosen by a hash of the id.
+Document frequencies count all training documents.  The centroids of each language are fitted
+on a bounded sample of its own: about ``SAMPLE`` of its training texts, chosen by a hash of the
+id, or all of them if it has fewer.  Texts are made vectors in the tasks, whole, however long.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 from civicpanel.llm.words import LOWER, text_bytes, text_slices
 
 DIMENSIONS = 4096
-SAMPLE = 4_000
+#: Training texts of each language, and of all; many languages share the latter, but each has its least number.
+SAMPLE = 1_000
+SAMPLES, LEAST_SAMPLE = 12_000, 50
 CENTROIDS = 3
 ROUNDS = 12
 #: The share of training texts that may lie beyond the radius of their centroid.
@@ -103,6 +106,14 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), pa.array(np.append(total, docs)[place])], ["place", "docs"])
 
 
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a, b in text_slices(batch["text"], 1 << 20):
+            part = batch.slice(a, b - a)
+            rows = pa.array([v.tobytes() for v in vectors(part["text"]).astype(np.float16)], pa.binary())
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["lang"], rows], ["doc_id", "lang", "vector"])
+
+
 def learn(docs: DataFrame) -> Model | None:
     """A model of the training rows of ``docs``; ``None`` without any."""
     train = docs.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0)
@@ -113,13 +124,14 @@ def learn(docs: DataFrame) -> Model | None:
     if not docs_in_all:
         return None
     weights = np.log((1 + docs_in_all) / (1 + np.array([found.get(k, 0) for k in range(DIMENSIONS)], float)))
+    texts_of = dict(train.groupBy("lang").count().collect())  # one row for each language
+    most = min(SAMPLE, max(LEAST_SAMPLE, SAMPLES // len(texts_of)))
+    share = F.create_map(*(F.lit(x) for lang, n in texts_of.items() for x in (lang, min(1.0, most / n))))
     draw = F.xxhash64("doc_id", F.lit("language")).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
-    sample = train.where(draw < F.lit(SAMPLE / docs_in_all)).where("octet_length(text) <= 32768")
-    rows = sorted((tuple(r) for r in sample.select("doc_id", "lang", "text").limit(2 * SAMPLE).collect()))
-    if not rows:
-        return None
-    texts = pa.array([r[2] for r in rows], pa.large_string())
-    return fit(vectors(texts), [r[1] for r in rows], weights.astype(np.float32))
+    sample = train.where(draw < share[F.col("lang")]).select("doc_id", "lang", "text").mapInArrow(_vectors, "doc_id bigint, lang string, vector binary")
+    rows = sorted(tuple(r) for r in sample.collect())
+    found = np.stack([np.frombuffer(r[2], np.float16) for r in rows]).astype(np.float32)
+    return fit(found, [r[1] for r in rows], weights.astype(np.float32))
 
 
 def _named(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:
