@@ -22,10 +22,12 @@ from civicpanel.llm.words import SPACE, find_words, mix, run_hashes, span_hashes
 LEAST_WORDS = 50
 REPEATED_PERCENT = 50
 ENOUGH = 200
-#: Distances of the limit from the median, in spreads (median less the 10th percentile).
+#: Distances of the limits of the word length from the median, in spreads (median less the 10th percentile).
 SPREADS = 6
+#: Distances of the other limits from the 90th percentile, in spreads of the tail (90th less 75th percentile).
+TAIL_SPREADS = 3
 #: What every limit allows beyond that: the measure, in ten-thousandths a word or line, and the least distance.
-SLACK = {"symbols": 2_000, "duplicate_lines": 5_000, "repeats": 3_000, "word_length": 15_000}
+SLACK = {"symbols": 1_000, "duplicate_lines": 2_000, "repeats": 1_000, "word_length": 15_000}
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -132,14 +134,17 @@ def thresholds(merged: DataFrame) -> DataFrame:
     by = Window.partitionBy(*group)
     ranked = merged.withColumn("up_to", F.sum("docs").over(by.orderBy("bucket"))).withColumn("all", F.sum("docs").over(by))
     at = lambda p: F.min(F.when(F.col("up_to") * 100 >= F.col("all") * p, F.col("bucket")))
-    quantiles = ranked.groupBy(*group).agg(F.first("all").alias("all"), at(10).alias("q10"), at(50).alias("q50"))
+    quantiles = ranked.groupBy(*group).agg(F.first("all").alias("all"), *(at(p).alias(f"q{p}") for p in (10, 50, 75, 90)))
     slack = F.create_map(*(F.lit(x) for pair in SLACK.items() for x in pair))[F.col("measure")]
     reach = SPREADS * (F.col("q50") - F.col("q10")) + slack
+    # Most texts have none of the one-sided measures, so their limits follow the tail; a bucket is a sixteenth wide.
+    tail = F.expr(f"q90 + q90 DIV 16 + {TAIL_SPREADS} * (q90 - q75)") + slack
     limits = quantiles.where(F.col("all") >= ENOUGH)
     columns = []
     for name in SLACK:
         here = F.col("measure") == name
-        columns.append(F.max(F.when(here, F.col("q50") + reach)).alias(f"high_{name}"))
+        high = F.col("q50") + reach if name == "word_length" else tail
+        columns.append(F.max(F.when(here, high)).alias(f"high_{name}"))
         if name == "word_length":
             columns.append(F.max(F.when(here, F.col("q50") - reach)).alias(f"low_{name}"))
     return limits.groupBy("level", "lang", "source").agg(*columns)
