@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from civicpanel.llm.decontaminate import contamination
+from civicpanel.llm.importance import resample
 from civicpanel.llm.katz import score_corpus
 from civicpanel.llm.language_id import identify
 from civicpanel.llm.near_dedup import near_duplicates
@@ -62,6 +63,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), capacity=2048)
 
 
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_katz": op2_katz,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_near_dedup": op9_near_dedup,
     "op10_packing": op10_packing,
+    "op13_importance": op13_importance,
 }
 
 #: DuckDB SQL for the rows of a query, where SQL can express them.
@@ -132,4 +138,56 @@ ORACLES: dict[str, str] = {
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
     """,
+    "op13_importance": r"""
+        WITH tab AS (
+            SELECT list(c ORDER BY i) AS t FROM (
+                SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), range(8)),
+                    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+                FROM range(256) r(i))
+        ), d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), b AS (
+            SELECT regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), dw AS (
+            SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word FROM d) GROUP BY ALL
+        ), bw AS (
+            SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM b) GROUP BY ALL
+        ), h AS (
+            SELECT word, xor(4294967295, list_reduce(
+                list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, strlen(word) * 2, 2),
+                    lambda k: CAST(concat('0x', substr(hex(encode(word)), k, 2)) AS BIGINT))),
+                lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8))) % 10000 AS bucket
+            FROM (SELECT word FROM dw UNION SELECT word FROM bw), tab
+        ), s AS (
+            SELECT bucket, sum(n) AS n FROM dw JOIN h USING (word) GROUP BY bucket
+        ), t AS (
+            SELECT bucket, sum(n) AS n FROM bw JOIN h USING (word) GROUP BY bucket
+        ), a AS (
+            SELECT (SELECT coalesce(sum(n), 0) FROM s) AS all_s, (SELECT coalesce(sum(n), 0) FROM t) AS all_t
+        ), g AS (
+            SELECT i AS bucket, CAST(floor(1000 * ln(
+                CAST((coalesce(t.n, 0) + 1) * (all_s + 10000) AS DOUBLE) / CAST((coalesce(s.n, 0) + 1) * (all_t + 10000) AS DOUBLE))) AS BIGINT) AS gain
+            FROM range(10000) r(i) LEFT JOIN s ON s.bucket = i LEFT JOIN t ON t.bucket = i, a
+        ), m AS (
+            SELECT doc_id, sum(n * gain) AS total FROM dw JOIN h USING (word) JOIN g USING (bucket) GROUP BY doc_id
+        ), w AS (
+            SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_features,
+                   CASE WHEN len(w) = 0 THEN 0 ELSE CAST(floor(CAST(total AS DOUBLE) / len(w)) AS BIGINT) END AS weight
+            FROM d LEFT JOIN m USING (doc_id)
+        ), z AS (
+            SELECT *, weight + CAST(floor(-1000 * ln(-ln((
+                CAST(concat('0x', substr(sha256(concat('2024:', doc_id)), 1, 8)) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+            FROM w
+        ), r AS (
+            SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM z WHERE n_features >= 20
+        )
+        SELECT z.doc_id, z.n_features, z.weight, z.score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank
+        FROM z LEFT JOIN r USING (doc_id)
+    """,
 }
