@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from civicpanel.llm.bpe_stream import token_digests
 from civicpanel.llm.decontaminate import contamination
 from civicpanel.llm.importance import resample
 from civicpanel.llm.katz import score_corpus
@@ -63,6 +64,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), capacity=2048)
 
 
+def op12_bpe_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return token_digests(table(spark, folder, "documents"))
+
+
 def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
     return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_near_dedup": op9_near_dedup,
     "op10_packing": op10_packing,
+    "op12_bpe_stream": op12_bpe_stream,
     "op13_importance": op13_importance,
 }
 
