@@ -19,6 +19,7 @@ from civicpanel.llm.substring_dedup import repeated_paragraphs
 from civicpanel.llm.tables import table
 from civicpanel.llm.toxicity import toxicity
 from civicpanel.llm.warc_archive import archive_pages
+from civicpanel.llm.whitening import whiten
 
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,6 +65,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), capacity=2048)
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
 def op12_bpe_stream(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(table(spark, folder, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_near_dedup": op9_near_dedup,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
     "op12_bpe_stream": op12_bpe_stream,
     "op13_importance": op13_importance,
 }
