@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -28,12 +29,60 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that the session can reach."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` computed once, written as Parquet and read back.
 
     The copy survives lost executors, has no lineage, and its file sizes tell
-    the optimizer how large it really is.
+    the optimizer how large it really is.  It stays; inside an operator use a
+    :class:`Scratch` for copies that its result does not read.
     """
+    return _copy(df)[0]
+
+
+def _copy(df: DataFrame) -> tuple[DataFrame, str]:
     path = f"{checkpoint_folder(df.sparkSession)}/civicpanel-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+class Scratch:
+    """Written copies that are deleted when the scope ends.
+
+    What an operator returns must not read them any more: it is written with
+    :func:`written` inside the scope, or computed from other tables.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._copies: list[tuple[DataFrame, str]] = []
+
+    def written(self, df: DataFrame) -> DataFrame:
+        self._copies.append(_copy(df))
+        return self._copies[-1][0]
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete copies that nothing reads any more, before the scope ends."""
+        for entry in [e for e in self._copies if any(e[0] is t for t in tables)]:
+            self._copies.remove(entry)
+            delete_folder(self.spark, entry[1])
+        self._release()
+
+    def _release(self) -> None:
+        # Spark deletes the files of a shuffle once the driver's JVM has collected what refers to it.
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        for _, path in self._copies:
+            delete_folder(self.spark, path)
+        self._copies.clear()
+        self._release()
