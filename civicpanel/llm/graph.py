@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicpanel.lineage import written
+from civicpanel.lineage import Scratch, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,26 +14,27 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps until the edges stay the same, which takes a
     number of rounds that grows with the logarithm of the longest path.  Minima are combined
     before each shuffle and joins are plain equi-joins, so a node with very many neighbours is
-    split by adaptive execution.  Every round is written to the checkpoint folder.  Null ends
-    and loops are ignored; no edges give no rows.
+    split by adaptive execution.  Every round is written to the checkpoint folder, and the one
+    before is deleted.  Null ends and loops are ignored; no edges give no rows.
     """
-    now = written(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-        .distinct()
-    )
-    mark = None
-    while True:
-        seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if seen == mark or seen[0] == 0:
-            break
-        mark = seen
-        both = now.union(now.select("v", "u"))
-        nearest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(nearest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = written(small.union(lowest).distinct())
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-        now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    )
+    with Scratch(edges.sparkSession) as scratch:
+        now = scratch.written(
+            edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+            .where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+            .distinct()
+        )
+        mark = None
+        while True:
+            seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+            if seen == mark or seen[0] == 0:
+                break
+            mark = seen
+            both = now.union(now.select("v", "u"))
+            nearest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            large = both.where("v > u").join(nearest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            before, now = now, scratch.written(small.union(lowest).distinct())
+            scratch.drop(before)
+        pairs = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        return written(pairs.union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()))

@@ -1,16 +1,19 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
 Every text becomes a set of hashed word shingles.  Texts with equal sets form one class.  A
-class keeps the ``SKETCH`` smallest hashes of its set.  Inverted lists of the ``LISTED``
-smallest of them generate overlaps; a sketch of the union estimates the similarity of the
-pairs; the full sets of the pairs that are left confirm or refuse the link.
-
-Lists of up to ``LONGEST`` classes give all their pairs, at most that many for each member.
-A longer list would give pairs with the square of its length, so its members are listed
-again under stronger keys: the retained hashes of one residue class, taken together, which two
-texts share only if all of them agree.  Members of such a list are first compared with two
-members that stand for it.  Afterwards only members that are still in different components
-are compared with each other.  No list is cut and no member is dropped.
+class keeps the ``SKETCH`` smallest hashes of its set, and one bit for the parity of each of
+``PARITIES`` parts of the set: the parities in which two sets differ are a lower bound of the
+number of elements in which they differ.
+
+Inverted lists of the ``LISTED`` smallest hashes generate overlaps.  Two texts that are to be
+linked share at least ``SHARED`` of them, so a class whose hashes are mostly its own leaves the
+lists, and of the others only the rarest hashes are listed, as many as two such texts must meet
+in.  Members of a list are first compared with one member that stands for it, and in further
+rounds with another one, until that finds hardly any new links.  Then members that are still in
+different components are compared with each other, once, under the smallest hash they share,
+unless sizes or parities rule the link out, which is exact.  A sketch of the union estimates
+the similarity of all these pairs; the full sets of those that are left confirm or refuse the
+link.  No list is cut and no member is dropped.
 """
 
 from __future__ import annotations
@@ -21,21 +24,28 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicpanel.lineage import written
+from civicpanel.lineage import Scratch, written
 from civicpanel.llm.graph import components
 from civicpanel.llm.words import jaccard, shingle_sets, text_slices
 
 SKETCH = 48
 LISTED = 16
-LONGEST = 50
-BANDS = 16
+PARITIES = 1024
 #: Of 16 retained hashes, two sets with a similarity of 0.8 share fewer than 7 in one of 70,000 cases.
 SHARED = 7 / 16
-#: How far the estimate of 48 hashes may be below the similarity: four standard deviations.
-MARGIN = 0.22
+#: How far the estimate of 48 hashes may be below the similarity: five standard deviations or more.
+MARGIN = 0.30
+#: Rounds of comparisons with stand-ins go on while they add this share of links.
+WORTH = 0.02
+
+
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Bits that tell of each part of a set whether its number of elements is odd."""
+    counts = np.bincount((hashes & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -50,8 +60,9 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s, digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                     pa.array([s[:SKETCH].view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([parities(s) for s in sets], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_key", "n_shingles", "node", "sketch"],
+                ["doc_id", "text_key", "n_shingles", "node", "sketch", "bits"],
             )
 
 
@@ -73,96 +84,119 @@ def _verified(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """A row for each document: its set size, the digest of its set (``node``) and its sketch."""
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
+    """A row for each document: its set size, the digest of its set (``node``), sketch and parities."""
+    return docs.select("doc_id", "text", "text_key").mapInArrow(
         partial(_signatures, width=width),
-        "doc_id bigint, text_key bigint, n_shingles bigint, node binary, sketch array<bigint>",
+        "doc_id bigint, text_key bigint, n_shingles bigint, node binary, sketch array<bigint>, bits array<bigint>",
     )
 
 
-def _estimate(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose union sketch allows the wanted similarity."""
-    for side in ("a", "b"):
-        pairs = pairs.join(sketches.select(F.col("node").alias(side), F.col("sketch").alias(f"s_{side}")), side)
-    union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, SKETCH)
-    both = F.size(F.array_intersect(F.array_intersect("s_a", "s_b"), union))
-    return pairs.where(both >= (percent / 100 - MARGIN) * F.size(union)).select("a", "b")
+def _least_shared(n: str) -> str:
+    """How many retained hashes a set of ``n`` shares at least with one that it is linked to."""
+    return f"greatest(1, CAST(floor({SHARED} * least({LISTED}, {n})) AS int))"
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough."""
-    pairs = written(pairs)
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(classes.select("node", "doc_id", "text_key"), "node")
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).alias("d").join(
-        wanted.alias("w"), F.expr("d.text_key = w.text_key AND d.doc_id <=> w.doc_id")
+def _listed(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(value, node) of the lists in which every two texts that are to be linked meet."""
+    least = _least_shared(f"ceil({percent / 100} * n_shingles)")
+    listed = classes.select("node", "n_shingles", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
+    retained = f"least({LISTED}, n_shingles)"
+    for _ in range(2):  # classes that leave make hashes of others their own
+        sizes = listed.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
+        shared = listed.join(sizes, "value")
+        own = Window.partitionBy("node")
+        shared = shared.withColumn("n_shared", F.count("*").over(own)).where(f"n_shared >= {least}")
+        # Hashes without a second class are the rarest; the order is the same for all classes.
+        place = F.expr(f"{retained} - n_shared") + F.row_number().over(own.orderBy("members", "value"))
+        shared = scratch.written(shared.withColumn("place", place).select("value", "node", "n_shingles", "place"))
+        listed = shared.select("value", "node", "n_shingles")
+    return shared.where(f"place <= {retained} - {least} + 1").select("value", "node")
+
+
+def _possible(percent: int) -> str:
+    """Whether sizes and parities of a and b allow the similarity; false is certain."""
+    differ = " + ".join(f"bit_count(bits_a[{k}] ^ bits_b[{k}])" for k in range(PARITIES // 64))
+    return (
+        f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+        f" AND {100 + percent} * ({differ}) <= {100 - percent} * (n_a + n_b)"
     )
-    texts = written(texts.select("node", "text").dropDuplicates(["node"]))
-    for side in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
+
+
+def _sided(df: DataFrame, side: str, *names: str) -> DataFrame:
+    return df.select(*(F.col(c).alias(f"{c}_{side}") for c in names))
+
+
+def _confirmed(pairs: DataFrame, marked: DataFrame, texts: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) that are links."""
+    for s in "ab":
+        side = marked.select(F.col("node").alias(s), F.col("sketch").alias(f"s_{s}"), F.col("bits").alias(f"bits_{s}"), F.col("n_shingles").alias(f"n_{s}"))
+        pairs = pairs.join(side, s)
+    union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, SKETCH)
+    both = F.size(F.array_intersect(F.array_intersect("s_a", "s_b"), union))
+    pairs = pairs.where(_possible(percent)).where(both >= (percent / 100 - MARGIN) * F.size(union))
+    pairs = scratch.written(pairs.select("a", "b"))
+    for s in "ab":
+        pairs = pairs.join(texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}")), s)
     checked = pairs.mapInArrow(partial(_verified, width=width), "a binary, b binary, shared bigint, together bigint")
-    return written(checked.where(100 * F.col("shared") >= percent * F.col("together")).select("a", "b"))
+    return scratch.written(checked.where(100 * F.col("shared") >= percent * F.col("together")).select("a", "b"))
 
 
 def link_classes(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, root) of the classes that have links; ``classes`` must be a written table."""
-    listed = classes.select("node", "n_shingles", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
-    sizes = listed.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
-    listed = listed.join(sizes, "value").select(
-        "value", "node", "n_shingles", (F.col("members") > LONGEST).alias("long")
-    )
-    n_long = F.expr("count_if(long) OVER (PARTITION BY node)")
-    listed = written(listed.withColumn("n_long", n_long))
-
-    short = listed.where("NOT long")
-    left, right = (short.select("value", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n_shingles", "n_long"))) for s in "ab")
-    pairs = left.join(right, "value").where(
-        f"node_a < node_b AND 100 * least(n_shingles_a, n_shingles_b) >= {percent} * greatest(n_shingles_a, n_shingles_b)"
-    )
-    needed = F.expr(
-        f"greatest(1, floor({SHARED} * least({LISTED}, n_shingles_a, n_shingles_b)) - least(n_long_a, n_long_b))"
-    )
-    pairs = (
-        pairs.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"), needed.alias("needed"))
-        .agg(F.count("*").alias("overlap"))
-        .where("overlap >= needed")
-        .select("a", "b")
-    )
-    hot = listed.where("long").select("node").distinct()
-    bands = classes.join(hot, "node", "left_semi").select(
-        "node",
-        "n_shingles",
-        F.explode(
+    with Scratch(classes.sparkSession) as scratch:
+        listed = scratch.written(_listed(classes, percent, scratch))
+        meeting = listed.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
+        listed = scratch.written(listed.join(meeting.select("value"), "value", "left_semi"))
+        marked = classes.join(listed.select("node").distinct(), "node", "left_semi")
+        marked = scratch.written(marked.select("node", "doc_id", "text_key", "n_shingles", "sketch", "bits"))
+        where = marked.select("node", F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"))
+        texts = docs.join(where, F.expr("text_key = own_key AND doc_id <=> own_id"))
+        texts = scratch.written(texts.select("node", "text").dropDuplicates(["node"]))
+
+        links = scratch.written(listed.selectExpr("node AS a", "node AS b").limit(0))
+        found, tried, total = components(links), None, 0
+        for number in range(64):
+            placed = listed.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            # Of the largest component of a list, another member stands for the list in each round.
+            salted = F.struct(F.xxhash64("node", F.lit(number)), F.col("node"))
+            groups = placed.groupBy("value", "root").agg(F.count("*").alias("members"), F.min(salted).alias("stands"))
+            best = groups.groupBy("value").agg(F.max(F.struct("members", "root", "stands")).alias("top"), F.count("*").alias("roots"))
+            best = best.where("roots > 1").select("value", "top.root", F.col("top.stands.node").alias("b"))
+            stars = placed.withColumnRenamed("root", "own_root").join(best, "value").where("own_root <> root")
+            stars = stars.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+            stars = scratch.written(stars if tried is None else stars.join(tried, ["a", "b"], "left_anti"))
+            tried = stars if tried is None else tried.union(stars)
+            new = _confirmed(stars, marked, texts, width, percent, scratch)
+            more = new.count()
+            if not more:
+                break
+            total += more
+            links = links.union(new)
+            found = components(links)
+            if more <= WORTH * total:
+                break
+
+        # Members of a list that are left in different components, each pair under its smallest list.
+        placed = listed.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        apart = placed.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        rest = placed.join(apart.select("value"), "value", "left_semi")
+        keys = rest.groupBy("node").agg(F.collect_list("value").alias("keys"))  # at most LISTED of a class
+        rest = rest.join(keys, "node").join(marked.select("node", F.col("n_shingles").alias("n"), "bits"), "node")
+        rest = scratch.written(rest)
+        names = ("node", "root", "n", "bits", "keys")
+        left, right = (_sided(rest, s, "value", *names) for s in "ab")
+        pairs = left.join(
+            right,
             F.expr(
-                f"transform(sequence(0, {BANDS - 1}), r -> named_struct('r', r, 'v', filter(sketch, x -> pmod(x, {BANDS}) = r)))"
-            )
-        ).alias("band"),
-    )
-    bands = written(bands.where("size(band.v) > 0").select("node", "n_shingles", F.xxhash64("band").alias("value")))
-    ends = bands.groupBy("value").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    stars = bands.join(ends, "value").select("node", F.explode(F.array("low", "high")).alias("b"))
-    stars = stars.where("node <> b").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-
-    sketches = classes.select("node", "sketch")
-    tried = written(_estimate(pairs.union(stars).distinct(), sketches, percent))
-    links = _confirm(tried, classes, docs, width, percent)
-    found = components(links)
-
-    # Members of a long list that the two stand-ins left in different components.
-    placed = bands.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    apart = placed.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    rest = written(placed.join(apart.select("value"), "value", "left_semi").join(sketches, "node"))
-    if rest.isEmpty():
-        return found
-    left, right = (rest.select("value", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n_shingles", "root", "sketch"))) for s in "ab")
-    more = left.join(right, "value").where(
-        f"node_a < node_b AND root_a <> root_b AND 100 * least(n_shingles_a, n_shingles_b) >= {percent} * "
-        f"greatest(n_shingles_a, n_shingles_b) AND size(array_intersect(sketch_a, sketch_b)) >= "
-        f"{percent / 100 - MARGIN} * least(size(sketch_a), size(sketch_b))"
-    )
-    more = more.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    again = _confirm(_estimate(more, sketches, percent), classes, docs, width, percent)
-    return components(links.union(again))
+                f"value_a = value_b AND node_a < node_b AND root_a <> root_b AND {_possible(percent)}"
+                " AND value_a = array_min(array_intersect(keys_a, keys_b))"
+            ),
+        )
+        pairs = scratch.written(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        more = _confirmed(pairs, marked, texts, width, percent, scratch)
+        return components(links.union(more)) if more.count() else found
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -171,7 +205,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     ``docs`` has ``doc_id`` and ``text``; further columns are ignored.  Two texts are linked if
     their sets of ``width``-word shingles share at least ``percent`` per cent of their union; a
     text with fewer words has its whole sequence as the one shingle.  Returns doc_id,
-    n_shingles, component_id, kept.
+    n_shingles, component_id, kept, and text_key (a hash of the text, which tells rows with
+    equal ids apart).
 
     Texts that are null or have no words link with nothing and are kept.  Repeated rows are
     members of one class and all get its component; rows with equal ids are all kept or all
@@ -179,22 +214,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     all of its ids are null, and then the component and ``kept`` are null.  An empty table
     gives no rows.
     """
-    docs = docs.select("doc_id", "text")
-    signed = written(signatures(docs, width))
-    classes = written(
-        signed.where("node IS NOT NULL")
-        .groupBy("node")
-        .agg(F.min_by(F.struct("doc_id", "text_key", "n_shingles", "sketch"), "doc_id").alias("r"), F.first("doc_id").alias("any"),
-             F.first(F.struct("doc_id", "text_key", "n_shingles", "sketch")).alias("f"))
-        .select("node", F.coalesce("r", "f").alias("r"))
-        .select("node", "r.*")
-    )
-    roots = link_classes(classes, docs, width, percent)
-    root_of = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = root_of.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    placed = root_of.join(least, "root").select("node", "component_id")
-    result = signed.select("doc_id", "n_shingles", "node").join(placed, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return result.select(
-        "doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept")
-    )
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    with Scratch(docs.sparkSession) as scratch:
+        signed = scratch.written(signatures(docs, width))
+        row = F.struct("doc_id", "text_key", "n_shingles", "sketch", "bits")
+        known = signed.where("node IS NOT NULL").groupBy("node")
+        # The smallest id stands for a class; only null ids leave min_by empty.
+        classes = known.agg(F.coalesce(F.min_by(row, "doc_id"), F.first(row)).alias("r"))
+        classes = scratch.written(classes.select("node", "r.*"))
+        rows = scratch.written(signed.select("doc_id", "text_key", "n_shingles", "node"))
+        scratch.drop(signed)
+        roots = link_classes(classes, docs, width, percent)
+        root_of = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        least = root_of.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+        placed = root_of.join(least, "root").select("node", "component_id")
+        result = rows.join(placed, "node", "left")
+        component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+        return written(
+            result.select(
+                "doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"), "text_key"
+            )
+        )

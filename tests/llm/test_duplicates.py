@@ -1,10 +1,14 @@
 """Near duplicates, repeated passages and components against brute force."""
 
+import random
+
+import numpy as np
 import pytest
 
+import corpus_pipeline
 from civicpanel.llm import near_dedup, substring_dedup
 from civicpanel.llm.graph import components
-from tests.llm.conftest import same
+from tests.llm.conftest import prose, same
 
 
 def words(text):
@@ -50,13 +54,57 @@ def test_near_duplicates_equal_brute_force(docs, corpus, width, percent):
             assert r.component_id == expected[r.doc_id] and r.kept == (r.doc_id == expected[r.doc_id])
 
 
-def test_long_lists_lose_no_link(frame, corpus, monkeypatch):
-    """With every list of two or more counted as long, the same components come out."""
-    monkeypatch.setattr(near_dedup, "LONGEST", 1)
-    expected = brute_components(corpus[0], 3, 85)
-    df = frame(corpus[0], "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    for r in near_dedup.near_duplicates(df, 3, 85).collect():
-        assert r.doc_id is None or r.component_id == expected[r.doc_id]
+@pytest.mark.parametrize("width,percent", [(3, 85), (5, 80)])
+def test_a_large_near_group_loses_no_link_and_is_not_paired(frame, monkeypatch, width, percent):
+    """Copies with up to a sixth of the words changed: compared pairs grow with the group, not its square."""
+    rng = random.Random(8)
+    base = prose(rng, 90).split(" ")
+
+    def copies(n):
+        rows = []
+        for i in range(n):
+            own = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 3, 4, 6, 9, 15])):
+                own[rng.randrange(len(own))] = prose(rng, 1)
+            rows.append((i, " ".join(own)))
+        return rows + [(n + i, f"{prose(rng, rng.randint(20, 60))} {' '.join(base[:12])} {prose(rng, 30)}") for i in range(n)]
+
+    seen = []
+    confirmed = near_dedup._confirmed
+
+    def counted(pairs, *rest):
+        seen[-1] += pairs.count()
+        return confirmed(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "_confirmed", counted)
+    for n in (100, 400):
+        seen.append(0)
+        rows = copies(n)
+        expected = brute_components(rows, width, percent)
+        for r in near_dedup.near_duplicates(frame(rows, "doc_id bigint, text string"), width, percent).collect():
+            assert r.component_id == expected[r.doc_id]
+    assert seen[1] <= 6 * seen[0] + 100 and seen[1] < 400 * 400 / 20
+
+
+def test_parities_never_exclude_a_link():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        n = int(rng.integers(1, 3000))
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        b = np.concatenate([a[rng.random(n) < rng.random()], rng.integers(0, 1 << 63, int(rng.integers(0, n + 1))).astype(np.uint64)])
+        differ = sum(int(x).bit_count() for x in (near_dedup.parities(a) ^ near_dedup.parities(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b))
+
+
+def test_a_rejected_row_takes_no_other_text_with_it(spark, frame):
+    rng = random.Random(3)
+    a, b = prose(rng, 60), prose(rng, 60)
+    rows = frame([(1, a), (2, a), (2, b), (2, b), (None, a)], "doc_id bigint, text string")
+    for own in (rows, rows.selectExpr("*", "1 AS _id", "2 AS kept_id", "3 AS text_key", "4 AS node")):
+        kept = corpus_pipeline.near_dedup(spark, own, "")
+        assert kept.columns == own.columns
+        assert sorted(map(str, kept.select("doc_id", "text").collect())) == sorted(map(str, rows.limit(0).union(
+            frame([(1, a), (2, b), (None, a)], "doc_id bigint, text string")).collect()))
 
 
 def test_near_duplicates_edge_cases(docs, clashing, empty):
