@@ -23,6 +23,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -34,15 +35,32 @@ from pyspark.sql import DataFrame
 #: Characters of a block of text.
 BLOCK = 1 << 16
 #: Words of at most so many bytes are kept at hand with their ids, and how many of them.
-SHORT, AT_HAND = 64, 200_000
+SHORT, AT_HAND = 64, 500_000
 
 #: The one-character spelling of each byte in byte-level vocabularies.
 _SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
 LETTERS = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+#: A common pattern of words, a fixed value.
+CONTRACTIONS_FIRST = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Before such a character a text may be cut: it joins with nothing that stands before it.
 _CUT = regex.compile(r"[\x00-\x7fÀ-ɏΑ-Ωα-ωА-яぁ-ゖァ-ヺ一-鿿가-힣]")
 
 
+def simple_pattern(pattern: str):
+    """The pattern for text below U+0308, where the classes are short, in the faster engine.
+
+    Where the pattern's alternatives begin with different characters, their order does not matter.
+    """
+    if pattern != CONTRACTIONS_FIRST:
+        return regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
+    classes = {}
+    for name in ("L", "N", "White_Space"):
+        of = regex.compile(rf"\p{{{name}}}")
+        classes[name] = "".join(re.escape(chr(c)) for c in range(0x308) if of.match(chr(c)))
+    letters, numbers, space = classes.values()
+    return re.compile(f"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{numbers}]|[^{space}{letters}{numbers}]+")
+
+
 class Merges:
     """The merge list of a BPE model, with what the transducer needs to know of it.
 
@@ -121,6 +139,10 @@ class Transducer:
         self.merges = merges
         self.token_of = {whole[i]: i for i in merges.own if self.size[i]}
         self.longest = max(map(len, self.token_of), default=1)
+        self._ending: dict[str, set[int]] = {}  # lengths of the tokens that end so
+        for token in self.token_of:
+            self._ending.setdefault(token[-3:], set()).add(len(token))
+        self._lengths: dict[str, list[int]] = {}
         self.lookahead = merges.lookahead(self.size)
         self._begin()
 
@@ -130,19 +152,39 @@ class Transducer:
         self.last = [self.START]  # of every prefix of ``text``: its last token
         self.done = 0  # symbols of ``text`` that are emitted
 
-    def _read(self, symbols: list[str]) -> None:
-        token_of, last, compatible = self.token_of, self.last, self.merges.compatible
-        for symbol in symbols:
-            self.text += symbol[0]
-            at, tail = len(last), symbol[1:]
-            for size in range(min(self.longest, at), 0, -1):
-                token = token_of.get(self.text[at - size : at] + tail)
-                before = last[at - size]
-                if token is not None and (before == self.START or compatible(before, token)):
-                    last.append(token)
-                    break
+    def _try(self, tail: str) -> list[int]:
+        """Lengths that a token may have behind which the last three characters are ``tail``, longest first."""
+        found = self._ending.get(tail, set()) | {len(tail) - k for k in range(len(tail)) if tail[k:] in self.token_of}
+        if len(self._lengths) >= AT_HAND:
+            self._lengths.clear()
+        self._lengths[tail] = lengths = sorted(found, reverse=True)
+        return lengths
+
+    def _read(self, symbols: str, end: str = "") -> None:
+        """Finds the last tokens of the prefixes that end with each of ``symbols``; ``end`` closes the last one."""
+        token_of, last, lengths, known = self.token_of, self.last, self._lengths, self.merges._known
+        self.text = text = self.text + symbols
+        n = len(text)
+        for at in range(len(last), n + 1):
+            tail, extra = (text, 0) if at < n or not end else (text + end, 1)
+            stop = at + extra
+            key = tail[stop - 3 if stop > 3 else 0 : stop]
+            for length in lengths.get(key) or self._try(key):
+                start = stop - length
+                if start < 0:
+                    continue
+                token = token_of.get(tail[start:stop])
+                if token is not None:
+                    before = last[start]
+                    if before < 0:
+                        last.append(token)
+                        break
+                    fits = known.get(before << 32 | token)
+                    if fits or fits is None and self.merges.compatible(before, token):
+                        last.append(token)
+                        break
             else:
-                raise ValueError(f"no token for the symbol {symbol!r}")
+                raise ValueError(f"no token for the symbol {text[at - 1]!r}")
 
     def _back(self, until: int) -> list[int]:
         """Ids that are not emitted and end at ``until`` symbols or before, first to last."""
@@ -163,7 +205,7 @@ class Transducer:
         found: list[int] = []
         step = max(1, self.lookahead)
         for a in range(0, len(symbols), step):
-            self._read(list(symbols[a : a + step]))
+            self._read(symbols[a : a + step])
             if len(self.text) - self.done > 2 * step:
                 found += self._back(len(self.text) - self.lookahead)
                 drop = self.done  # a token that reaches back beyond what is final cannot come
@@ -173,7 +215,7 @@ class Transducer:
     def close(self) -> list[int]:
         """Ends the word; returns the rest of its ids."""
         if self.held:
-            self._read([self.held + self.end if self.suffix else self.held])
+            self._read(self.held, self.end if self.suffix else "")
         found = self._back(len(self.text))
         self._begin()
         return found
@@ -213,7 +255,7 @@ class Tokens:
         by_length = sorted(self.special, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")") if by_length else None
         pattern = before[0]["pattern"]["Regex"]
-        self._pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
+        self._pattern = simple_pattern(pattern)
         self._split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
         self._normalizer = Tokenizer.from_file(path).normalizer
         self._lower = any(n["type"] == "Lowercase" for n in (spec.get("normalizer") or {}).get("normalizers", []))
