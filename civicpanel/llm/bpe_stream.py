@@ -274,8 +274,9 @@ class Tokens:
 
     def _prepared(self, block: str) -> tuple[str, bool]:
         """The normalised block, and whether its words can be found without the library's tables."""
-        if block.isascii() or max(block) < "̀":  # composed already
-            return (block.lower() if self._lower else block), True
+        if block.isascii() or max(block) < "\u0300":  # composed already
+            block = block.lower() if self._lower else block
+            return block, block.isascii() or max(block) < "\u0308"
         return (self._normalizer.normalize_str(block) if self._normalizer else block), False
 
     def _words(self, block: str, simple: bool) -> list[str]:
