@@ -137,10 +137,62 @@ def _confirmed(pairs: DataFrame, marked: DataFrame, texts: DataFrame, width: int
     pairs = scratch.written(pairs.select("a", "b"))
     for s in "ab":
         pairs = pairs.join(texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}")), s)
-    checked = pairs.mapInArrow(partial(_verified, width=width), "a binary, b binary, shared bigint, together bigint")
+    kind = dict(marked.dtypes)["node"]
+    checked = pairs.mapInArrow(partial(_verified, width=width), f"a {kind}, b {kind}, shared bigint, together bigint")
     return scratch.written(checked.where(100 * F.col("shared") >= percent * F.col("together")).select("a", "b"))
 
 
+def link_lists(listed: DataFrame, marked: DataFrame, texts: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
+    """(node, root) of the nodes that have links.
+
+    ``listed`` has the members of each list (value, node), at most a few lists for a node;
+    ``marked`` node, n_shingles, sketch and bits; ``texts`` node and text.  All are written.
+    """
+    links = scratch.written(listed.selectExpr("node AS a", "node AS b").limit(0))
+    found, tried, total = components(links), None, 0
+    for number in range(64):
+        placed = listed.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        # Of the largest component of a list, another member stands for the list in each round.
+        salted = F.struct(F.xxhash64("node", F.lit(number)), F.col("node"))
+        groups = placed.groupBy("value", "root").agg(F.count("*").alias("members"), F.min(salted).alias("stands"))
+        best = groups.groupBy("value").agg(F.max(F.struct("members", "root", "stands")).alias("top"), F.count("*").alias("roots"))
+        best = best.where("roots > 1").select("value", "top.root", F.col("top.stands.node").alias("b"))
+        stars = placed.withColumnRenamed("root", "own_root").join(best, "value").where("own_root <> root")
+        stars = stars.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+        stars = scratch.written(stars if tried is None else stars.join(tried, ["a", "b"], "left_anti"))
+        tried = stars if tried is None else tried.union(stars)
+        new = _confirmed(stars, marked, texts, width, percent, scratch)
+        more = new.count()
+        if not more:
+            break
+        total += more
+        links = links.union(new)
+        found = components(links)
+        if more <= WORTH * total:
+            break
+
+    # Members of a list that are left in different components, each pair under its smallest list.
+    placed = listed.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    apart = placed.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    rest = placed.join(apart.select("value"), "value", "left_semi")
+    keys = rest.groupBy("node").agg(F.collect_list("value").alias("keys"))  # a few lists for each node
+    rest = rest.join(keys, "node").join(marked.select("node", F.col("n_shingles").alias("n"), "bits"), "node")
+    rest = scratch.written(rest)
+    names = ("node", "root", "n", "bits", "keys")
+    left, right = (_sided(rest, s, "value", *names) for s in "ab")
+    pairs = left.join(
+        right,
+        F.expr(
+            f"value_a = value_b AND node_a < node_b AND root_a <> root_b AND {_possible(percent)}"
+            " AND value_a = array_min(array_intersect(keys_a, keys_b))"
+        ),
+    )
+    pairs = scratch.written(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+    pairs = pairs.join(tried, ["a", "b"], "left_anti")
+    more = _confirmed(pairs, marked, texts, width, percent, scratch)
+    return components(links.union(more)) if more.count() else found
+
+
 def link_classes(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, root) of the classes that have links; ``classes`` must be a written table."""
     with Scratch(classes.sparkSession) as scratch:
@@ -152,51 +204,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, width: int, percent: int)
         where = marked.select("node", F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"))
         texts = docs.join(where, F.expr("text_key = own_key AND doc_id <=> own_id"))
         texts = scratch.written(texts.select("node", "text").dropDuplicates(["node"]))
-
-        links = scratch.written(listed.selectExpr("node AS a", "node AS b").limit(0))
-        found, tried, total = components(links), None, 0
-        for number in range(64):
-            placed = listed.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            # Of the largest component of a list, another member stands for the list in each round.
-            salted = F.struct(F.xxhash64("node", F.lit(number)), F.col("node"))
-            groups = placed.groupBy("value", "root").agg(F.count("*").alias("members"), F.min(salted).alias("stands"))
-            best = groups.groupBy("value").agg(F.max(F.struct("members", "root", "stands")).alias("top"), F.count("*").alias("roots"))
-            best = best.where("roots > 1").select("value", "top.root", F.col("top.stands.node").alias("b"))
-            stars = placed.withColumnRenamed("root", "own_root").join(best, "value").where("own_root <> root")
-            stars = stars.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-            stars = scratch.written(stars if tried is None else stars.join(tried, ["a", "b"], "left_anti"))
-            tried = stars if tried is None else tried.union(stars)
-            new = _confirmed(stars, marked, texts, width, percent, scratch)
-            more = new.count()
-            if not more:
-                break
-            total += more
-            links = links.union(new)
-            found = components(links)
-            if more <= WORTH * total:
-                break
-
-        # Members of a list that are left in different components, each pair under its smallest list.
-        placed = listed.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        apart = placed.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        rest = placed.join(apart.select("value"), "value", "left_semi")
-        keys = rest.groupBy("node").agg(F.collect_list("value").alias("keys"))  # at most LISTED of a class
-        rest = rest.join(keys, "node").join(marked.select("node", F.col("n_shingles").alias("n"), "bits"), "node")
-        rest = scratch.written(rest)
-        names = ("node", "root", "n", "bits", "keys")
-        left, right = (_sided(rest, s, "value", *names) for s in "ab")
-        pairs = left.join(
-            right,
-            F.expr(
-                f"value_a = value_b AND node_a < node_b AND root_a <> root_b AND {_possible(percent)}"
-                " AND value_a = array_min(array_intersect(keys_a, keys_b))"
-            ),
-        )
-        pairs = scratch.written(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        more = _confirmed(pairs, marked, texts, width, percent, scratch)
-        return components(links.union(more)) if more.count() else found
+        return link_lists(listed, marked, texts, width, percent, scratch)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -1,352 +1,322 @@
-"""Substring deduplication: exact shared passages, near copies of lines, and repeated fragments.
-
-Three kinds of repeats across documents are reported, each with the place of the first:
-
-* passages: every stretch of words that lies in windows of ``LEAST_WORDS`` words which another
-  document has too, word by word (A-Z lowered), wherever the passage stands and at its full
-  length.  All windows of all texts are compared by 64-bit hashes;
-* lines: lines of ``LEAST_WORDS`` words or more whose sets of 5-word shingles have an exact
-  Jaccard similarity of 0.8 or more, linked as in ``near_dedup`` and clustered by connected
-  components;
-* fragments: content-defined cuts, which begin at every word whose hash is the smallest within
-  ``REACH`` words on either side, 13 words long on average.  ``BANDS`` bands of one minimum each
-  bring similar ones together, which are verified by exact Jaccard similarity and clustered.
-  They are reported in runs of at least ``LEAST_WORDS`` repeated words.
-
-The first of each group, by document and place, is kept.
+"""Substring deduplication: MinHash banding over overlapping blocks and over real paragraphs.
+
+Two kinds of paragraphs are compared across documents:
+
+* blocks: every run of ``LEAST_WORDS`` words, wherever it stands.  The band key of a block is the
+  smallest hash of its 5-word shingles, so equal blocks always meet, and neighbouring blocks
+  have the key, and thus the one row, in common (an *anchor*).  Anchors whose key several
+  documents have are verified: if the words around all of them are equal, for as far as any
+  block with that key can reach, they are settled; if not, all blocks around those that
+  another document agrees with to one side at least are compared in whole, by 128 bits of hash.
+  Equal blocks that go on in step are put together to passages of full length;
+* lines, and blocks of lines between blank ones, of ``LEAST_WORDS`` words or more: ``BANDS`` bands
+  of ``ROWS`` minima each, which 997 of 1,000 pairs with a similarity of 0.8 share, bring
+  candidates together.  Exact Jaccard similarity of their 5-word shingles verifies them, as in
+  ``near_dedup``, and connected components cluster them.
+
+The first of each group, by document and place, is kept.  Repeats are removed where they are
+not the first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicpanel.lineage import written
-from civicpanel.llm.graph import components
-from civicpanel.llm.near_dedup import near_duplicates
-from civicpanel.llm.words import find_words, jaccard, mix, run_hashes, shingle_sets, text_slices
+from civicpanel.lineage import Scratch, written
+from civicpanel.llm.near_dedup import SKETCH, link_lists, parities
+from civicpanel.llm.tables import free_names
+from civicpanel.llm.words import Words, find_words, mix, sliding, text_slices, word_spans
 
-REACH = 6
 WIDTH = 5
-BANDS = 2
-PERCENT = 80
 LEAST_WORDS = 15
-#: Bytes of text for each part of the band keys.
-PART_BYTES = 8 << 20
-
-
-def paragraph_starts(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Words that begin a paragraph: the first of each text, and local minima of the hash."""
-    n = len(hashes)
-    text_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    least = np.ones(n, bool)
-    for k in range(1, min(REACH, n - 1) + 1):
-        same = text_of[k:] == text_of[:-k]
-        least[k:] &= (hashes[k:] < hashes[:-k]) | ~same
-        least[:-k] &= (hashes[:-k] < hashes[k:]) | ~same
-    least[first[:-1][np.diff(first) > 0]] = True
-    return np.flatnonzero(least)
-
-
-def _pack(values: np.ndarray) -> bytes:
-    """A compressed column: the bytes of equal weight stand together."""
-    import zstandard
-
-    raw = np.ascontiguousarray(values)
-    return zstandard.ZstdCompressor(level=1).compress(raw.view(np.uint8).reshape(len(raw), raw.itemsize).T.tobytes())
-
-
-def _unpack(data: bytes, kind: str) -> np.ndarray:
-    import zstandard
-
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
-
-
-#: The columns of a paragraph in one band, and of a window, and how they are packed.
-_FIELDS = {"key": "<u8", "band": "u1", "doc": "<u4", "start": "<u4", "n_words": "<u4", "digest": "<i8", "bits": "<i8", "known": "u1"}
-_WINDOW = {f: _FIELDS[f] for f in ("key", "doc", "start", "known")}
-
-
-def _packed(fields: dict[str, str]) -> str:
-    return "part int, doc_id array<bigint>, text_key array<bigint>, " + ", ".join(f"{f} binary" for f in fields)
-
-
-def _sent(rows: dict[str, np.ndarray], part: pa.RecordBatch, place: int, parts: int, fields: dict[str, str]) -> pa.RecordBatch:
-    """Packed columns of the rows of some texts, split by key; ``doc`` is the place of the text in ``part``.
-
-    A key that two documents of the same slice have is known to repeat: one row of it goes to
-    the part of the key, where it meets other slices; its other rows are spread over all parts.
-    So a part gets one row for each slice of a very common key.
-    """
-    ids, text_keys = (np.asarray(part[c], np.int64) for c in ("doc_id", "text_key"))
-    order = np.argsort(rows["key"], kind="stable")
-    rows = {f: v[order] for f, v in rows.items()}
-    new = np.append(True, rows["key"][1:] != rows["key"][:-1])
-    begins, group = np.flatnonzero(new), np.cumsum(new) - 1
-    own = ids[rows["doc"]]
-    low, high = np.minimum.reduceat(own, begins), np.maximum.reduceat(own, begins)
-    rows["known"] = (low != high)[group]
-    to = (rows["key"] % np.uint64(parts)).astype(np.int64)
-    spread = rows["known"] & ~new
-    to[spread] = (place + np.flatnonzero(spread)) % parts
-    order = np.argsort(to, kind="stable")  # keys stay in order inside a part
-    edges = np.searchsorted(to[order], np.arange(parts + 1))
-    out: dict[str, list] = {n: [] for n in ("part", "doc_id", "text_key", *fields)}
-    for k, (x, y) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-        if y > x:
-            mine = {f: v[order[x:y]] for f, v in rows.items()}
-            docs, mine["doc"] = np.unique(mine["doc"], return_inverse=True)
-            mine["key"] = np.diff(mine["key"], prepend=np.uint64(0))
-            out["part"].append(k)
-            out["doc_id"].append(ids[docs])
-            out["text_key"].append(text_keys[docs])
-            for f, kind in fields.items():
-                out[f].append(_pack(mine[f].astype(kind)))
-    types = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.binary()] * len(fields)]
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], list(out))
-
-
-def _paragraphs(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """Packed columns of the paragraphs of some texts, split by band key."""
+PERCENT = 80
+ROWS, BANDS = 3, 8
+#: Keys are handled in so many parts, by their hash; only one part is exchanged at a time.
+PASSES = 2
+#: How many words to either side a block with an anchor can reach, and one more.
+BEFORE, BEHIND = LEAST_WORDS - WIDTH + 1, LEAST_WORDS + 1
+SIDE = (LEAST_WORDS - WIDTH) // 2
+
+
+def anchors(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words at which the smallest shingle of some block begins, and the hash of that shingle."""
+    wide = LEAST_WORDS - WIDTH + 1
+    if len(hashes) < LEAST_WORDS:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    at = np.arange(len(hashes) - WIDTH + 1)
+    grams = word_spans(hashes, at, at + WIDTH)
+    least = sliding(np.minimum, grams, wide)
+    ends = np.repeat(words.first[1:], words.counts)[: len(least)]
+    least[np.arange(len(least)) + LEAST_WORDS > ends] = 0  # the block would run into the next text
+    padded = np.concatenate([np.zeros(wide - 1, np.uint64), least, np.zeros(wide - 1, np.uint64)])
+    found = np.flatnonzero((sliding(np.maximum, padded, wide)[: len(grams)] == grams) & (grams > 0))
+    return found, grams[found]
+
+
+def _anchored(batches: Iterator[pa.RecordBatch], part: int, around: bool) -> Iterator[pa.RecordBatch]:
+    """The anchors of one part of the keys; ``around`` adds hashes of the words around each."""
     for batch in batches:
-        for a, b in text_slices(batch["text"], 2 << 20):
-            part = batch.slice(a, b - a)
-            words = find_words(part["text"])
-            if not len(words.starts):
-                continue
+        for a, b in text_slices(batch["text"]):
+            own = batch.slice(a, b - a)
+            words = find_words(own["text"])
             hashes = words.hashes(lower=True)
-            starts = paragraph_starts(hashes, words.first)
-            ends = np.append(starts[1:], len(hashes))
-            text = np.searchsorted(words.first, starts, side="right") - 1
-            runs, at = run_hashes(hashes, np.append(starts, len(hashes)), WIDTH)
-            cut = np.searchsorted(at, starts)
-            digest = mix(np.add.reduceat(mix(runs), cut)).view(np.int64)
-            bits = np.bitwise_or.reduceat(np.uint64(1) << (runs & np.uint64(63)), cut).view(np.int64)
-            salts = [mix(np.array([band + 1], np.uint64)) for band in range(BANDS)]
-            key = np.concatenate([mix(np.minimum.reduceat(mix(runs ^ salt), cut) + salt) for salt in salts])
-            rows = {
-                "key": key,
-                "band": np.repeat(np.arange(BANDS), len(starts)),
-                "doc": np.tile(text, BANDS),
-                "start": np.tile(starts - words.first[text], BANDS),
-                "n_words": np.tile(ends - starts, BANDS),
-                "digest": np.tile(digest, BANDS),
-                "bits": np.tile(bits, BANDS),
-            }
-            yield _sent(rows, part, a, parts, _FIELDS)
-
-
-def _windows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """Packed columns of all windows of ``LEAST_WORDS`` words of some texts, split by hash."""
-    for batch in batches:
-        for a, b in text_slices(batch["text"], 2 << 20):
-            part = batch.slice(a, b - a)
-            words = find_words(part["text"])
-            runs, at = run_hashes(words.hashes(lower=True), words.first, LEAST_WORDS)
+            at, keys = anchors(words, hashes)
+            keep = (keys >> np.uint64(32)) % np.uint64(PASSES) == part
+            at, keys = at[keep], keys[keep]
             text = np.searchsorted(words.first, at, side="right") - 1
-            whole = words.counts[text] >= LEAST_WORDS
-            runs, at, text = runs[whole], at[whole], text[whole]
-            if len(at):
-                yield _sent({"key": runs, "doc": text, "start": at - words.first[text]}, part, a, parts, _WINDOW)
-
-
-_TYPES = {"key": "bigint", "band": "int", "doc_id": "bigint", "text_key": "bigint", "start": "int", "n_words": "int", "digest": "bigint", "bits": "bigint"}
-_NUMPY = {"bigint": np.int64, "int": np.int32}
-
-
-def _columns(fields: dict[str, str]) -> dict[str, str]:
-    return {f: t for f, t in _TYPES.items() if f in fields or f in ("doc_id", "text_key")}
-
-
-def _met(key, table: pa.Table, fields: dict[str, str]) -> pa.Table:
-    """The rows of one part whose key two documents have."""
-    given = {f: [] for f in ("doc_id", "text_key", *fields)}
-    for r in table.to_pylist():
-        own = {f: _unpack(r[f], kind) for f, kind in fields.items()}
-        own["key"] = np.cumsum(own["key"], dtype=np.uint64)
-        own |= {f: np.array(r[f], np.int64)[own["doc"]] for f in ("doc_id", "text_key")}
-        for f, v in own.items():
-            given[f].append(v)
-    rows = {f: np.concatenate(v) for f, v in given.items()}
-    _, group = np.unique(rows["key"], return_inverse=True)
-    low, high = np.full(group.max() + 1, np.iinfo(np.int64).max), np.full(group.max() + 1, np.iinfo(np.int64).min)
-    np.minimum.at(low, group, rows["doc_id"])
-    np.maximum.at(high, group, rows["doc_id"])
-    keep = (low != high)[group] | (rows["known"] > 0)
-    return pa.table({f: rows[f][keep].astype(_NUMPY[t]) for f, t in _columns(fields).items()})
-
-
-def _meeting(docs: DataFrame, rows_of, parts: int, fields: dict[str, str]) -> DataFrame:
-    """The rows that ``rows_of`` makes of ``docs`` and whose key two documents have, written."""
-    packed = docs.mapInArrow(partial(rows_of, parts=parts), _packed(fields))
-    schema = ", ".join(f"{f} {t}" for f, t in _columns(fields).items())
-    return written(packed.groupBy("part").applyInArrow(lambda key, rows: _met(key, rows, fields), schema))
-
-
-def paragraph_text(text: str | None, start: int, n_words: int) -> str:
-    return b" ".join((text or "").encode().split()[start : start + n_words]).decode()
-
-
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        left, right = (shingle_sets(batch[f"text_{s}"], WIDTH) for s in "ab")
-        sizes = [jaccard(x, y) for x, y in zip(left, right, strict=True)]
-        good = pa.array([100 * both >= PERCENT * union for both, union in sizes])
-        yield batch.select(["a", "b"]).filter(good)
-
-
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if not around:
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), own["doc_id"].take(pa.array(text))], ["key", "doc_id"])
+                continue
+            low, high = words.first[text], words.first[text + 1]
+            begin, end = np.maximum(low, at - BEFORE), np.minimum(high, at + BEHIND)
+            reach = ((at - begin) << 8 | (end - at)).astype(np.uint64)
+            whole = mix(word_spans(hashes, begin, end, 1) ^ mix(reach + np.uint64(1)))
+            left = np.where(at - SIDE >= low, word_spans(hashes, np.maximum(at - SIDE, 0), at + WIDTH, 2), 0)
+            stop = np.minimum(at + WIDTH + SIDE, len(hashes))
+            right = np.where(at + WIDTH + SIDE <= high, word_spans(hashes, at, stop, 3), 0)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys.view(np.int64)),
+                    *(own[c].take(pa.array(text)) for c in ("doc_id", "text_key")),
+                    *(pa.array(v.astype(np.int32)) for v in (at - low, begin - low, end - begin)),
+                    *(pa.array(v.view(np.int64)) for v in (whole, left, right)),
+                ],
+                ["key", "doc_id", "text_key", "at", "start", "n_words", "around", "before", "behind"],
+            )
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All blocks around the places ``ats`` of each text, by two hashes of their words."""
     for batch in batches:
-        rows = batch.select(["row_text", "spans"]).to_pylist()
-        yield pa.RecordBatch.from_arrays(
-            [*(batch[c] for c in batch.schema.names if c not in ("row_text", "spans")),
-             pa.array([paragraph_text(r["row_text"], **r["spans"]) for r in rows], pa.string())],
-            [*(c for c in batch.schema.names if c not in ("row_text", "spans")), "text"],
-        )
-
-
-def _links(met: DataFrame, mixed: DataFrame, docs: DataFrame) -> DataFrame:
-    """Verified links (a, b) between different paragraphs that share a band; ``mixed`` has the keys of such bands.
-
-    Sets with a similarity of 0.8 differ in a ninth of their joint sizes at most, and so do their
-    64-bit maps of shingles.  The join tests this before it gives a pair.
-    """
-    classes = met.join(mixed, "key", "left_semi").groupBy("key", "digest").agg(
-        F.greatest(F.max("n_words") - (WIDTH - 1), F.lit(1)).alias("n"), F.first("bits").alias("bits")
-    )
-    left, right = (classes.select("key", F.col("digest").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}")) for s in "ab")
-    pairs = left.join(right, "key").where("a < b AND 9 * bit_count(bits_a ^ bits_b) <= n_a + n_b")
-    pairs = written(pairs.select("a", "b").distinct())
-    if pairs.isEmpty():
-        return pairs
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
-    where = met.join(wanted, "digest", "left_semi").groupBy("digest").agg(
-        F.min(F.struct("text_key", "doc_id", "start", "n_words")).alias("at")
-    )
-    own = where.select("digest", F.struct("at.start", "at.n_words").alias("spans"), F.col("at.text_key").alias("own_key"), F.col("at.doc_id").alias("own_id"))
-    texts = docs.join(own, F.expr("text_key = own_key AND doc_id = own_id")).select("digest", F.col("text").alias("row_text"), "spans")
-    texts = written(texts.mapInArrow(_cut_out, "digest bigint, text string").dropDuplicates(["digest"]))
-    for side in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("digest").alias(side), F.col("text").alias(f"text_{side}")), side)
-    return written(pairs.mapInArrow(_similar, "a bigint, b bigint"))
+        for a, b in text_slices(batch["text"]):
+            own = batch.slice(a, b - a)
+            words = find_words(own["text"])
+            hashes = words.hashes(lower=True)
+            counts = np.asarray(own["ats"].value_lengths(), np.int64)
+            text = np.repeat(np.arange(len(counts)), counts)
+            at = np.asarray(own["ats"].flatten(), np.int64) + words.first[text]
+            reach = np.arange(LEAST_WORDS - WIDTH + 1)
+            starts = (at[:, None] - reach).ravel()
+            text = np.repeat(text, len(reach))
+            fits = (starts >= words.first[text]) & (starts + LEAST_WORDS <= words.first[text + 1])
+            starts, first = np.unique(starts[fits], return_index=True)
+            text = text[fits][first]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(pa.array(word_spans(hashes, starts, starts + LEAST_WORDS, s).view(np.int64)) for s in (4, 5)),
+                    *(own[c].take(pa.array(text)) for c in ("doc_id", "text_key")),
+                    pa.array((starts - words.first[text]).astype(np.int32)),
+                ],
+                ["key", "check", "doc_id", "text_key", "start"],
+            )
+
+
+def _several(rows: DataFrame, *keys: str) -> DataFrame:
+    """The keys that two documents have."""
+    ends = rows.groupBy(*keys).agg(F.min("doc_id").alias("low_id"), F.max("doc_id").alias("high_id"))
+    return ends.where("low_id <> high_id").drop("low_id", "high_id")
+
+
+def _placed(rows: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` beside the first place of their group."""
+    return rows.join(firsts, keys).select(
+        "doc_id", "text_key", "start", "n_words",
+        F.col("first.doc_id").alias("component_id"), F.col("first.start").alias("component_start"),
+        F.col("first.text_key").alias("component_key"),
+    )
 
 
 _FOUND = ["doc_id", "text_key", "start", "n_words", "component_id", "component_start", "removed"]
 
 
-def _fragments(docs: DataFrame, parts: int) -> DataFrame:
-    """Repeated fragments in runs of at least ``LEAST_WORDS`` words."""
-    met = _meeting(docs, _paragraphs, parts, _FIELDS)
-    mixed = met.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
-    mixed = written(mixed.select("key"))
-    roots = components(_links(met, mixed, docs)).select(F.col("node").alias("digest"), "root")
-    # Equal paragraphs meet in the first band; the others matter only where they join different ones.
-    more = met.where("band > 0").join(mixed, "key", "left_semi")
-    columns = ["doc_id", "text_key", "start", "n_words", "digest"]
-    rows = met.where("band = 0").select(*columns).union(more.select(*columns)).distinct().join(roots, "digest", "left")
-    rows = _placed(rows.withColumn("component", F.coalesce("root", "digest")).drop("root", "digest"))
-    order = Window.partitionBy("doc_id", "text_key").orderBy("start")
-    gap = F.coalesce(F.col("start") != F.lag(F.col("start") + F.col("n_words")).over(order), F.lit(True))
-    rows = rows.withColumn("run", F.sum(gap.cast("int")).over(order))
-    rows = rows.withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc_id", "text_key", "run")))
-    return rows.where(F.col("run_words") >= LEAST_WORDS).select(*_FOUND)
-
-
-def _passages(docs: DataFrame, parts: int) -> DataFrame:
-    """Repeated windows, put together where the windows of the first place go on in step."""
-    met = _meeting(docs, _windows, parts, _WINDOW).withColumnRenamed("key", "component").distinct()
-    rows = _placed(met.withColumn("n_words", F.lit(LEAST_WORDS)))
-    order = Window.partitionBy("doc_id", "text_key").orderBy("start")
-    step = F.struct("component_id", "component_key", F.col("component_start") - F.col("start"), "removed")
-    goes_on = (F.col("start") == F.lag("start").over(order) + 1) & (step == F.lag(step).over(order))
-    rows = rows.withColumn("run", F.sum(F.when(goes_on, 0).otherwise(1)).over(order))
-    rows = rows.groupBy("doc_id", "text_key", "run").agg(
-        F.min("start").alias("start"), (F.count("*") + (LEAST_WORDS - 1)).cast("int").alias("n_words"),
-        F.first("component_id").alias("component_id"), F.min("component_start").alias("component_start"),
-        F.first("removed").alias("removed"),
-    )
-    return rows.select(*_FOUND)
+def _first():
+    return F.min(F.struct("doc_id", "start", "text_key")).alias("first")
+
+
+def _passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Passages of equal blocks at their full length."""
+    met = []
+    for part in range(PASSES):
+        known = docs.select("doc_id", "text").mapInArrow(partial(_anchored, part=part, around=False), "key bigint, doc_id bigint")
+        known = scratch.written(_several(known, "key"))
+        rows = docs.mapInArrow(
+            partial(_anchored, part=part, around=True),
+            "key bigint, doc_id bigint, text_key bigint, at int, start int, n_words int, around bigint, before bigint, behind bigint",
+        )
+        met.append(scratch.written(rows.join(known, "key", "left_semi")))
+        scratch.drop(known)
+    rows = reduce(DataFrame.union, met)
+    firsts = rows.groupBy("key").agg(_first(), F.min("around").alias("low"), F.max("around").alias("high"))
+    settled = scratch.written(_placed(rows, firsts.where("low = high").select("key", "first"), ["key"]))
+    mixed = scratch.written(rows.join(firsts.where("low <> high").select("key"), "key", "left_semi"))
+    scratch.drop(*met)
+    sides = [mixed.select(F.col(s).alias("side"), "doc_id", "text_key", "at").where("side <> 0") for s in ("before", "behind")]
+    sides = sides[0].union(sides[1])
+    around = sides.join(_several(sides, "side"), "side", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("ats"))
+    around = scratch.written(around)
+    own = around.select(F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"), "ats")
+    texts = docs.join(own, F.expr("text_key = own_key AND doc_id = own_id")).select("doc_id", "text_key", "text", "ats")
+    blocks = scratch.written(texts.mapInArrow(_blocks, "key bigint, check bigint, doc_id bigint, text_key bigint, start int"))
+    scratch.drop(mixed, around)
+    keys = ["key", "check"]
+    ends = blocks.groupBy(*keys).agg(_first(), F.max("doc_id").alias("high_id")).where("first.doc_id <> high_id")
+    equal = _placed(blocks.withColumn("n_words", F.lit(LEAST_WORDS)), ends.drop("high_id"), keys)
+    return _in_step(settled.union(equal))
+
+
+def _in_step(rows: DataFrame) -> DataFrame:
+    """Puts pieces together that touch, and whose first places are in step with them."""
+    rows = rows.withColumn("shift", F.col("component_start") - F.col("start"))
+    run = ["doc_id", "text_key", "component_id", "component_key", "shift"]
+    order = Window.partitionBy(*run).orderBy("start")
+    reached = F.max(F.col("start") + F.col("n_words")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1))
+    rows = rows.withColumn("number", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = rows.groupBy(*run, "number").agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("n_words")).alias("end"))
+    rows = rows.withColumn("component_start", F.col("start") + F.col("shift"))
+    return _told(rows.withColumn("n_words", F.col("end") - F.col("start")))
+
+
+def _told(rows: DataFrame) -> DataFrame:
+    here, first = F.struct("doc_id", "start", "text_key"), F.struct("component_id", "component_start", "component_key")
+    return rows.withColumn("removed", here != first).select(*_FOUND)
+
+
+def paragraphs(text: str) -> list[tuple[int, int]]:
+    """(first word, words) of the lines of a text and of its blocks of several lines between blank ones."""
+    found, at, block, lines = [], 0, 0, 0
+    for line in [*text.encode().split(b"\n"), b""]:
+        n = len(line.split())
+        if n:
+            found.append((at, n))
+            lines += 1
+        else:
+            if lines > 1:
+                found.append((block, at - block))
+            lines = 0
+        at += n
+        if not lines:
+            block = at
+    return [p for p in found if p[1] >= LEAST_WORDS]
+
+
+def _spans(words: Words, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of each span, and where those of each span begin.
+
+    A span of at least ``WIDTH`` words has a shingle for each word but the last four.
+    """
+    counts = ends - starts - WIDTH + 1
+    cut = np.concatenate([[0], np.cumsum(counts)])
+    at = np.repeat(starts - cut[:-1], counts) + np.arange(cut[-1])
+    return word_spans(hashes, at, at + WIDTH), cut
 
 
-def _split_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines of at least ``LEAST_WORDS`` words, and the word each begins at."""
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The real paragraphs of every text with their band keys; ``node`` tells different ones apart."""
+    salts = [mix(np.array([k + 1], np.uint64)) for k in range(ROWS * BANDS)]
     for batch in batches:
         for a, b in text_slices(batch["text"]):
-            part = batch.slice(a, b - a)
-            rows = []
-            for i, text in enumerate(part["text"].to_pylist()):
-                start = 0
-                for line in (text or "").encode().split(b"\n"):
-                    n = len(line.split())
-                    if n >= LEAST_WORDS:
-                        rows.append((i, start, n, line.decode()))
-                    start += n
-            if rows:
-                of, start, n_words, lines = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part[c].take(pa.array(of)) for c in ("doc_id", "text_key")), pa.array(start, pa.int32()), pa.array(n_words, pa.int32()), pa.array(lines, pa.string())],
-                    ["doc_id", "text_key", "start", "n_words", "text"],
-                )
-
-
-def _near_lines(docs: DataFrame) -> DataFrame:
-    """Lines that are near copies of lines of other documents."""
-    lines = docs.select("doc_id", "text", "text_key").mapInArrow(
-        _split_lines, "doc_id bigint, text_key bigint, start int, n_words int, text string"
-    )
-    lines = lines.withColumn("line", F.xxhash64("doc_id", "text_key", "start"))
-    found = near_duplicates(lines.select(F.col("line").alias("doc_id"), "text"), WIDTH, PERCENT)
-    found = written(found.select(F.col("doc_id").alias("line"), F.col("component_id").alias("component")).distinct())
-    several = found.groupBy("component").count().where("count > 1").select("component")
-    rows = lines.drop("text").distinct().join(found.join(several, "component", "left_semi"), "line")
-    return _placed(rows.drop("line")).select(*_FOUND)
-
-
-def _placed(rows: DataFrame) -> DataFrame:
-    """Rows of components in two documents or more, with the first place of the component."""
-    rows = written(rows)
-    kept = rows.groupBy("component").agg(
-        F.min(F.struct("doc_id", "start", "text_key")).alias("first"), F.max("doc_id").alias("last_id")
+            own = batch.slice(a, b - a)
+            words = find_words(own["text"])
+            hashes = words.hashes(lower=True)
+            given = [(i, *p) for i, t in enumerate(own["text"].to_pylist()) if t for p in paragraphs(t)]
+            if not given:
+                continue
+            text, start, n = (np.array(c, np.int64) for c in zip(*given, strict=True))
+            starts = start + words.first[text]
+            node = word_spans(hashes, starts, starts + n, 6)
+            grams, cut = _spans(words, hashes, starts, starts + n)
+            keys = []
+            for band in range(BANDS):
+                key = np.full(len(n), mix(np.array([band], np.uint64))[0])
+                for salt in salts[band * ROWS : (band + 1) * ROWS]:
+                    key = mix(key ^ np.minimum.reduceat(mix(grams ^ salt), cut[:-1]))
+                keys.append(key)
+            flat = pa.array(np.stack(keys, 1).ravel().view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(node.view(np.int64)),
+                    *(own[c].take(pa.array(text)) for c in ("doc_id", "text_key")),
+                    *(pa.array(v.astype(np.int32)) for v in (start, n)),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS), flat),
+                ],
+                ["node", "doc_id", "text_key", "start", "n_words", "keys"],
+            )
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Text, sketch and parities of the paragraphs ``spans`` (node, start, n_words) of each text."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            words = find_words(batch["text"].slice(i, 1))
+            hashes = words.hashes(lower=True)
+            spans = batch["spans"][i].as_py()
+            begin = np.array([s["start"] for s in spans])
+            end = begin + [s["n_words"] for s in spans]
+            grams, cut = _spans(words, hashes, begin, end)
+            sets = [np.unique(grams[x:y]) for x, y in zip(cut[:-1], cut[1:], strict=True)]
+            data = words.data.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([s["node"] for s in spans], pa.int64()),
+                    pa.array([data[words.starts[x] : words.ends[y - 1]].decode() for x, y in zip(begin, end, strict=True)], pa.string()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([s[:SKETCH].view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([parities(s) for s in sets], pa.list_(pa.int64())),
+                ],
+                ["node", "text", "n_shingles", "sketch", "bits"],
+            )
+
+
+def _near_paragraphs(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Lines and blocks of lines that are near copies of others, of other documents."""
+    rows = scratch.written(
+        docs.mapInArrow(_banded, "node bigint, doc_id bigint, text_key bigint, start int, n_words int, keys array<bigint>")
     )
-    kept = kept.where("first.doc_id <> last_id").drop("last_id")
-    here = F.struct("doc_id", "start", "text_key")
-    return rows.join(kept, "component").select(
-        "doc_id",
-        "text_key",
-        "start",
-        "n_words",
-        F.col("first.doc_id").alias("component_id"),
-        F.col("first.start").alias("component_start"),
-        F.col("first.text_key").alias("component_key"),
-        (here != F.col("first")).alias("removed"),
+    listed = rows.select("node", F.explode("keys").alias("value")).distinct()
+    several = listed.groupBy("value").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    listed = scratch.written(listed.join(several.select("value"), "value", "left_semi"))
+    place = F.struct("doc_id", "text_key", "start", "n_words")
+    one = rows.join(listed.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(place).alias("p"))
+    one = one.groupBy(F.col("p.doc_id").alias("own_id"), F.col("p.text_key").alias("own_key")).agg(
+        F.collect_list(F.struct("node", "p.start", "p.n_words")).alias("spans")
     )
+    texts = docs.join(scratch.written(one), F.expr("text_key = own_key AND doc_id = own_id"))
+    kind = "node bigint, text string, n_shingles bigint, sketch array<bigint>, bits array<bigint>"
+    marked = scratch.written(texts.select("text", "spans").mapInArrow(_signed, kind).dropDuplicates(["node"]))
+    found = link_lists(listed, marked, marked.select("node", "text"), WIDTH, PERCENT, scratch)
+    rows = scratch.written(rows.drop("keys").join(found, "node"))
+    firsts = rows.groupBy("root").agg(_first(), F.max("doc_id").alias("high_id")).where("first.doc_id <> high_id")
+    return _told(_placed(rows, firsts.drop("high_id"), ["root"]))
 
 
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
-    """A row for every passage, line and fragment of ``docs`` (doc_id, text) that repeats across documents.
+    """A row for every passage and near paragraph of ``docs`` (doc_id, text) that repeats across documents.
 
     Returns doc_id, text_key (a hash of the whole text), start and n_words (in words of the
     text), component_id and component_start (the document and word of the one that is
-    kept), and removed.  Rows of different kinds may overlap.  Repeats inside one document are
+    kept), and removed.  Rows of the two kinds may overlap.  Repeats inside one document are
     left alone.  Null and empty texts and documents with a null id have no rows; repeated rows
     count as one document; an empty table gives no rows; further columns are ignored.
     """
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).where("doc_id IS NOT NULL")
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = max(1, -(-size // PART_BYTES))
-    return _passages(docs, parts).union(_near_lines(docs)).union(_fragments(docs, parts)).distinct()
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).where("doc_id IS NOT NULL AND text IS NOT NULL")
+    with Scratch(docs.sparkSession) as scratch:
+        passages = written(_passages(docs, scratch))
+    with Scratch(docs.sparkSession) as scratch:
+        near = written(_near_paragraphs(docs, scratch))
+    return passages.union(near).distinct()
 
 
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _without(batches: Iterator[pa.RecordBatch], text: str, spans: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, spans = batch["text"].to_pylist(), batch["removed_spans"].to_pylist()
-        for i, own in enumerate(spans):
+        texts, given = batch[text].to_pylist(), batch[spans].to_pylist()
+        for i, own in enumerate(given):
             if own:
                 words = find_words(pa.array([texts[i]], pa.large_string()))
                 keep = np.ones(len(words.data), bool)
@@ -355,15 +325,19 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     end = words.starts[last] if last < len(words.starts) else len(words.data)
                     keep[words.starts[span["start"]] : end] = False
                 texts[i] = words.data[keep].tobytes().decode()
-        columns = [pa.array(texts, pa.string()) if c == "text" else batch[c] for c in batch.schema.names if c != "removed_spans"]
-        yield pa.RecordBatch.from_arrays(columns, [c for c in batch.schema.names if c != "removed_spans"])
+        names = [c for c in batch.schema.names if c != spans]
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text else batch[c] for c in names], names)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the removed paragraphs cut out of the texts; all other columns and rows stay."""
-    gone = repeated_paragraphs(docs).where("removed").groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
-        F.collect_list(F.struct("start", "n_words")).alias("removed_spans")
+    """``docs`` with the removed paragraphs cut out of the texts; all other columns and rows stay.
+
+    Rows with one id and different texts lose what repeats in each of them; null texts stay.
+    """
+    own_id, own_key, spans = free_names(docs, "own_id", "own_key", "removed_spans")
+    gone = repeated_paragraphs(docs).where("removed").groupBy(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key)).agg(
+        F.collect_list(F.struct("start", "n_words")).alias(spans)
     )
-    rows = docs.join(written(gone), F.expr("doc_id = _id AND xxhash64(text) = _key"), "left").drop("_id", "_key")
+    rows = docs.join(written(gone), (F.col("doc_id") == F.col(own_id)) & (F.xxhash64("text") == F.col(own_key)), "left")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return rows.mapInArrow(_without, fields)
+    return rows.drop(own_id, own_key).mapInArrow(partial(_without, text="text", spans=spans), fields)

@@ -163,3 +163,21 @@ def jaccard(left: np.ndarray, right: np.ndarray) -> tuple[int, int]:
     """Sizes of the intersection and the union of two sorted sets."""
     both = len(np.intersect1d(left, right, assume_unique=True))
     return both, len(left) + len(right) - both
+
+
+def word_spans(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
+    """A hash of the words of each span, given the hashes of all words."""
+    powers, inverse = _tables(len(hashes) + 1)
+    total = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(mix(hashes + np.uint64(salt) * _GOLDEN) * powers[: len(hashes)], out=total[1:])
+    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def sliding(best, values: np.ndarray, width: int) -> np.ndarray:
+    """The ``best`` (np.minimum or np.maximum) of every ``width`` neighbours, in doubling steps."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        values = best(values[: len(values) - step], values[step:])
+        done += step
+    return values
