@@ -14,6 +14,7 @@ from civicpanel.catalogue.places import (
     with_places,
 )
 from civicpanel.catalogue.registry import query
+from civicpanel.lineage import written
 from civicpanel.operators import aggregate as agg
 from civicpanel.operators import joins, reshape, windows
 from civicpanel.operators import territory as terr
@@ -186,6 +187,25 @@ def distinct_by_level(t):
     return agg.distinct_by_level(event_states(t), "id_pessoa", "uf")
 
 
+@query(
+    "distinct_three_levels",
+    with_places(
+        """SELECT id_municipio AS id, COUNT(DISTINCT user_id) AS pessoas, 'municipio' AS nivel
+           FROM ev WHERE id_municipio IS NOT NULL GROUP BY 1
+           UNION ALL SELECT sigla_uf, COUNT(DISTINCT user_id), 'estado' FROM ev WHERE sigla_uf IS NOT NULL GROUP BY 1
+           UNION ALL SELECT 'BR', COUNT(DISTINCT user_id), 'pais' FROM ev""",
+        "ev AS (SELECT id_municipio, sigla_uf, user_id FROM events LEFT JOIN mun ON n_nationkey = event_id % 30)",
+    ),
+)
+def distinct_three_levels(t):
+    """People per municipality, state and country from one stored table of bitmaps."""
+    rows = t.events.select("user_id", (F.col("event_id") % 30).alias("_nation"))
+    places = municipalities(t).select("id_municipio", "sigla_uf", "n_nationkey")
+    placed_rows = rows.join(places, F.col("_nation") == F.col("n_nationkey"), "left")
+    stored = written(agg.person_bitmaps(placed_rows, "user_id", ["id_municipio", "sigla_uf"]))
+    return agg.distinct_three_levels(stored, "id_municipio", "sigla_uf")
+
+
 @query(
     "distinct_pair",
     """SELECT l_returnflag, COUNT(DISTINCT CASE WHEN l_linenumber <> 3
@@ -513,6 +533,18 @@ def latest_per_key(t):
     return windows.latest_per_key(rows, ["user_id"], ["dia"], ["event_id"]).drop("dia")
 
 
+@query(
+    "ids_over_loads",
+    """WITH k AS (SELECT p_brand, p_name, MIN(CASE WHEN p_size > 25 THEN 2 ELSE 1 END) AS carga FROM part GROUP BY 1, 2)
+       SELECT p_brand, p_name, ROW_NUMBER() OVER (ORDER BY carga, p_brand, p_name) AS id_variacao FROM k""",
+)
+def ids_over_loads(t):
+    """Ids of two loads of one dictionary: the first load's ids stay as they are."""
+    columns, out = ["p_brand", "p_name"], "id_variacao"
+    first = windows.dense_id(t.part.where("p_size <= 25"), columns, out)
+    return first.unionByName(windows.extend_ids(first, t.part, columns, out))
+
+
 @query(
     "dense_id",
     """SELECT p_brand, p_name, dense_rank() OVER (ORDER BY p_brand, p_name) AS id_variacao

@@ -2,42 +2,79 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from civicpanel.functions.brazil import STATE_NAMES
 
-# Upper-case Latin letters with one accent, as used in Brazilian names.
-ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-MARKS = "[\\u0300-\\u036F]"
+MARKS = r"\p{Mn}"
 # Characters after which a display name starts a new word.
 WORD_BREAK = r"(?<=[\s\[\](){}/|<>!?@\"^#$&~_,.:;*%+-])"
 
 
+@cache
+def _letters() -> tuple[str, str]:
+    """Letters that Unicode composes of a base letter and marks, and their base letters."""
+    pairs = {}
+    for code in range(0xC0, 0x2000):
+        parts = unicodedata.normalize("NFD", chr(code))
+        if len(parts) > 1 and all(unicodedata.combining(mark) for mark in parts[1:]):
+            pairs[chr(code)] = parts[0]
+    return "".join(pairs), "".join(pairs.values())
+
+
+@cache
+def _marks() -> dict[str, str]:
+    """Sequences of marks that at least ten letters carry, and those letters."""
+    letters: dict[str, str] = {}
+    for letter in _letters()[0]:
+        marks = unicodedata.normalize("NFD", letter)[1:]
+        letters[marks] = letters.get(marks, "") + letter
+    return {marks: found for marks, found in letters.items() if len(found) >= 10}
+
+
+def decomposed(c: Column) -> Column:
+    """``c`` with common accents written as marks behind their letter, one class of letters at a time."""
+    value = c
+    for marks, found in _marks().items():
+        value = F.regexp_replace(value, f"([{found}])", f"$1{marks}")
+    common = "".join(_marks().values())
+    pairs = dict(zip(*_letters(), strict=True))
+    value = F.translate(value, common, "".join(pairs[letter] for letter in common))
+    return F.when(c.rlike(r"[^\x00-\x7F]"), value).otherwise(c)
+
+
+def without_marks(c: Column) -> Column:
+    """``c`` with letters in place of accented letters, composed or not."""
+    return F.regexp_replace(F.translate(c, *_letters()), MARKS, "")
+
+
+def collation(accent: bool = True, case: bool = True) -> str:
+    """The collation that compares names: ``accent`` keeps accents, ``case`` ignores case."""
+    return "UNICODE" + "_CI" * case + "_AI" * (not accent)
+
+
 def name_key(c: Column, accent: bool = True, case: bool = True) -> Column:
-    """Comparable form of a name.
+    """Comparable form of a name, with the collation that joins and groups compare it by.
 
-    Composed and decomposed accents always compare equal.  ``accent=True``
-    keeps the accent significant; ``accent=False`` removes it.  ``case=False``
-    leaves upper and lower case distinct.
+    Composed and decomposed forms of any accented letter always compare equal.  ``accent=True``
+    keeps the accent significant; ``accent=False`` also takes letters without a
+    decomposition, such as ``Ł``, for their base letter.  ``case=False`` leaves upper
+    and lower case distinct.  ``plain_text`` gives a key back without its collation.
     """
-    letters = ACCENTED if case else ACCENTED + ACCENTED.lower()
     text = F.trim(F.upper(c) if case else c)
-    if not accent:
-        plain = "".join(unicodedata.normalize("NFD", letter)[0] for letter in letters)
-        return F.regexp_replace(F.translate(text, letters, plain), MARKS, "")
-    return reduce(
-        lambda value, letter: F.replace(
-            value, F.lit(letter), F.lit(unicodedata.normalize("NFD", letter))
-        ),
-        letters,
-        text,
-    )
+    return F.collate(decomposed(text) if accent else without_marks(text), collation(accent, case))
+
+
+def plain_text(key: Column) -> Column:
+    """A collated text compared by its bytes again, for example before it is written."""
+    return F.collate(key, "UTF8_BINARY")
 
 
 def sanitize(c: Column) -> Column:
@@ -90,7 +127,7 @@ def state_code(c: Column, names: Mapping[str, str] | None = None) -> Column:
     An unknown two-letter value is kept in upper case; other unknown text is NULL.
     """
     names = STATE_NAMES if names is None else names
-    text = name_key(c, accent=False)
+    text = without_marks(F.trim(F.upper(c)))
     lookup = {code: code for code in names}
     for code, name in names.items():
         bare = "".join(
@@ -128,6 +165,19 @@ def hash_key(*columns: Column) -> Column:
     return F.sha2(F.concat(*[F.coalesce(c.cast("string"), F.lit("")) for c in columns]), 256)
 
 
+def hmac_sha256(c: Column, key: bytes) -> Column:
+    """HMAC-SHA-256 (hex) of text under a secret key; NULL stays NULL.
+
+    Values of a short number range cannot be listed and hashed by who lacks the key.
+    """
+    if not key:
+        raise ValueError("a keyed hash needs a key")
+    block = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(byte ^ pad for byte in block)) for pad in (0x36, 0x5C))
+    first = F.unhex(F.sha2(F.concat(inner, c.cast("string").cast("binary")), 256))
+    return F.sha2(F.concat(outer, first), 256)
+
+
 def eq_ci(c: Column, value: str) -> Column:
     """Equality without regard to case."""
     return F.upper(c) == F.lit(value.upper())

@@ -74,6 +74,47 @@ def distinct_by_level(
     return states.unionByName(nation)
 
 
+def person_bitmaps(df: DataFrame, person: str, keys: Sequence[str]) -> DataFrame:
+    """Exact sets of whole-number ``person`` ids per key, as mergeable bitmaps.
+
+    Returns the keys, ``bloco`` (each covers a range of 32,768 ids) and ``pessoas``, the
+    bitmap of that range.  A key has at most one row for each range, whatever the facts;
+    ids should be dense (:func:`civicpanel.operators.windows.extend_ids` numbers any key).
+    Stored once, the table answers counts over any union of keys without the persons.
+    """
+    known = df.where(F.col(person).isNotNull())
+    number = F.col(person).cast("bigint")
+    return known.groupBy(*keys, F.bitmap_bucket_number(number).alias("bloco")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("pessoas")
+    )
+
+
+def merged_count(bitmaps: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Distinct people per ``keys`` from stored bitmaps of finer keys."""
+    merged = bitmaps.groupBy(*keys, "bloco").agg(F.bitmap_or_agg("pessoas").alias("pessoas"))
+    return merged.groupBy(*keys).agg(F.sum(F.bitmap_count("pessoas")).alias(out))
+
+
+def distinct_three_levels(
+    bitmaps: DataFrame, municipality: str, state: str, out: str = "pessoas", country: str = "BR"
+) -> DataFrame:
+    """Distinct people per municipality, per state and for the country, from stored bitmaps.
+
+    Returns ``id``, ``nivel`` and the count.  Rows without a municipality or state count
+    on the levels above it.
+    """
+    levels = [
+        (bitmaps.where(F.col(municipality).isNotNull()), F.col(municipality), "municipio"),
+        (bitmaps.where(F.col(state).isNotNull()), F.col(state), "estado"),
+        (bitmaps, F.lit(country), "pais"),
+    ]
+    counted = []
+    for rows, place, level in levels:
+        rows = rows.select(place.cast("string").alias("id"), "bloco", "pessoas")
+        counted.append(merged_count(rows, ["id"], out).withColumn("nivel", F.lit(level)))
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 def distinct_composite(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], out: str
 ) -> DataFrame:
@@ -155,13 +196,13 @@ def list_agg(
 ) -> DataFrame:
     """Values of a key as ordered text; NULL values are left out.
 
-    With ``distinct`` repeated values are removed before the shuffle.
+    With ``distinct`` repeated values are removed before the shuffle to the key, so a
+    key holds its different values only.
     """
     rows = df.select(*keys, column).distinct() if distinct else df
-    values = F.sort_array(F.collect_list(column))
-    return rows.groupBy(*keys).agg(
-        F.when(F.size(values) > 0, F.array_join(values, sep)).alias(out)
-    )
+    values = rows.select(*keys, F.col(column).cast("string").alias("_value"))
+    listed = F.expr("listagg(_value, '{}') WITHIN GROUP (ORDER BY _value)".format(sep.replace("\\", "\\\\").replace("'", "\\'")))
+    return values.groupBy(*keys).agg(listed.alias(out))
 
 
 def any_flag(df: DataFrame, keys: Sequence[str], flags: Mapping[str, Column]) -> DataFrame:

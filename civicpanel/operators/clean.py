@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from civicpanel.functions import conversion, text
@@ -40,6 +40,42 @@ def clean_table(df: DataFrame, spec: Mapping[str, Expression]) -> tuple[DataFram
     return clean, totals.select(F.inline("c"))
 
 
+def clean_observed(
+    df: DataFrame, spec: Mapping[str, Expression], name: str = "rejects"
+) -> tuple[DataFrame, Observation]:
+    """As :func:`clean_table`, counted in the pass that writes the clean rows.
+
+    The observation is filled once an action has computed all clean rows; read it
+    with :func:`observed_rejects`.
+    """
+    seen = Observation(name)
+    counts = [F.count(F.lit(1)).alias("n_rows")]
+    for number, (column, parse) in enumerate(spec.items()):
+        source = F.col(column)
+        filled = source.isNotNull() & (F.trim(source.cast("string")) != "")
+        counts += [
+            F.count_if(filled).alias(f"filled_{number}"),
+            F.count_if(filled & parse(source).isNull()).alias(f"rejected_{number}"),
+        ]
+    clean = df.observe(seen, *counts).withColumns({c: parse(F.col(c)) for c, parse in spec.items()})
+    return clean, seen
+
+
+def observed_rejects(spark: SparkSession, seen: Observation, columns: Sequence[str]) -> DataFrame:
+    """The counts of :func:`clean_observed` in the columns of :func:`clean_table`'s rejects."""
+    found = seen.get
+    rows = [
+        (column, found["n_rows"], found[f"filled_{number}"], found[f"rejected_{number}"])
+        for number, column in enumerate(columns)
+    ]
+    return spark.createDataFrame(rows, "column string, n_rows bigint, n_filled bigint, n_rejected bigint")
+
+
+def casts(types: Mapping[str, str]) -> dict[str, Expression]:
+    """One safe conversion per column, for :func:`clean_table` and :func:`clean_observed`."""
+    return {name: lambda c, dtype=dtype: conversion.safe(c, dtype) for name, dtype in types.items()}
+
+
 def strict_cast(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast columns; a value that does not convert stops the job."""
     return df.withColumns(
@@ -49,9 +85,7 @@ def strict_cast(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 def safe_cast(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
     """Cast columns, bad values to NULL, with the reject counts beside the result."""
-    return clean_table(
-        df, {name: lambda c, dtype=dtype: conversion.safe(c, dtype) for name, dtype in types.items()}
-    )
+    return clean_table(df, casts(types))
 
 
 def parse_brl(df: DataFrame, columns: Sequence[str], dtype: str = "double") -> DataFrame:
@@ -156,11 +190,18 @@ def mask_sensitive(
     df: DataFrame,
     tags: Mapping[str, Sequence[str]] = SENSITIVE_TAGS,
     keep_joinable: Sequence[str] = (),
+    key: bytes | None = None,
 ) -> DataFrame:
-    """Replace protected values by ``***``, or by a hash for ``keep_joinable`` columns."""
+    """Replace protected values by ``***``, or by a keyed hash for ``keep_joinable`` columns.
+
+    Tables masked with one ``key`` join on the hashes; without the key they cannot be
+    turned back by hashing all possible numbers.
+    """
+    if keep_joinable and not key:
+        raise ValueError("columns that stay joinable need a key")
 
     def masked(name: str) -> Column:
-        value = F.sha2(F.col(name).cast("string"), 256) if name in keep_joinable else F.lit("***")
+        value = text.hmac_sha256(F.col(name), key) if name in keep_joinable else F.lit("***")
         return F.when(F.col(name).isNotNull(), value)
 
     return df.withColumns({name: masked(name) for name in _tagged(df, tags)})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civicpanel.operators.aggregate import money
@@ -43,6 +43,31 @@ def row_loss_guard(steps: Mapping[str, DataFrame]) -> DataFrame:
     return counts.withColumn("perda", F.coalesce(before, F.col("linhas")) - F.col("linhas"))
 
 
+class ObservedSteps:
+    """Row counts of the steps of one job, taken in the pass that writes its result.
+
+    Wrap the frame after each step with :meth:`step`, write the last one, then read
+    :meth:`losses`.  A step inside a join that Spark broadcasts or repeats is counted
+    as often as it is computed, so wrap the side that streams through the job.
+    """
+
+    def __init__(self):
+        self._seen: dict[str, Observation] = {}
+
+    def step(self, df: DataFrame, name: str) -> DataFrame:
+        seen = self._seen[name] = Observation(f"etapa {len(self._seen) + 1}")
+        return df.observe(seen, F.count(F.lit(1)).alias("linhas"))
+
+    def losses(self, spark: SparkSession) -> DataFrame:
+        """The rows of :func:`row_loss_guard`; the result must have been written."""
+        rows, before = [], None
+        for number, (name, seen) in enumerate(self._seen.items(), start=1):
+            count = seen.get["linhas"]
+            rows.append((number, name, count, (count if before is None else before) - count))
+            before = count
+        return spark.createDataFrame(rows, "ordem int, etapa string, linhas bigint, perda bigint")
+
+
 def reconcile(
     metrics: DataFrame, expected: DataFrame, metric: str, value: str, published: str, tolerance: float
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicpanel.functions.geography import point_parts
-from civicpanel.functions.text import name_key
+from civicpanel.functions.text import name_key, plain_text
 from civicpanel.operators.windows import first_per_key
 from civicpanel.sizing import small_side
 
@@ -132,9 +132,10 @@ def resolve_with_fallback(
 def ambiguous_names(municipalities: DataFrame, accent: bool = True) -> DataFrame:
     """Names that several municipalities share, which need the state to resolve."""
     return (
-        municipalities.groupBy(name_key(F.col("nome"), accent).alias("nome"))
+        municipalities.groupBy(name_key(F.col("nome"), accent).alias("_nome"))
         .agg(F.count_distinct("id_municipio").alias("qtd"))
         .where("qtd > 1")
+        .select(plain_text(F.col("_nome")).alias("nome"), "qtd")
     )
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicpanel.lineage import written
+from civicpanel.lineage import Scratch, folder_exists, written
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -30,16 +31,19 @@ def latest_per_key(
     return first_per_key(df, keys, order)
 
 
-def dense_id(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
+def dense_id(
+    df: DataFrame, columns: Sequence[str], out: str, write: Callable[[DataFrame], DataFrame] = written
+) -> DataFrame:
     """Distinct ``columns`` numbered 1, 2, 3 ... in their sort order.
 
     The distinct rows are range-sorted over all tasks and numbered inside their
     range.  They are written out first, because the numbering and the count of
     each range must see the same ranges even when a task runs again.  Only the
     row counts, one per range, meet in one place; their running sum reaches the
-    rows as an array value.
+    rows as an array value.  The result reads the copy that ``write`` makes; pass that of
+    a :class:`civicpanel.lineage.Scratch` to have it deleted.
     """
-    ordered = written(
+    ordered = write(
         df.select(*columns)
         .distinct()
         .orderBy(*columns)
@@ -63,6 +67,43 @@ def dense_id(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
     return ordered.select(*columns, (F.get(starts, number) + inside + 1).alias(out))
 
 
+def extend_ids(
+    known: DataFrame | None,
+    df: DataFrame,
+    columns: Sequence[str],
+    out: str,
+    write: Callable[[DataFrame], DataFrame] = written,
+) -> DataFrame:
+    """Numbers for the distinct ``columns`` of ``df`` that ``known`` does not hold yet.
+
+    ``known`` has ``columns`` and ``out``; its numbers stay as they are.  New keys go on
+    after its largest number, in their sort order.  Only the new rows are returned, to be
+    appended; NULL is a value of a key.
+    """
+    keys = df.select(*columns).distinct()
+    if known is None:
+        return dense_id(keys, columns, out, write)
+    renamed = known.select(*[F.col(c).alias(f"_known_{c}") for c in columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in columns])
+    new = dense_id(keys.join(renamed, same, "left_anti"), columns, out, write)
+    last = known.agg(F.coalesce(F.max(out), F.lit(0))).scalar()
+    return new.withColumn(out, F.col(out) + last)
+
+
+def stored_ids(df: DataFrame, path: str, columns: Sequence[str], out: str) -> DataFrame:
+    """The key dictionary in folder ``path``, extended by the keys of ``df``.
+
+    Keys keep their numbers from load to load.  The new rows are written before they are
+    appended, and the copies that numbering needs are deleted.
+    """
+    spark = df.sparkSession
+    known = spark.read.parquet(path) if folder_exists(spark, path) else None
+    with Scratch(spark) as scratch:
+        new = scratch.written(extend_ids(known, df, columns, out, scratch.written))
+        new.write.mode("append").parquet(path)
+    return spark.read.schema(new.schema).parquet(path)
+
+
 def with_total(df: DataFrame, totals: Mapping[str, Column]) -> DataFrame:
     """Grand totals beside every row, from a one-row aggregate.
 
