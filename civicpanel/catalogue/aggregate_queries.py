@@ -28,7 +28,17 @@ def count(name: str):
 
 
 def sql_sum(column: str) -> str:
-    return f"CAST(SUM(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
+    """Rounded once, after the sum."""
+    return f"CAST(ROUND(SUM(CAST({column} AS DECIMAL(28,10))), 2) AS DOUBLE)"
+
+
+# A share of an amount has fractions of a cent, which must not be rounded row by row.
+def fine(column: str):
+    return F.col(column).cast(MONEY) * F.lit("0.3337").cast("decimal(5,4)")
+
+
+def fine_sql(column: str) -> str:
+    return f"CAST({column} AS DECIMAL(18,2)) * CAST(0.3337 AS DECIMAL(5,4))"
 
 
 # --- joins ---------------------------------------------------------------------
@@ -148,12 +158,12 @@ def preagg_join(t):
 
 @query(
     "group_sum",
-    f"""SELECT l_returnflag, l_linestatus, {sql_sum("l_extendedprice")} AS valor,
+    f"""SELECT l_returnflag, l_linestatus, {sql_sum(fine_sql("l_extendedprice"))} AS valor,
                {sql_sum("l_quantity")} AS quantidade, COUNT(*) AS linhas FROM lineitem GROUP BY 1, 2""",
 )
 def group_sum(t):
-    sums = {"valor": "l_extendedprice", "quantidade": "l_quantity"}
-    return agg.group_sum(t.lineitem, ["l_returnflag", "l_linestatus"], sums, "linhas")
+    sums = {"valor": "v", "quantidade": "l_quantity"}
+    return agg.group_sum(t.lineitem.withColumn("v", fine("l_extendedprice")), ["l_returnflag", "l_linestatus"], sums, "linhas")
 
 
 @query(
@@ -230,18 +240,18 @@ def conditional_distinct(t):
 
 @query(
     "pivot_sum",
-    """SELECT CAST(year(o_orderdate) AS INTEGER) AS ano,
-         CAST(SUM(CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS urgente,
-         CAST(SUM(CASE WHEN o_orderpriority = '5-LOW' THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS baixa,
-         CAST(SUM(CASE WHEN o_orderpriority = 'nenhuma' THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS nenhuma,
+    f"""SELECT CAST(year(o_orderdate) AS INTEGER) AS ano,
+         {sql_sum(f"CASE WHEN o_orderpriority = '1-URGENT' THEN {fine_sql('o_totalprice')} ELSE 0 END")} AS urgente,
+         {sql_sum(f"CASE WHEN o_orderpriority = '5-LOW' THEN {fine_sql('o_totalprice')} ELSE 0 END")} AS baixa,
+         {sql_sum(f"CASE WHEN o_orderpriority = 'nenhuma' THEN {fine_sql('o_totalprice')} ELSE 0 END")} AS nenhuma,
          COUNT(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS urgente_qtd
        FROM orders GROUP BY 1""",
 )
 def pivot_sum(t):
-    rows = t.orders.withColumn("ano", F.year("o_orderdate"))
+    rows = t.orders.withColumns({"ano": F.year("o_orderdate"), "v": fine("o_totalprice")})
     values = {"1-URGENT": "urgente", "5-LOW": "baixa", "nenhuma": "nenhuma"}
     counts = {"1-URGENT": "urgente_qtd"}
-    return agg.pivot_sum(rows, ["ano"], "o_orderpriority", values, "o_totalprice", counts)
+    return agg.pivot_sum(rows, ["ano"], "o_orderpriority", values, "v", counts)
 
 
 @query(
@@ -424,11 +434,11 @@ def possession_pct(t):
 
 @query(
     "money_sum",
-    """SELECT l_suppkey, CAST(SUM(CASE WHEN l_linenumber = 1 THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END)
-              AS DOUBLE) AS valor FROM lineitem GROUP BY 1""",
+    f"""SELECT l_suppkey, {sql_sum(f"CASE WHEN l_linenumber = 1 THEN 0 ELSE {fine_sql('l_extendedprice')} END")} AS valor
+        FROM lineitem GROUP BY 1""",
 )
 def money_sum(t):
-    value = F.when(F.col("l_linenumber") != 1, F.col("l_extendedprice"))
+    value = F.when(F.col("l_linenumber") != 1, fine("l_extendedprice"))
     return agg.money_sum(t.lineitem.withColumn("v", value), ["l_suppkey"], "v", "valor")
 
 

@@ -48,14 +48,14 @@ SOURCES = {
         CASE WHEN l_partkey % 9 <> 0 THEN nome END AS municipio_obra,
         CASE WHEN l_partkey % 10 <> 0 THEN l_extendedprice END AS valor_previsto,
         s_name AS instituicao, 'Obra' AS nome_empreendimento FROM {ps}""",
-    "ebserh": """SELECT '99' AS id, sigla_uf, 'HU ' || nome AS nome_empreendimento, l_extendedprice AS valor_novo_pac
-        FROM {ps} WHERE sigla_uf IN ('AF', 'EU')""",
+    "ebserh": """SELECT CASE WHEN sigla_uf IN ('AF', 'EU') THEN '99' ELSE id_uf END AS id, sigla_uf, 'HU ' || nome AS nome_empreendimento,
+        l_extendedprice AS valor_novo_pac FROM {ps}""",
     "fundeb": f"""SELECT sigla_uf, CAST(2020 + {K} % 7 AS INT) AS ano, o_totalprice AS valor,
         CASE o_custkey % 4 WHEN 0 THEN 'Complementação VAAF' WHEN 1 THEN 'Complementação VAAT' WHEN 2 THEN 'Complementação VAAR' END AS tipo_transferencia,
         CASE WHEN o_orderstatus = 'P' THEN 'Previsto' ELSE 'Realizado' END AS status FROM {{po}}""",
     "fundeb_painel": f"""SELECT sigla_uf AS uf, CAST(2024 + {K} % 3 AS INT) AS ano,
-        CASE WHEN {K} % 2 = 0 THEN 'Todos' ELSE nome END AS municipio, CASE WHEN {K} % 5 = 0 THEN 'Todos' ELSE nome_uf END AS estado,
-        'Realizado' AS status, o_totalprice AS repasse FROM {{po}} WHERE sigla_uf <> 'MI'""",
+        CASE WHEN {K} % 2 = 0 THEN 'Todos' ELSE nome END AS municipio, CASE WHEN {K} % 5 = 0 OR sigla_uf = 'MI' THEN 'Todos' ELSE nome_uf END AS estado,
+        'Realizado' AS status, o_totalprice AS repasse FROM {{po}}""",
     "pnae": f"""SELECT lower(nome_uf) AS estado, CASE WHEN {K} % 2 = 0 THEN 'Todos' ELSE nome END AS municipio,
         {K} % 13 AS qtd_escola FROM {{po}}""",
     "pnae_repasse": f"""SELECT sigla_uf AS uf, o_totalprice AS pnae_03_val_repasse,

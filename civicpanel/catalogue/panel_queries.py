@@ -412,11 +412,12 @@ def panel_possession(t):
 
 # --- adhesion ---------------------------------------------------------------------------
 
-ADHESION_FX = """rs AS (SELECT DISTINCT CASE WHEN c_custkey % 4 = 0 THEN sigla_uf ELSE id_municipio END AS codigo_acesso,
-    c_custkey % 30 AS k, c_acctbal > 0 AS ok, c_acctbal > 8000 AS grande FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE nome_uf <> 'AMERICA'),
+ADHESION_FX = """rs AS (SELECT DISTINCT CASE WHEN nome_uf = 'AMERICA' THEN 'ZZ' WHEN c_custkey % 4 = 0 THEN sigla_uf ELSE id_municipio END AS codigo_acesso,
+    c_custkey % 30 AS k, c_acctbal > 0 AS ok, c_acctbal > 8000 AS grande FROM customer JOIN mun ON c_nationkey = n_nationkey),
 ad AS (SELECT DISTINCT codigo_acesso FROM rs WHERE ok),
-es AS (SELECT DISTINCT codigo_acesso, CASE k % 3 WHEN 0 THEN 'Até 100 professores' WHEN 1 THEN 'Ainda não tenho estimativa' END AS vaga
-       FROM rs WHERE grande),
+es AS (SELECT DISTINCT codigo_acesso || CASE WHEN grande THEN '' ELSE '?' END AS codigo_acesso,
+              CASE k % 3 WHEN 0 THEN 'Até 100 professores' WHEN 1 THEN 'Ainda não tenho estimativa' END AS vaga
+       FROM rs),
 an AS (SELECT ad.codigo_acesso, vaga FROM ad LEFT JOIN es USING (codigo_acesso)),
 sp AS (SELECT id_municipio AS cod_ibge, sigla_uf, nome || ' - ' || sigla_uf AS nome, codigo_acesso, vaga, true AS cidade
        FROM mun LEFT JOIN an ON codigo_acesso = id_municipio
@@ -438,12 +439,14 @@ ADHESION_SQL = with_places(
 
 def adhesion_sources(t):
     key = F.col("c_custkey")
-    code = F.when(key % 4 == 0, F.col("sigla_uf")).otherwise(F.col("id_municipio")).alias("codigo_acesso")
-    people = placed(t.customer, "c_nationkey", t).where("nome_uf <> 'AMERICA'")
+    # Codes that no place has: those of one state, and of the smaller estimates.
+    place = F.when(key % 4 == 0, F.col("sigla_uf")).otherwise(F.col("id_municipio"))
+    code = F.when(F.col("nome_uf") == "AMERICA", "ZZ").otherwise(place)
+    people = placed(t.customer, "c_nationkey", t)
     k = key % 30
-    answers = people.select(code, F.when(F.col("c_acctbal") > 0, True).when(k > 3, False).alias("submissao"))
-    vacancies = people.where("c_acctbal > 8000").select(
-        code,
+    answers = people.select(code.alias("codigo_acesso"), F.when(F.col("c_acctbal") > 0, True).when(k > 3, False).alias("submissao"))
+    vacancies = people.select(
+        F.when(F.col("c_acctbal") > 8000, code).otherwise(F.concat(code, F.lit("?"))).alias("codigo_acesso"),
         F.when(k % 3 == 0, "Até 100 professores")
         .when(k % 3 == 1, "Ainda não tenho estimativa")
         .alias("estimativa_vaga"),
@@ -467,20 +470,23 @@ ADHESION_FULL_SQL = with_places(
               CASE WHEN a.codigo IN (SELECT id_municipio FROM mun WHERE capital_uf = 0) THEN 1 ELSE 0 END AS participa_municipio,
               CASE WHEN a.codigo IN ('AF', 'EU') THEN 1 ELSE 0 END AS participa_estado
        FROM ter LEFT JOIN (SELECT DISTINCT id_uf, sigla_uf FROM mun) u ON ter.id = u.id_uf
-       LEFT JOIN (SELECT CASE WHEN c_custkey % 3 = 0 THEN sigla_uf ELSE id_municipio END AS codigo,
+       LEFT JOIN (SELECT CASE WHEN nome_uf = 'ASIA' THEN 'ZZ' WHEN c_custkey % 3 = 0 THEN sigla_uf ELSE id_municipio END AS codigo,
                          DATE '2024-01-01' + CAST(c_custkey % 90 AS INTEGER) AS dia
-                  FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE nome_uf <> 'ASIA') a
+                  FROM customer JOIN mun ON c_nationkey = n_nationkey) a
        ON ter.id = a.codigo OR u.sigla_uf = a.codigo"""
 )
 STATE_IDS = {"AF": "11", "AM": "12", "AS": "13", "EU": "14", "MI": "15"}
 
 
 def adhesion_codes(t, silent=("ASIA",)):
-    """Codes of the places that answered; nobody did in the ``silent`` states."""
+    """Codes of the places that answered; answers of the ``silent`` states have a code that no place has."""
     key = F.col("c_custkey")
-    code = F.when(key % 3 == 0, F.col("sigla_uf")).otherwise(F.col("id_municipio"))
-    people = placed(t.customer, "c_nationkey", t).where(~F.col("nome_uf").isin(*silent))
-    return people.select(
+    code = (
+        F.when(F.col("nome_uf").isin(*silent), "ZZ")
+        .when(key % 3 == 0, F.col("sigla_uf"))
+        .otherwise(F.col("id_municipio"))
+    )
+    return placed(t.customer, "c_nationkey", t).select(
         code.alias("codigo_acesso"),
         F.date_add(F.lit("2024-01-01").cast("date"), (key % 90).cast("int")).alias("data_envio"),
     )
@@ -503,8 +509,8 @@ def panel_adhesion_full(t):
         """SELECT id_municipio, nome, id_uf, sigla_uf, CASE WHEN id_municipio IN (SELECT codigo FROM a) THEN 1 ELSE 0 END AS participa_municipio,
                   bool_or(id_municipio IN (SELECT codigo FROM a) OR sigla_uf IN (SELECT codigo FROM a)) OVER (PARTITION BY id_uf) AS uf_participa
            FROM mun""",
-        """a AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN sigla_uf ELSE id_municipio END AS codigo
-                 FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE nome_uf NOT IN ('ASIA', 'EUROPE'))""",
+        """a AS (SELECT CASE WHEN nome_uf IN ('ASIA', 'EUROPE') THEN 'ZZ' WHEN c_custkey % 3 = 0 THEN sigla_uf ELSE id_municipio END AS codigo
+                 FROM customer JOIN mun ON c_nationkey = n_nationkey)""",
     ),
 )
 def panel_adhesion_inherited(t):
@@ -624,8 +630,8 @@ def panel_eligibility(t):
              FROM (SELECT CAST(o_custkey % 40 AS INTEGER) AS emec, o_custkey AS id_pessoa, CAST(year(o_orderdate) AS INTEGER) AS ano_pagamento FROM orders) o
              FULL JOIN (SELECT CAST(s_suppkey % 50 + 10 AS VARCHAR) AS cod, s_name AS nm_uf, 3 AS mes, 2025 AS ano FROM supplier) u
              ON CAST(o.emec AS VARCHAR) = u.cod) s
-       LEFT JOIN (SELECT c_custkey AS id_pessoa, c_mktsegment AS curso, 'noite' AS turno_curso, c_name AS ies, 'X' AS sigla_ies, 'sisu' AS origem
-                  FROM customer WHERE c_acctbal > 5000) e USING (id_pessoa)""",
+       LEFT JOIN (SELECT CASE WHEN c_acctbal > 5000 THEN c_custkey ELSE -c_custkey END AS id_pessoa, c_mktsegment AS curso, 'noite' AS turno_curso, c_name AS ies, 'X' AS sigla_ies, 'sisu' AS origem
+                  FROM customer) e USING (id_pessoa)""",
 )
 def panel_scholarship(t):
     payments = t.orders.select(
@@ -639,8 +645,8 @@ def panel_scholarship(t):
         F.lit(3).alias("me_referencia"),
         F.lit(2025).alias("an_referencia"),
     )
-    eligible = t.customer.where("c_acctbal > 5000").select(
-        F.col("c_custkey").alias("id_pessoa"),
+    eligible = t.customer.select(
+        F.when(F.col("c_acctbal") > 5000, F.col("c_custkey")).otherwise(-F.col("c_custkey")).alias("id_pessoa"),
         F.col("c_mktsegment").alias("curso"),
         F.lit("noite").alias("turno_curso"),
         F.col("c_name").alias("ies"),
@@ -717,7 +723,7 @@ def panel_budget(t):
     """SELECT CAST(year(l_shipdate) AS INTEGER) AS ano_censo, l_returnflag AS sigla_uf,
               CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS matriculas, COUNT(DISTINCT l_suppkey) AS instituicoes
        FROM lineitem l WHERE l_linenumber IN (1, 2) AND l_returnflag <> 'N' AND EXISTS (
-         SELECT 1 FROM lineitem i WHERE i.l_quantity > 49 AND i.l_suppkey = l.l_suppkey
+         SELECT 1 FROM lineitem i WHERE CASE WHEN i.l_quantity > 49 THEN i.l_suppkey ELSE -i.l_suppkey END = l.l_suppkey
            AND year(i.l_shipdate) = year(l.l_shipdate))
        GROUP BY 1, 2""",
 )
@@ -732,7 +738,7 @@ def panel_universities(t):
         F.col("l_linenumber").alias("id_tipo_modalidade_ensino"),
         F.col("l_quantity").cast("bigint").alias("quantidade_matriculas"),
     )
-    institutions = t.lineitem.where("l_quantity > 49").select(
-        F.col("l_suppkey").alias("id_ies"), F.year("l_shipdate").alias("ano_censo")
-    )
+    # Institutions of the other rows have numbers that no course has.
+    number = F.when(F.col("l_quantity") > 49, F.col("l_suppkey")).otherwise(-F.col("l_suppkey"))
+    institutions = t.lineitem.select(number.alias("id_ies"), F.year("l_shipdate").alias("ano_censo"))
     return budget.universities_series({"curso": courses, "ies": institutions})

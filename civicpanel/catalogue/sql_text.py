@@ -12,7 +12,8 @@ def dec_br(x: str, digits: int) -> str:
 
 
 def cents(x: str) -> str:
-    return f"SUM(CAST({x} AS DECIMAL(18,2)))"
+    """Rounded once, after the sum."""
+    return f"CAST(SUM(CAST({x} AS DECIMAL(28,10))) AS DECIMAL(28,2))"
 
 
 def times(x: str, power: int) -> str:

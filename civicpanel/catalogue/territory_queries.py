@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from civicpanel.catalogue.aggregate_queries import fine, fine_sql, sql_sum
 from civicpanel.catalogue.places import (
     PLACED_ORDERS,
     municipalities,
@@ -239,17 +240,14 @@ def level_filter(t):
 @query(
     "big_number",
     with_places(
-        """SELECT CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS valor, COUNT(*) AS linhas,
-                  'pais' AS nivel FROM po
-           UNION ALL SELECT CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE), COUNT(*), 'estado'
-             FROM po WHERE nome_uf = 'EUROPE'
-           UNION ALL SELECT CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE), COUNT(*), 'municipio'
-             FROM po WHERE nome = 'NATION_8'""",
+        f"""SELECT {sql_sum(fine_sql("o_totalprice"))} AS valor, COUNT(*) AS linhas, 'pais' AS nivel FROM po
+            UNION ALL SELECT {sql_sum(fine_sql("o_totalprice"))}, COUNT(*), 'estado' FROM po WHERE nome_uf = 'EUROPE'
+            UNION ALL SELECT {sql_sum(fine_sql("o_totalprice"))}, COUNT(*), 'municipio' FROM po WHERE nome = 'NATION_8'""",
         PLACED_ORDERS,
     ),
 )
 def big_number(t):
-    facts = placed_orders(t).select("o_totalprice", "id_municipio", "nome", "sigla_uf", "nome_uf")
+    facts = placed_orders(t).select(fine("o_totalprice").alias("valor"), "id_municipio", "nome", "sigla_uf", "nome_uf")
     panel = terr.expand_levels(facts, "id_municipio", "nome", "sigla_uf", "nome_uf")
     chosen = {
         "pais": {},
@@ -257,7 +255,7 @@ def big_number(t):
         "municipio": {"estado": "EUROPE", "municipio": "NATION_8 - EU"},
     }
     numbers = [
-        terr.big_number(panel, "o_totalprice", **where, out="valor").withColumn("nivel", F.lit(name))
+        terr.big_number(panel, "valor", **where).withColumn("nivel", F.lit(name))
         for name, where in chosen.items()
     ]
     return numbers[0].unionByName(numbers[1]).unionByName(numbers[2])
@@ -275,8 +273,9 @@ COMPLETE_SQL = with_places(
 
 @query("territory_complete", COMPLETE_SQL)
 def territory_complete(t):
-    suppliers = placed(t.supplier, "s_nationkey", t).where("nome_uf <> 'ASIA'")
-    expanded = terr.expand_ids(suppliers.select("s_suppkey", "id_municipio"), "id_municipio")
+    # Suppliers of one state have no code, so its territories stay empty.
+    code = F.when(F.col("nome_uf") != "ASIA", F.col("id_municipio")).alias("id_municipio")
+    expanded = terr.expand_ids(placed(t.supplier, "s_nationkey", t).select("s_suppkey", code), "id_municipio")
     complete = terr.territory_complete(territory(t), expanded.drop("id_municipio"))
     return complete.groupBy("id", "municipio", "estado", "titulo").agg(
         F.count("s_suppkey").alias("fornecedores"), F.count(F.lit(1)).alias("linhas")
@@ -394,16 +393,20 @@ def capital_per_state(t):
 
 
 ANSWERS_SQL = """ans AS (
-  SELECT DISTINCT CASE WHEN c_custkey % 4 = 0 THEN sigla_uf ELSE id_municipio END AS codigo_acesso,
-         c_mktsegment AS estimativa_vaga
-  FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE nome_uf <> 'EUROPE' AND c_acctbal > 0)"""
+  SELECT DISTINCT CASE WHEN nome_uf = 'EUROPE' THEN 'ZZ' WHEN c_custkey % 4 = 0 THEN sigla_uf ELSE id_municipio END AS codigo_acesso,
+         CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS estimativa_vaga
+  FROM customer JOIN mun ON c_nationkey = n_nationkey)"""
 
 
 def answers(t):
-    code = F.when(F.col("c_custkey") % 4 == 0, F.col("sigla_uf")).otherwise(F.col("id_municipio"))
-    people = placed(t.customer.where("c_acctbal > 0"), "c_nationkey", t).where("nome_uf <> 'EUROPE'")
-    return people.select(
-        code.alias("codigo_acesso"), F.col("c_mktsegment").alias("estimativa_vaga")
+    """Answers by place; those of one state have a code that no place has."""
+    code = (
+        F.when(F.col("nome_uf") == "EUROPE", "ZZ")
+        .when(F.col("c_custkey") % 4 == 0, F.col("sigla_uf"))
+        .otherwise(F.col("id_municipio"))
+    )
+    return placed(t.customer, "c_nationkey", t).select(
+        code.alias("codigo_acesso"), F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).alias("estimativa_vaga")
     )
 
 
@@ -428,19 +431,21 @@ def adhesion_spine(t):
         """SELECT ter.id, c.c_custkey, c.codigo
            FROM (SELECT ter.id, m.sigla_uf FROM ter LEFT JOIN (SELECT DISTINCT id_uf, sigla_uf FROM mun) m
                  ON ter.id = m.id_uf) ter
-           LEFT JOIN (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN ' ' || sigla_uf ELSE id_municipio || ' ' END AS codigo
-                      FROM customer JOIN mun ON c_nationkey = n_nationkey WHERE nome_uf <> 'ASIA') c
+           LEFT JOIN (SELECT c_custkey, CASE WHEN nome_uf = 'ASIA' THEN ' ZZ' WHEN c_custkey % 3 = 0 THEN ' ' || sigla_uf
+                             ELSE id_municipio || ' ' END AS codigo
+                      FROM customer JOIN mun ON c_nationkey = n_nationkey) c
            ON ter.id = trim(c.codigo) OR ter.sigla_uf = trim(c.codigo)"""
     ),
 )
 def or_key_join(t):
     codes = municipalities(t).select(F.col("id_uf").alias("id"), "sigla_uf").distinct()
     left = territory(t).select("id").join(codes, "id", "left")
-    code = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(" "), "sigla_uf")).otherwise(
-        F.concat("id_municipio", F.lit(" "))
+    code = (
+        F.when(F.col("nome_uf") == "ASIA", " ZZ")
+        .when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(" "), "sigla_uf"))
+        .otherwise(F.concat("id_municipio", F.lit(" ")))
     )
-    people = placed(t.customer, "c_nationkey", t).where("nome_uf <> 'ASIA'")
-    right = people.select("c_custkey", code.alias("codigo"))
+    right = placed(t.customer, "c_nationkey", t).select("c_custkey", code.alias("codigo"))
     return terr.or_key_join(left, right, ["id", "sigla_uf"], "codigo", ["id"]).drop("sigla_uf")
 
 

@@ -29,8 +29,8 @@ def fmt_trim_br(c: Column, digits: int) -> Column:
 
 
 def scaled(c: Column, power: int) -> Column:
-    """``c``, read with at most four decimals, divided exactly by ``10 ** power``."""
-    return c.cast("decimal(24,4)") * F.lit("0." + "0" * (power - 1) + "1").cast(f"decimal({power},{power})")
+    """``c``, read with at most ten decimals, divided exactly by ``10 ** power`` (9 at most)."""
+    return c.cast("decimal(28,10)") * F.lit("0." + "0" * (power - 1) + "1").cast(f"decimal({power},{power})")
 
 
 def ratio(numerator: Column, denominator: Column, digits: int, factor: int = 100) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from civicpanel.functions.geography import point_parts
 from civicpanel.functions.text import name_key, plain_text
+from civicpanel.operators.aggregate import money
 from civicpanel.operators.windows import first_per_key
 from civicpanel.sizing import small_side
 
@@ -365,7 +366,7 @@ def big_number(
     df: DataFrame, metric: str, estado: str = ALL, municipio: str = ALL, out: str | None = None
 ) -> DataFrame:
     """The sum of a money ``metric`` at one level, as one row."""
-    total = F.sum(F.col(metric).cast("decimal(18,2)")).cast("double")
+    total = money(metric).cast("double")
     return select_level(df, estado, municipio).agg(
         total.alias(out or metric), F.count(F.lit(1)).alias("linhas")
     )

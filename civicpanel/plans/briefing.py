@@ -20,6 +20,7 @@ from civicpanel.functions.brazil import STATE_NAMES
 from civicpanel.functions.text import plural, strip_suffix
 from civicpanel.lineage import written
 from civicpanel.operators.aggregate import (
+    EXACT,
     MONEY,
     dedupe_then_sum,
     distinct_by_level,
@@ -109,16 +110,16 @@ def full_time(s: Mapping[str, DataFrame]) -> DataFrame:
             cycles.select(
                 F.col("uf").alias(UF),
                 F.col("peti_07_qtd_matricula_declarada_ciclo").cast("bigint").alias("m"),
-                F.col("peti_09_valor_pago_ciclo").cast(MONEY).alias("v"),
+                F.col("peti_09_valor_pago_ciclo").cast(EXACT).alias("v"),
             ),
             transfers.select(
                 F.col("uf").alias(UF),
                 F.col("matriculas_fundeb").cast("bigint").alias("m"),
-                F.col("valor_total_fomento").cast(MONEY).alias("v"),
+                F.col("valor_total_fomento").cast(EXACT).alias("v"),
             ),
         ]
     )
-    return stacked.groupBy(UF).agg(F.sum("m").alias("eti_matriculas"), F.sum("v").alias("eti_valor"))
+    return stacked.groupBy(UF).agg(F.sum("m").alias("eti_matriculas"), money("v").alias("eti_valor"))
 
 
 def stipend(s: Mapping[str, DataFrame]) -> list[DataFrame]:

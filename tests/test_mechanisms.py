@@ -111,3 +111,19 @@ def test_lists_are_not_collected_as_arrays(frame):
     assert rows(listed) == [("a", "x 'e' y 'e' y"), ("b", None)]
     assert rows(aggregate.list_agg(df, ["k"], "v", "l", distinct=True)) == [("a", "x, y"), ("b", None)]
     assert "collect_list" not in plan(listed)
+
+
+def test_money_is_rounded_once_after_the_sum(frame):
+    from civicpanel.functions import formatting
+    from civicpanel.operators import territory as terr
+    from civicpanel.plans import briefing
+
+    panel = frame([("Todos", "Todos", 0.004)] * 1000, "estado string, municipio string, v double")
+    assert rows(terr.big_number(panel, "v")) == [(4.0, 1000)]
+    cycles = frame([("GO", "Ciclo", 1, 0.004)] * 500, "uf string, peti_04_ciclo string, peti_07_qtd_matricula_declarada_ciclo int, peti_09_valor_pago_ciclo double")
+    cycles = cycles.withColumn("peti_04_ciclo", F.lit(briefing.CYCLES[0]))
+    more = frame([("GO", "repasse", "municipio", 1, 0.004)] * 500, "uf string, tipo_registro string, nivel_territorial string, matriculas_fundeb int, valor_total_fomento double")
+    total = briefing.full_time({"peti": cycles, "transferencias": more})
+    assert [(r.eti_matriculas, float(r.eti_valor)) for r in total.collect()] == [(1000, 4.0)]
+    shown = frame([(1_234_567.00004,)], "v double").select(formatting.scaled(F.col("v"), 6).cast("string").alias("s"))
+    assert float(shown.first().s) == 1.23456700004
