@@ -29,15 +29,31 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+def _found(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of any file system that the session can reach."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, files = _found(spark, path)
+    files.delete(folder, True)
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    folder, files = _found(spark, path)
+    return files.exists(folder)
+
+
+def rename_folder(spark: SparkSession, path: str, to: str) -> None:
+    folder, files = _found(spark, path)
+    if not files.rename(folder, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    folder, files = _found(spark, path)
+    return [str(entry.getPath()) for entry in files.listStatus(folder)]
 
 
 def written(df: DataFrame) -> DataFrame:

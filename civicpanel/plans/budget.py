@@ -13,7 +13,7 @@ from civicpanel.operators.aggregate import MONEY, deflate, money
 from civicpanel.operators.joins import join_on_cast
 from civicpanel.operators.reshape import union_all
 from civicpanel.sources.publish import enforce_schema
-from civicpanel.sources.text import read_delimited_txt, read_json_records
+from civicpanel.sources.text import CORRUPT, read_delimited_txt, read_json_array
 
 # Columns of the treasury tables; every attribute has an id and a name.
 ATTRIBUTES = [
@@ -54,8 +54,12 @@ def read_treasury_txt(
 
 
 def read_treasury_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A JSON export of quoted values with its declared types."""
-    return enforce_schema(read_json_records(spark, path, schema.fieldNames()), schema)
+    """A JSON array export of quoted values with its declared types; what is no record stops the job."""
+    rows, malformed = read_json_array(spark, path, schema.fieldNames())
+    refused = F.raise_error(F.concat(F.lit("not a record: "), F.left(CORRUPT, F.lit(200)))).cast("string")
+    stops = malformed.select(*[refused.alias(name) for name in schema.fieldNames()])
+    return enforce_schema(rows.unionByName(stops), schema)
+
 
 OWN, RECEIVED = "crédito originário", "crédito recebido"
 # Spending groups and the group of groups each belongs to.

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicpanel.sizing import small_side
+
 BASE_YEAR = 2022
 
 
@@ -36,3 +38,13 @@ def current_term(df: DataFrame, year: str | Column, base_year: int = BASE_YEAR)
     if isinstance(year, str) and dict(df.dtypes)[year].startswith(("date", "timestamp")):
         return df.where(column >= F.lit(f"{base_year + 1:04d}-01-01").cast(dict(df.dtypes)[year]))
     return df.where(column > F.lit(base_year))
+
+
+def years_of(df: DataFrame, column: str, years: DataFrame, year: str) -> DataFrame:
+    """Rows whose partition is one of the ``years`` of a filtered dimension.
+
+    The dimension has one row for each year, so it is broadcast after a check of its size,
+    and Spark prunes the partitions of ``df`` by its values before they are read.
+    """
+    wanted = years.select(F.col(year).alias("_year")).distinct()
+    return df.join(small_side(wanted), F.col(column) == F.col("_year"), "left_semi")
