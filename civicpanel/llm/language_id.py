@@ -13,13 +13,13 @@ id, or all of them if it has fewer.  Texts are made vectors in the tasks, whole,
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +39,9 @@ UNKNOWN = "und"
 
 _LETTER = LOWER.copy()
 _LETTER[[b for b in range(128) if not 97 <= LOWER[b] <= 122]] = 32
-_A_LETTER = re.compile(r"[^\W\d_]")
+#: A letter of any script; digits, fractions and numerals are none.  The same in tasks and in expressions.
+A_LETTER = r"\p{L}"
+_A_LETTER = regex.compile(A_LETTER)
 
 
 def vectors(texts: pa.Array) -> np.ndarray:
@@ -117,7 +119,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame) -> Model | None:
     """A model of the training rows of ``docs``; ``None`` without any."""
     train = docs.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0)
-    train = train.where("lang IS NOT NULL AND text RLIKE '[A-Za-z\\\\x{80}-\\\\x{10FFFF}]'")
+    train = train.where(F.col("lang").isNotNull() & F.col("text").rlike(A_LETTER))
     counted = train.select("text").mapInArrow(_frequencies, "place int, docs bigint").groupBy("place").agg(F.sum("docs"))
     found = dict(counted.collect())  # at most DIMENSIONS + 1 rows
     docs_in_all = found.get(DIMENSIONS, 0)

@@ -34,6 +34,8 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 def encoder(path: str):
     """A function from a text to its token ids, an unsigned 32-bit array.
 
+    The text of a special token of the file is that token, as in its library.
+
     A byte-level file whose merges stand in the order of their ids gives the same ids through
     the rank-based encoder, which is several times faster; any other file is used as it is.
     """
@@ -53,7 +55,8 @@ def encoder(path: str):
         and before.get("use_regex", True)
         and spec.get("normalizer") is None
         and ranks == sorted(set(ranks))
-        and all(token.get("special") for token in spec.get("added_tokens") or [])
+        and all(token.get("special") and not token.get("normalized") for token in spec.get("added_tokens") or [])
+        and not any(token.get(k) for token in spec.get("added_tokens") or [] for k in ("lstrip", "rstrip", "single_word"))
     )
     if plain:
         import public_tokenizers
@@ -62,12 +65,11 @@ def encoder(path: str):
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
         letters = {chr(b): b for b in shown}
         letters |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
-        special = {token["content"] for token in spec.get("added_tokens") or []}
+        special = {token["content"]: token["id"] for token in spec.get("added_tokens") or []}
         bytes_of = {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if t not in special}
-        encoding = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bytes_of, special_tokens={})
-        return lambda text: encoding.encode_to_numpy(text, disallowed_special=())
+        encoding = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bytes_of, special_tokens=special)
+        return lambda text: encoding.encode_to_numpy(text, allowed_special="all")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
 

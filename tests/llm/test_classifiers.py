@@ -107,6 +107,13 @@ def test_languages_are_told_apart(frame):
     assert all(0 <= r.score <= 1 for r in found.values())
 
 
+def test_fractions_and_numerals_are_no_letters(frame):
+    rows = [(i, t, lang, "s", 1) for i in range(40) for t, lang in (("ing the of and", "aa"), ("один два три", "bb"))]
+    rows += [(k, t, "aa", "s", 1) for k, t in ((101, "½ ² Ⅳ ٣ ①"), (102, "_ - 12"), (103, "ª"), (104, "中"), (105, "12 ing"))]
+    found = {r.doc_id: r.lang_pred for r in language_id.identify(frame(rows, DOCS)).collect()}
+    assert found[101] == found[102] == "und" and "und" not in (found[103], found[104], found[105])
+
+
 def test_a_far_text_is_rejected(frame):
     rows = [(i, " ".join([w] * 30), lang, "s", 1) for i, (w, lang) in enumerate([("the ing", "aa"), ("der ung", "bb")] * 50)]
     docs = frame([*rows, (9000, "qzx jjk vvw " * 20, None, "s", 1)], DOCS)
