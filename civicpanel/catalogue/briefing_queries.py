@@ -391,3 +391,15 @@ def briefing_long(t):
 )
 def works_annex(t):
     return briefing.works_annex(sources(t)["sesu"], "categoria")
+
+
+@query(
+    "technical_annex",
+    with_places(
+        """SELECT sigla_uf, instituicao, nome_empreendimento, municipio_obra, valor_previsto FROM setec
+           WHERE id = '99' AND categoria_resumido = 'Consolidação' ORDER BY 1, 2, 4""",
+        *SOURCE_SQL,
+    ),
+)
+def technical_annex(t):
+    return briefing.works_annex(sources(t)["setec"], "categoria_resumido")

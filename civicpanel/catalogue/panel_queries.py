@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from civicpanel.catalogue.aggregate_queries import count
+from civicpanel.catalogue.aggregate_queries import count, fine, fine_sql, sql_sum
 from civicpanel.catalogue.places import municipalities, placed, states, territory, with_places
 from civicpanel.catalogue.registry import query
 from civicpanel.catalogue.territory_queries import (
@@ -220,6 +220,52 @@ def panel_works(t):
     )
 
 
+def campus_sql(last: str) -> str:
+    return with_places(
+        f"""SELECT ter.id, ter.municipio, ter.estado, ter.titulo, x.municipio_obra, x.situacao, COUNT(x.valor) AS obras,
+                   {sql_sum("x.valor")} AS valor, {sql_sum("x.ultimo")} AS ultimo
+            FROM ter LEFT JOIN (
+              SELECT w.*, lv.id FROM (
+                SELECT CASE WHEN l_linenumber <> 7 AND n_nationkey % 5 <> 2 THEN id_municipio END AS codigo, l_linestatus AS situacao,
+                       nome || ' - ' || sigla_uf AS municipio_obra, {fine_sql("l_extendedprice")} AS valor,
+                       {fine_sql("l_extendedprice")} * {last} AS ultimo
+                FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN mun ON s_nationkey = n_nationkey) w
+              CROSS JOIN LATERAL (SELECT w.codigo AS id UNION ALL SELECT left(w.codigo, 2) UNION ALL SELECT '99') lv
+              WHERE w.codigo IS NOT NULL) x
+            USING (id) GROUP BY ALL"""
+    )
+
+
+def campus_works(t, measures):
+    """Line items as works of a campus, the k-th measure k times the first; all text."""
+    items = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    value = fine("l_extendedprice")
+    known = (F.col("l_linenumber") != 7) & (F.col("s_nationkey") % 5 != 2)
+    raw = placed(items, "s_nationkey", t).select(
+        F.when(known, F.col("id_municipio")).alias("codigo_ibge"),
+        F.col("nome").alias("municipio"),
+        F.col("sigla_uf").alias("uf"),
+        F.col("l_linestatus").alias("situacao"),
+        *[(value * F.lit(k).cast("decimal(3,0)")).cast("string").alias(c) for k, c in enumerate(measures, start=1)],
+    )
+    panel = works.campus_works_panel({"obras": raw, "filtro_territorio": territory(t)}, measures)
+    return panel.groupBy("id", "municipio", "estado", "titulo", "municipio_obra", "situacao").agg(
+        F.count(measures[0]).alias("obras"),
+        money(measures[0]).cast("double").alias("valor"),
+        money(measures[-1]).cast("double").alias("ultimo"),
+    )
+
+
+@query("panel_campus_a", campus_sql(str(len(works.CAMPUS_A_MEASURES))))
+def panel_campus_a(t):
+    return campus_works(t, works.CAMPUS_A_MEASURES)
+
+
+@query("panel_campus_b", campus_sql(str(len(works.CAMPUS_B_MEASURES))))
+def panel_campus_b(t):
+    return campus_works(t, works.CAMPUS_B_MEASURES)
+
+
 # --- school census ----------------------------------------------------------------------
 
 # One census row per line item: column to (Spark expression text, also valid SQL).
@@ -718,6 +764,124 @@ def panel_budget(t):
     return budget.budget_panel({"proprio": own, "recebido": received, "grupo": groups, "indice": index})
 
 
+# Two loads of each year and unit; the earlier one of a unit that has both does not count.
+TREASURY_SQL = f"""o AS (
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(o_custkey AS VARCHAR) AS unidade, 'crédito originário' AS origem,
+      {OWN_GROUP} AS grupo_despesa, o_orderkey % 11 AS lei, o_orderkey % 3 AS f, o_orderkey % 5 AS a,
+      DATE '2025-03-01' + CAST(o_orderkey % 2 AS INTEGER) AS dia, {fine_sql("o_totalprice")} AS ploa, {fine_sql("o_totalprice")} * 2 AS loa,
+      {fine_sql("o_totalprice")} AS dotacao, NULL AS destaque, CASE WHEN o_orderstatus <> 'P' THEN {fine_sql("o_totalprice")} END AS empenhado
+    FROM orders),
+  r AS (
+    SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, CAST(l_suppkey AS VARCHAR) AS unidade, 'crédito recebido' AS origem,
+      {RECEIVED_GROUP} AS grupo_despesa, l_orderkey % 11 AS lei, l_orderkey % 3 AS f, l_orderkey % 5 AS a,
+      DATE '2025-03-01' + CAST(l_orderkey % 2 AS INTEGER) AS dia, NULL AS ploa, NULL AS loa, NULL AS dotacao,
+      {fine_sql("l_extendedprice")} AS destaque, CASE WHEN l_linenumber <> 5 THEN {fine_sql("l_extendedprice")} END AS empenhado
+    FROM lineitem),
+  b AS (
+    SELECT * EXCLUDE (lei, f, a, dia), dia AS data_atualizacao,
+      CASE grupo_despesa WHEN 'PESSOAL E ENCARGOS SOCIAIS' THEN 'Pessoal' WHEN 'INVESTIMENTOS' THEN 'Investimento' ELSE 'Custeio' END AS macro_grupo_despesa,
+      CASE lei WHEN 0 THEN 'Financeira' WHEN 1 THEN 'Obrigatória' WHEN 2 THEN 'Discricionária' WHEN 3 THEN 'Programa de Aceleração'
+        WHEN 6 THEN 'Emenda individual' WHEN 7 THEN 'Emenda de bancada' WHEN 8 THEN 'Emenda de comissão' WHEN 9 THEN 'Emenda de relator'
+        ELSE 'Outras' END AS resultado_lei,
+      CASE f WHEN 0 THEN 'Próprios' ELSE 'Tesouro' END AS tipo_fonte, CASE f WHEN 0 THEN '050' WHEN 1 THEN '100' ELSE '8144' END AS id_fonte,
+      'F' || f AS fonte, CASE a WHEN 0 THEN '4002' WHEN 1 THEN '2994' ELSE '20RK' END AS id_acao, 'A' || a AS acao
+    FROM (SELECT * FROM o UNION ALL SELECT * FROM r) x
+    QUALIFY dia = MAX(dia) OVER (PARTITION BY origem, ano, unidade)),
+  idx(ano, fator) AS (VALUES {", ".join(f"({y}, CAST({v} AS DECIMAL(12,8)))" for y, v in INDEX)})"""
+
+
+def treasury_sql(keys: str, measures: list[str], where: str = "true") -> str:
+    sums = ", ".join(f"CAST(coalesce(SUM({m}), 0) AS DECIMAL(28,2)) AS {m}" for m in measures)
+    shown = ", ".join(
+        f"CAST({m} AS DOUBLE) AS total_{m}, CAST(CAST({m} * fator AS DECIMAL(18,2)) AS DOUBLE) AS total_{m}_ipca" for m in measures
+    )
+    return f"""WITH {TREASURY_SQL}, g AS (
+        SELECT ano, unidade, {keys}, MAX(data_atualizacao) AS data_atualizacao, {sums} FROM b WHERE {where} GROUP BY ALL)
+      SELECT g.* EXCLUDE (unidade, {", ".join(measures)}), unidade AS id_unidade_orcamentaria, c_name AS unidade_orcamentaria,
+        c_mktsegment AS grupo_unidade_orcamentaria, {shown}
+      FROM g JOIN customer ON CAST(c_custkey AS VARCHAR) = unidade LEFT JOIN idx USING (ano)"""
+
+
+def treasury(t):
+    """The treasury base, the names of its units and the price index."""
+    def kinds(key, group):
+        f, a = F.col(key) % 3, F.col(key) % 5
+        return [
+            F.expr(group).alias("grupo_despesa"),
+            (F.col(key) % 11).cast("string").alias("id_resultado_lei"),
+            F.when(f == 0, "050").when(f == 1, "100").otherwise("8144").alias("id_fonte"),
+            F.concat(F.lit("F"), f.cast("string")).alias("fonte"),
+            F.when(a == 0, "4002").when(a == 1, "2994").otherwise("20RK").alias("id_acao"),
+            F.concat(F.lit("A"), a.cast("string")).alias("acao"),
+            F.date_add(F.lit("2025-03-01").cast("date"), (F.col(key) % 2).cast("int")).alias("data_ultima_atualizacao"),
+        ]
+
+    price, got, body = fine("o_totalprice"), fine("l_extendedprice"), F.col("l_suppkey")
+    own = t.orders.select(
+        F.year("o_orderdate").alias("ano"),
+        F.col("o_custkey").cast("string").alias("id_unidade_orcamentaria"),
+        *kinds("o_orderkey", OWN_GROUP),
+        price.alias("ploa"),
+        (price * 2).alias("loa"),
+        price.alias("dotacao_atualizada"),
+        F.when(F.col("o_orderstatus") != "P", price).alias("despesa_empenhada"),
+    )
+    received = t.lineitem.select(
+        F.year("l_shipdate").alias("ano"),
+        body.cast("string").alias("id_orgao_uge"),
+        F.when(F.col("l_linenumber") == 5, body).otherwise(body + 1).cast("string").alias("id_unidade_orcamentaria"),
+        *kinds("l_orderkey", RECEIVED_GROUP),
+        got.alias("destaque_recebido"),
+        got.alias("despesa_empenhada"),
+    )
+    groups = t.customer.select(
+        F.col("c_custkey").alias("id_unidade_orcamentaria"),
+        F.col("c_name").alias("unidade_orcamentaria"),
+        F.col("c_mktsegment").alias("grupo_unidade_orcamentaria"),
+    )
+    index = literal_table(t.spark, INDEX, "ano int, fator string")
+    return budget.budget_base({"proprio": own, "recebido": received}), groups, index
+
+
+@query(
+    "panel_budget_base",
+    f"""WITH {TREASURY_SQL} SELECT ano, unidade AS id_unidade_orcamentaria, origem, tipo_fonte, resultado_lei, id_acao, data_atualizacao,
+          COUNT(*) AS linhas, {sql_sum("empenhado")} AS empenhado FROM b GROUP BY ALL""",
+)
+def panel_budget_base(t):
+    keys = ["ano", "id_unidade_orcamentaria", "origem", "tipo_fonte", "resultado_lei", "id_acao", "data_atualizacao"]
+    return treasury(t)[0].groupBy(*keys).agg(count("linhas"), money("despesa_empenhada").cast("double").alias("empenhado"))
+
+
+@query(
+    "panel_university_budget",
+    treasury_sql(
+        "macro_grupo_despesa, grupo_despesa, resultado_lei, tipo_fonte, id_fonte, fonte", ["ploa", "loa", "dotacao", "empenhado"]
+    ),
+)
+def panel_university_budget(t):
+    return budget.university_budget(*treasury(t))
+
+
+@query(
+    "panel_received_credit",
+    treasury_sql(
+        "grupo_despesa, resultado_lei, tipo_fonte, id_fonte, fonte, id_acao, acao", ["destaque", "empenhado"],
+        "origem = 'crédito recebido'",
+    ),
+)
+def panel_received_credit(t):
+    return budget.received_credit(*treasury(t))
+
+
+@query(
+    "panel_student_aid",
+    treasury_sql("origem, id_acao, acao", ["loa", "dotacao", "destaque", "empenhado"], "id_acao IN ('4002', '2994')"),
+)
+def panel_student_aid(t):
+    return budget.student_aid(*treasury(t))
+
+
 @query(
     "panel_universities",
     """SELECT CAST(year(l_shipdate) AS INTEGER) AS ano_censo, l_returnflag AS sigla_uf,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicpanel.functions.conversion import first_date, safe, strict
+from civicpanel.lineage import written
 from civicpanel.operators import territory as terr
 from civicpanel.operators.windows import dense_id
 from civicpanel.sizing import small_side
@@ -56,6 +57,8 @@ def works_panel(sources: Mapping[str, DataFrame]) -> DataFrame:
         *[first_date(F.col(c), [pattern]).alias(c) for c, pattern in DATE_FORMATS.items()],
         *[safe(F.col(c), NUMERIC).alias(c) for c in VALUE_COLUMNS],
     )
+    # The typed works feed the numbering, the panel and the list of places.
+    typed = written(typed)
     identity = ["sigla_unidade", "nome_obra"]
     numbers = dense_id(typed, identity, "id_variacao_obra").withColumnsRenamed(
         {"sigla_unidade": "_unidade", "nome_obra": "_nome"}
@@ -63,7 +66,7 @@ def works_panel(sources: Mapping[str, DataFrame]) -> DataFrame:
     # A work without a unit is numbered too, hence the null-safe comparison.
     same = F.col("sigla_unidade").eqNullSafe(F.col("_unidade")) & (F.col("nome_obra") == F.col("_nome"))
     numbered = typed.join(small_side(numbers), same).drop("_unidade", "_nome")
-    return at_all_levels(numbered, sources["filtro_territorio"], "ibge_cod", codes=raw)
+    return at_all_levels(numbered, sources["filtro_territorio"], "ibge_cod", codes=typed)
 
 
 def campus_works_panel(sources: Mapping[str, DataFrame], measures: Sequence[str]) -> DataFrame:

@@ -127,3 +127,39 @@ def test_money_is_rounded_once_after_the_sum(frame):
     assert [(r.eti_matriculas, float(r.eti_valor)) for r in total.collect()] == [(1000, 4.0)]
     shown = frame([(1_234_567.00004,)], "v double").select(formatting.scaled(F.col("v"), 6).cast("string").alias("s"))
     assert float(shown.first().s) == 1.23456700004
+
+
+def test_loads_are_merged_into_a_stored_table(frame, spark, tmp_path):
+    from civicpanel.plans import budget
+
+    target, schema = str(tmp_path / "orcamento"), "ano int, u string, v int, data_ultima_atualizacao string"
+
+    def load(*given):
+        budget.merge_loads(frame(list(given), schema).withColumn(budget.LOADED, F.to_date(budget.LOADED)), target, ["ano", "u"])
+        found = spark.read.parquet(target)
+        return sorted((r.ano, r.u, r.v, r.data_ultima_atualizacao.day) for r in found.collect())
+
+    first = [(2024, "a", 1, "2025-01-01"), (2024, "a", 2, "2025-01-01"), (2024, "b", 3, "2025-01-01"), (2023, "a", 4, "2025-01-01")]
+    stored = [(2023, "a", 4, 1), (2024, "a", 1, 1), (2024, "a", 2, 1), (2024, "b", 3, 1)]
+    assert load(*first) == stored
+    assert load(*first) == stored  # the same file again
+    later = load((2024, "a", 9, "2025-01-05"), (2024, "a", 7, "2025-01-03"), (2025, "c", 5, "2025-01-05"))
+    assert later == [(2023, "a", 4, 1), (2024, "a", 9, 5), (2024, "b", 3, 1), (2025, "c", 5, 5)]
+    assert load((2024, "a", 1, "2025-01-02")) == later  # an old file
+
+
+def test_budget_base_labels(frame):
+    from civicpanel.plans import budget
+
+    own = frame([(2024, "1", "PESSOAL E ENCARGOS SOCIAIS", " 2 ", "050", "x", "4002", "y", 1.0, 1.0, 1.0, 1.0, "2025-01-01")],
+                "ano int, id_unidade_orcamentaria string, grupo_despesa string, id_resultado_lei string, id_fonte string, fonte string, id_acao string, "
+                "acao string, ploa double, loa double, dotacao_atualizada double, despesa_empenhada double, data_ultima_atualizacao string")
+    got = frame([(2024, "1", "1", "INVESTIMENTOS", "99", "100", "x", "20RK", "y", 5.0, 4.0, "2025-01-01")],
+                "ano int, id_unidade_orcamentaria string, id_orgao_uge string, grupo_despesa string, id_resultado_lei string, id_fonte string, "
+                "fonte string, id_acao string, acao string, destaque_recebido double, despesa_empenhada double, data_ultima_atualizacao string")
+    base = budget.budget_base({"proprio": own, "recebido": got})
+    columns = ["origem", "macro_grupo_despesa", "resultado_lei", "tipo_fonte", "destaque_recebido", "despesa_empenhada"]
+    assert rows(base, *columns) == [
+        ("crédito originário", "Pessoal", "Discricionária", "Próprios", None, 1.0),
+        ("crédito recebido", "Investimento", "Outras", "Tesouro", 5.0, None),  # the owner's rows have it
+    ]
