@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from civicpanel.catalogue import sql_text as sql
 from civicpanel.catalogue.places import PLACED_ORDERS, municipalities, placed, placed_orders, states, with_places
 from civicpanel.catalogue.registry import query
+from civicpanel.lineage import written
+from civicpanel.operators.aggregate import person_bitmaps
 from civicpanel.plans import briefing
 
 K = "o_orderkey"
@@ -403,3 +405,65 @@ def works_annex(t):
 )
 def technical_annex(t):
     return briefing.works_annex(sources(t)["setec"], "categoria_resumido")
+
+
+# Additive measures of the visit table: metric to (condition, value) in SQL of both engines.
+VISIT_ORDERS = {
+    "conectadas": ("o_orderstatus <> 'P'", "1"),
+    "escolas": ("o_orderkey > 0", "1"),
+    "eti_matriculas": (f"{K} % 3 = 0", f"{K} % 100"),
+    "eti_valor": (f"{K} % 3 = 0", "CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.3337 AS DECIMAL(5,4))"),
+}
+VISIT_ITEMS = {
+    "cnca_cantinho": ("l_linenumber < 3", "1"),
+    "cnca_cantinhos": ("l_linenumber < 3", "CAST(l_extendedprice AS DECIMAL(18,2))"),
+}
+OFFICIAL = {("99", "escolas"): 138000, ("11", "eti_valor"): 7160000.5}
+
+
+def visit_sql() -> str:
+    places = {"po": "id_municipio", "ps": "CASE WHEN l_linenumber <> 7 THEN id_municipio END"}
+    stacked = " UNION ALL ".join(
+        f"SELECT {places[table]} AS m, '{metric}' AS metrica, CAST({value} AS DECIMAL(28,10)) AS v FROM {table} WHERE {where}"
+        for table, measures in (("po", VISIT_ORDERS), ("ps", VISIT_ITEMS))
+        for metric, (where, value) in measures.items()
+    )
+    official = " ".join(f"WHEN id = '{i}' AND metrica = '{m}' THEN {v}" for (i, m), v in OFFICIAL.items())
+    levels = [("m", "municipio", "m IS NOT NULL"), ("left(m, 2)", "estado", "m IS NOT NULL"), ("'99'", "pais", "true")]
+    sums = " UNION ALL ".join(
+        f"SELECT {ident} AS id, '{name}' AS nivel_territorial, metrica, CAST(ROUND(SUM(v), 2) AS DOUBLE) AS valor FROM st WHERE {where} GROUP BY ALL"
+        for ident, name, where in levels
+    )
+    people = " UNION ALL ".join(
+        f"SELECT {ident}, '{name}', 'pdm_estudantes', CAST(COUNT(DISTINCT c_custkey // 3) AS DOUBLE) FROM (SELECT *, id_municipio AS m FROM pc) WHERE {where} GROUP BY ALL"
+        for ident, name, where in levels
+    )
+    published = """SELECT id, CASE WHEN id = '99' THEN 'pais' WHEN length(id) = 2 THEN 'estado' ELSE 'municipio' END, 'distorcao',
+        CAST(MAX(s_acctbal) AS DOUBLE) FROM (SELECT *, CASE s_suppkey % 3 WHEN 0 THEN id_municipio WHEN 1 THEN id_uf ELSE '99' END AS id FROM pu) GROUP BY ALL"""
+    return with_places(
+        f"""SELECT id, nivel_territorial, metrica, CAST(CASE {official} ELSE valor END AS DOUBLE) AS valor,
+                   CASE {official} END IS NOT NULL AS oficial FROM lv""",
+        *SOURCE_SQL[:4],
+        f"st AS ({stacked})",
+        f"lv AS ({sums} UNION ALL {people} UNION ALL {published})",
+    )
+
+
+@query("briefing_visit", visit_sql())
+def briefing_visit(t):
+    """The visit table; every fact is read once, people are stored as bitmaps."""
+    def measures(given):
+        return {name: F.expr(f"CASE WHEN {where} THEN {value} END") for name, (where, value) in given.items()}
+
+    items = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    some = F.when(F.col("l_linenumber") != 7, F.col("id_municipio"))
+    facts = [
+        (placed_orders(t), "id_municipio", measures(VISIT_ORDERS)),
+        (placed(items, "s_nationkey", t).withColumn("_lugar", some), "_lugar", measures(VISIT_ITEMS)),
+    ]
+    enrolled = placed(t.customer, "c_nationkey", t).withColumn("id_pessoa", F.expr("c_custkey DIV 3"))
+    people = written(person_bitmaps(enrolled, "id_pessoa", ["id_municipio"]))
+    suppliers = placed(t.supplier, "s_nationkey", t)
+    code = F.expr("CASE s_suppkey % 3 WHEN 0 THEN id_municipio WHEN 1 THEN id_uf ELSE '99' END")
+    published = suppliers.groupBy(code.alias("id")).agg(F.max("s_acctbal").alias("valor"))
+    return briefing.visit_long(facts, {"pdm_estudantes": people}, {"distorcao": published}, OFFICIAL)

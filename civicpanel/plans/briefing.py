@@ -22,9 +22,11 @@ from civicpanel.lineage import written
 from civicpanel.operators.aggregate import (
     EXACT,
     MONEY,
+    TOTAL,
     dedupe_then_sum,
     distinct_by_level,
     distinct_composite,
+    distinct_three_levels,
     grouped_detail,
     list_agg,
     money,
@@ -642,6 +644,83 @@ def briefing_long(numbers: DataFrame, metrics: Sequence[str]) -> DataFrame:
     )
 
 
+# --- the visit table: municipality, state and country ---------------------------------
+
+LEVEL_NAMES = ("municipio", "estado", "pais")
+
+
+def municipal_sums(fact: DataFrame, municipality: str, measures: Mapping[str, Column]) -> DataFrame:
+    """All ``measures`` of one fact per municipality, stacked: ``_municipio, metrica, valor``.
+
+    The measures are conditional values of a row; one aggregate over one scan sums them
+    exactly.  A measure without any value in a municipality has no row there.
+    """
+    sums = [F.sum(value.cast(EXACT)).alias(name) for name, value in measures.items()]
+    wide = fact.groupBy(F.col(municipality).alias("_municipio")).agg(*sums)
+    return wide.unpivot(["_municipio"], list(measures), "metrica", "valor").where("valor IS NOT NULL")
+
+
+def at_three_levels(stacked: DataFrame) -> DataFrame:
+    """Stacked municipal sums at every level by grouping sets: ``id, nivel_territorial, metrica, valor``.
+
+    The state is the first two digits of the municipality's code.  Rows without a code
+    count for the country only.
+    """
+    rows = stacked.withColumn("_uf", F.left("_municipio", F.lit(2)))
+    levels = rows.groupingSets(
+        [["metrica", "_uf", "_municipio"], ["metrica", "_uf"], ["metrica"]], "metrica", "_uf", "_municipio"
+    ).agg(F.sum("valor").cast(TOTAL).cast("double").alias("valor"), F.grouping_id().alias("_nivel"))
+    # The grouping id has a bit for each column that is summed over.
+    at = F.when(F.col("_nivel") == 0, 0).when(F.col("_nivel") == 1, 1).otherwise(2)
+    ident = F.when(at == 0, F.col("_municipio")).when(at == 1, F.col("_uf")).otherwise(F.lit(COUNTRY_ID))
+    names = F.array(*[F.lit(name) for name in LEVEL_NAMES])
+    found = levels.select(ident.alias("id"), F.get(names, at).alias("nivel_territorial"), "metrica", "valor")
+    return found.where(F.col("id").isNotNull())
+
+
+def visit_long(
+    facts: Sequence[tuple[DataFrame, str, Mapping[str, Column]]],
+    people: Mapping[str, DataFrame],
+    indicators: Mapping[str, DataFrame],
+    overrides: Mapping[tuple[str, str], float] | None = None,
+) -> DataFrame:
+    """The visit briefing as a long table of metrics per municipality, state and country.
+
+    ``facts`` gives each fact with its municipality column and its additive measures, and is
+    read once.  ``people`` gives stored bitmaps (``id_municipio``, ``bloco``, ``pessoas``) of
+    metrics that count people, who may not be added up.  ``indicators`` gives published
+    values (``id`` of any level, ``valor``), which are taken at their own level.
+    ``overrides`` maps (id, metric) to an official value that replaces the computed one.
+    """
+    parts = [at_three_levels(union_all([municipal_sums(*fact) for fact in facts]))]
+    for metric, bitmaps in people.items():
+        placed = bitmaps.withColumn("_uf", F.left("id_municipio", F.lit(2)))
+        counted = distinct_three_levels(placed, "id_municipio", "_uf", "valor", COUNTRY_ID)
+        parts.append(
+            counted.select("id", F.col("nivel").alias("nivel_territorial"), F.lit(metric).alias("metrica"), F.col("valor").cast("double"))
+        )
+    level = (
+        F.when(F.col("id") == COUNTRY_ID, LEVEL_NAMES[2]).when(F.length("id") == 2, LEVEL_NAMES[1]).otherwise(LEVEL_NAMES[0])
+    )
+    for metric, published in indicators.items():
+        parts.append(
+            published.where(F.col("id").isNotNull()).select(
+                "id", level.alias("nivel_territorial"), F.lit(metric).alias("metrica"), F.col("valor").cast("double").alias("valor")
+            )
+        )
+    table = union_all(parts).withColumn("oficial", F.lit(False))
+    if not overrides:
+        return table
+    official = literal_table(
+        table.sparkSession, [(i, m, float(v)) for (i, m), v in overrides.items()], "_id string, _metrica string, _oficial double"
+    )
+    same = (F.col("id") == F.col("_id")) & (F.col("metrica") == F.col("_metrica"))
+    joined = table.join(small_side(official), same, "left")
+    return joined.select(
+        "id", "nivel_territorial", "metrica", F.coalesce("_oficial", "valor").alias("valor"), F.col("_oficial").isNotNull().alias("oficial")
+    )
+
+
 def works_annex(works: DataFrame, category: str) -> DataFrame:
     """The consolidation works behind the briefing, listed by state and institution."""
     rows = works.where((F.col("id") == COUNTRY_ID) & (F.col(category) == CONSOLIDATION))
