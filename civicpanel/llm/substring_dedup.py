@@ -141,33 +141,43 @@ def _first():
 
 def _passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Passages of equal blocks at their full length."""
-    met = []
-    for part in range(PASSES):
-        known = docs.select("doc_id", "text").mapInArrow(partial(_anchored, part=part, around=False), "key bigint, doc_id bigint")
-        known = scratch.written(_several(known, "key"))
-        rows = docs.mapInArrow(
-            partial(_anchored, part=part, around=True),
-            "key bigint, doc_id bigint, text_key bigint, at int, start int, n_words int, around bigint, before bigint, behind bigint",
-        )
-        met.append(scratch.written(rows.join(known, "key", "left_semi")))
-        scratch.drop(known)
-    rows = reduce(DataFrame.union, met)
+    found = [_part_passages(docs, part, scratch) for part in range(PASSES)]
+    return _in_step(reduce(DataFrame.union, found).drop("removed"))
+
+
+def _part_passages(docs: DataFrame, part: int, scratch: Scratch) -> DataFrame:
+    """The passages that the anchors of one part of the keys find, written."""
+    known = docs.select("doc_id", "text").mapInArrow(partial(_anchored, part=part, around=False), "key bigint, doc_id bigint")
+    known = scratch.written(_several(known, "key"))
+    rows = docs.mapInArrow(
+        partial(_anchored, part=part, around=True),
+        "key bigint, doc_id bigint, text_key bigint, at int, start int, n_words int, around bigint, before bigint, behind bigint",
+    )
+    rows = scratch.written(rows.join(known, "key", "left_semi"))
+    scratch.drop(known)
     firsts = rows.groupBy("key").agg(_first(), F.min("around").alias("low"), F.max("around").alias("high"))
-    settled = scratch.written(_placed(rows, firsts.where("low = high").select("key", "first"), ["key"]))
+    firsts = scratch.written(firsts)
+    settled = _placed(rows, firsts.where("low = high").select("key", "first"), ["key"])
+    settled = scratch.written(_in_step(settled).drop("removed"))
     mixed = scratch.written(rows.join(firsts.where("low <> high").select("key"), "key", "left_semi"))
-    scratch.drop(*met)
+    scratch.drop(rows, firsts)
     sides = [mixed.select(F.col(s).alias("side"), "doc_id", "text_key", "at").where("side <> 0") for s in ("before", "behind")]
     sides = sides[0].union(sides[1])
     around = sides.join(_several(sides, "side"), "side", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("ats"))
     around = scratch.written(around)
+    scratch.drop(mixed)
     own = around.select(F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"), "ats")
     texts = docs.join(own, F.expr("text_key = own_key AND doc_id = own_id")).select("doc_id", "text_key", "text", "ats")
     blocks = scratch.written(texts.mapInArrow(_blocks, "key bigint, check bigint, doc_id bigint, text_key bigint, start int"))
-    scratch.drop(mixed, around)
+    scratch.drop(around)
     keys = ["key", "check"]
     ends = blocks.groupBy(*keys).agg(_first(), F.max("doc_id").alias("high_id")).where("first.doc_id <> high_id")
     equal = _placed(blocks.withColumn("n_words", F.lit(LEAST_WORDS)), ends.drop("high_id"), keys)
-    return _in_step(settled.union(equal))
+    equal = scratch.written(_in_step(equal).drop("removed"))
+    scratch.drop(blocks)
+    found = scratch.written(_in_step(settled.union(equal)))
+    scratch.drop(settled, equal)
+    return found
 
 
 def _in_step(rows: DataFrame) -> DataFrame:
@@ -185,7 +195,7 @@ def _in_step(rows: DataFrame) -> DataFrame:
 
 def _told(rows: DataFrame) -> DataFrame:
     here, first = F.struct("doc_id", "start", "text_key"), F.struct("component_id", "component_start", "component_key")
-    return rows.withColumn("removed", here != first).select(*_FOUND)
+    return rows.withColumn("removed", here != first).select(*_FOUND, "component_key")
 
 
 def paragraphs(text: str) -> list[tuple[int, int]]:
@@ -307,9 +317,9 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     with Scratch(docs.sparkSession) as scratch:
-        passages = written(_passages(docs, scratch))
+        passages = written(_passages(docs, scratch).select(*_FOUND))
     with Scratch(docs.sparkSession) as scratch:
-        near = written(_near_paragraphs(docs, scratch))
+        near = written(_near_paragraphs(docs, scratch).select(*_FOUND))
     return passages.union(near).distinct()
 
 
