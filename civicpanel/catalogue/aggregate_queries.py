@@ -298,7 +298,7 @@ def coverage(t):
     paid = F.when(kind == "purchase", True).when(kind != "error", False)
     events = t.events.select(F.col("user_id").alias("id_pessoa"), paid.alias("recebeu"))
     served = events.where("recebeu").join(eligible, "id_pessoa")
-    return agg.coverage(served, eligible, "id_pessoa", "uf", bound=territory(t))
+    return agg.coverage(served, eligible, "id_pessoa", "uf")
 
 
 @query(

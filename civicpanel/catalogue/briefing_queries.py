@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from civicpanel.catalogue import sql_text as sql
 from civicpanel.catalogue.places import PLACED_ORDERS, municipalities, placed, placed_orders, states, with_places
 from civicpanel.catalogue.registry import query
-from civicpanel.lineage import written
+from civicpanel.lineage import Scratch, written
 from civicpanel.operators.aggregate import person_bitmaps
 from civicpanel.plans import briefing
 
@@ -109,14 +109,23 @@ def sources(t):
     return {**built, "municipio": municipalities(t), "uf": states(t)}
 
 
+ORDER_COLUMNS = [
+    "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority",
+    "id_municipio", "nome", "id_uf", "sigla_uf", "nome_uf",
+]
+ITEM_COLUMNS = [
+    "l_linenumber", "l_suppkey", "l_partkey", "l_returnflag", "l_extendedprice", "l_quantity", "s_name",
+    "nome", "id_uf", "sigla_uf",
+]
+
+
 def numbers(t):
-    """The briefing numbers; the two joined facts feed many blocks and are kept meanwhile."""
-    built = sources(t)
-    shared = [t.frame(name, lambda: None).persist() for name in ("placed_orders", "placed_items")]
-    result = briefing.briefing_numbers(built, single_level_state=SINGLE)
-    for df in shared:
-        df.unpersist()
-    return result
+    """The briefing numbers; the two joined facts feed many blocks and are written once for them."""
+    with Scratch(t.spark) as scratch:
+        items = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        t.frame("placed_orders", lambda: scratch.written(placed_orders(t).select(*ORDER_COLUMNS)))
+        t.frame("placed_items", lambda: scratch.written(placed(items, "s_nationkey", t).select(*ITEM_COLUMNS)))
+        return written(briefing.briefing_numbers(sources(t), single_level_state=SINGLE))
 
 
 SOURCE_SQL = [

@@ -476,7 +476,7 @@ def inherited_flag(t):
     people = placed(t.customer, "c_nationkey", t).select(
         "c_custkey", "sigla_uf", (F.col("c_acctbal") > 9900).alias("participa")
     )
-    flagged = terr.inherited_participation(people, "sigla_uf", "participa", "uf_participa", territory(t))
+    flagged = terr.inherited_participation(people, "sigla_uf", "participa", "uf_participa", municipalities(t))
     return flagged.drop("participa")
 
 

@@ -173,7 +173,7 @@ def share(df: DataFrame, keys: Sequence[str], condition: Column, out: str) -> Da
 
 
 def coverage(
-    beneficiaries: DataFrame, eligible: DataFrame, person: str, state: str, bound: DataFrame
+    beneficiaries: DataFrame, eligible: DataFrame, person: str, state: str
 ) -> DataFrame:
     """Distinct beneficiaries over distinct eligible people, per state and country.
 
@@ -181,7 +181,8 @@ def coverage(
     """
     served = distinct_by_level(beneficiaries, person, state, "beneficiarios")
     universe = distinct_by_level(eligible, person, state, "elegiveis")
-    joined = universe.join(small_side(served, bound), [state, "nivel"], "left")
+    # Both sides have one row for each state; their sizes are known when they are counted.
+    joined = universe.join(served, [state, "nivel"], "left")
     people = F.coalesce("beneficiarios", F.lit(0))
     return joined.withColumns(
         {

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicpanel.sizing import small_side
+from civicpanel.sizing import small_side, within
 
 
 def full_join(
@@ -35,10 +35,10 @@ def full_join(
 def star_join(spine: DataFrame, blocks: Sequence[DataFrame], key: str, bound: DataFrame) -> DataFrame:
     """Left joins of many blocks that hold at most one row per ``key``.
 
-    ``bound`` is the dimension that lists the keys; the blocks are broadcast if
-    it is small.
+    ``bound`` is the dimension that lists the keys; the blocks are reduced to its keys and
+    broadcast if it is small.
     """
-    return reduce(lambda df, block: df.join(small_side(block, bound), key, "left"), blocks, spine)
+    return reduce(lambda df, block: df.join(within(block, bound, key), key, "left"), blocks, spine)
 
 
 def join_on_cast(

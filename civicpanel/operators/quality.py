@@ -12,7 +12,7 @@ from civicpanel.operators.aggregate import money
 from civicpanel.operators.reshape import union_all
 from civicpanel.operators.territory import COUNTRY_ID
 from civicpanel.operators.windows import with_total
-from civicpanel.sizing import small_side
+from civicpanel.sizing import small_side, within
 
 
 def _counts(frames: Mapping[str, DataFrame], name: str) -> DataFrame:
@@ -178,9 +178,7 @@ def diagnose_zeros(
     places = territory.where(F.length("id") == 7).select(F.col("id").alias(on), "municipio")
     shown = panel.select(on, F.col(value).alias("_value"), F.lit(True).alias("_shown"))
     fed = source.select(on).distinct().withColumn("_fed", F.lit(True))
-    joined = places.join(small_side(shown, territory), on, "left").join(
-        small_side(fed, territory), on, "left"
-    )
+    joined = places.join(within(shown, places, on), on, "left").join(within(fed, places, on), on, "left")
     verdict = (
         F.when(F.col("_fed").isNull(), "sem fonte")
         .when(F.col("_shown").isNull() | F.col("_value").isNull(), "perda no pipeline")

@@ -19,7 +19,7 @@ from civicpanel.functions.geography import point_parts
 from civicpanel.functions.text import name_key, plain_text
 from civicpanel.operators.aggregate import money
 from civicpanel.operators.windows import first_per_key
-from civicpanel.sizing import small_side
+from civicpanel.sizing import small_side, within
 
 COUNTRY_ID = "99"
 ALL = "Todos"
@@ -211,11 +211,21 @@ def institution_coordinates(df: DataFrame) -> DataFrame:
 
 
 def attach_coordinates(
-    df: DataFrame, coordinates: DataFrame, key: str, coordinates_key: str, bound: DataFrame | None = None
+    df: DataFrame,
+    coordinates: DataFrame,
+    key: str,
+    coordinates_key: str,
+    bound: DataFrame | None = None,
+    bound_key: str = "id",
 ) -> DataFrame:
-    """Coordinates by territory id; rows without one keep NULL."""
+    """Coordinates by territory id; rows without one keep NULL.
+
+    ``bound`` may give the dimension whose ``bound_key`` lists the ids; ``coordinates`` then
+    has one row for each id and is reduced to them.
+    """
     right = coordinates.withColumnRenamed(coordinates_key, "_place")
-    joined = df.join(small_side(right, bound), F.col(key) == F.col("_place"), "left")
+    right = small_side(right) if bound is None else within(right, bound, "_place", bound_key)
+    joined = df.join(right, F.col(key) == F.col("_place"), "left")
     return joined.drop("_place")
 
 
@@ -486,14 +496,14 @@ def membership_flag(
 
 
 def inherited_participation(
-    df: DataFrame, state: str, participates: str, out: str, bound: DataFrame
+    df: DataFrame, state: str, participates: str, out: str, bound: DataFrame, bound_key: str | None = None
 ) -> DataFrame:
     """True for every row of a state in which any row participates.
 
-    ``bound`` is the territory dimension, which the per-state result cannot outgrow.
+    ``bound`` is the dimension whose column ``bound_key`` (``state``) lists the states.
     """
     flags = df.groupBy(state).agg(F.bool_or(F.coalesce(participates, F.lit(False))).alias(out))
-    return df.join(small_side(flags, bound), state, "left")
+    return df.join(within(flags, bound, state, bound_key), state, "left")
 
 
 def unmatched_report(df: DataFrame, id_column: str, names: Sequence[str]) -> DataFrame:

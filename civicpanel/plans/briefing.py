@@ -35,7 +35,7 @@ from civicpanel.operators.clean import exclude_status
 from civicpanel.operators.report import fmt_items
 from civicpanel.operators.reshape import order_report, union_all
 from civicpanel.operators.territory import ALL, COUNTRY_ID
-from civicpanel.sizing import small_side
+from civicpanel.sizing import small_side, within
 from civicpanel.sources.literals import literal_table
 
 UF, BR = "sigla_uf", "BR"
@@ -262,7 +262,7 @@ def basic_education_fund(s: Mapping[str, DataFrame]) -> DataFrame:
         .groupBy(F.col("uf").alias(UF))
         .agg(money("repasse").alias("fundeb_2026"))
     )
-    return base.join(small_side(current, s["municipio"]), UF)
+    return base.join(within(current, s["municipio"], UF), UF)
 
 
 def school_meals(s: Mapping[str, DataFrame], names: DataFrame) -> DataFrame:
@@ -277,7 +277,7 @@ def school_meals(s: Mapping[str, DataFrame], names: DataFrame) -> DataFrame:
         .groupBy(F.col("uf").alias(UF))
         .agg(money("pnae_03_val_repasse").alias("pnae_valor"))
     )
-    return supported.join(small_side(paid, s["municipio"]), UF, "left")
+    return supported.join(within(paid, s["municipio"], UF), UF, "left")
 
 
 def school_transport(s: Mapping[str, DataFrame], names: DataFrame) -> DataFrame:

@@ -29,9 +29,19 @@ def small_side(
 ) -> DataFrame:
     """Hint ``df`` for broadcast if its size bound is at most ``limit`` bytes.
 
-    ``bound`` names a frame that ``df`` cannot outgrow, for example the
-    territory dimension when ``df`` holds at most one row per territory: the
-    estimate of an aggregate over a large fact says nothing about its result.
+    ``bound`` names a frame that ``df`` cannot outgrow because it is made of it, for
+    example by grouping or by :func:`within`: the estimate of an aggregate over a large
+    fact says nothing about its result.
     """
     size = estimated_bytes(df if bound is None else bound)
     return F.broadcast(df) if size is not None and size <= limit else df
+
+
+def within(df: DataFrame, bound: DataFrame, key: str, bound_key: str | None = None) -> DataFrame:
+    """The rows of ``df``, grouped by ``key``, whose key ``bound`` has, hinted if ``bound`` is small.
+
+    With one row for each key and only keys of ``bound``, the result cannot have more rows
+    than ``bound``, whatever the facts under it hold.
+    """
+    keys = bound.select(F.col(bound_key or key).alias(key)).distinct()
+    return small_side(df.join(small_side(keys, bound), key, "left_semi"), bound)

@@ -163,3 +163,50 @@ def test_budget_base_labels(frame):
         ("crédito originário", "Pessoal", "Discricionária", "Próprios", None, 1.0),
         ("crédito recebido", "Investimento", "Outras", "Tesouro", 5.0, None),  # the owner's rows have it
     ]
+
+
+def test_a_broadcast_is_proved_by_its_bound(frame, spark):
+    """Keys that the bound does not have never reach a broadcast, however many there are."""
+    from civicpanel.sizing import within
+
+    bound = frame([(f"{i}",) for i in range(30)], "k string")
+    grouped = spark.range(100_000).selectExpr("CAST(id AS string) AS k").groupBy("k").count()
+    small = within(grouped, bound, "k")
+    assert small.count() == 30
+    joined = spark.range(50).selectExpr("CAST(id AS string) AS k").join(small, "k", "left")
+    assert joined.where("count IS NOT NULL").count() == 30 and "BroadcastHashJoin" in plan(joined)
+
+
+def test_no_query_keeps_facts_on_executors():
+    from pathlib import Path
+
+    import civicpanel
+
+    for file in Path(civicpanel.__file__).parent.rglob("*.py"):
+        text_of = file.read_text(encoding="utf-8")
+        assert ".persist(" not in text_of and ".cache(" not in text_of and "localCheckpoint" not in text_of, file
+
+
+def test_visit_table_at_three_levels(frame):
+    from civicpanel.plans import briefing
+
+    facts = frame([("5208707", True, 0.004), ("5208707", False, 1.0), ("5200050", True, None), ("4302303", True, 2.0), (None, True, 3.0)],
+                  "m string, c boolean, v double")
+    more = frame([("5208707", 1)] * 3, "m string, n int")
+    measures = {"conectadas": F.when(F.col("c"), 1), "valor": F.col("v")}
+    people = aggregate.person_bitmaps(frame([("5208707", 1), ("5200050", 1), ("5200050", 2)], "id_municipio string, p int"), "p", ["id_municipio"])
+    published = frame([("5208707", 1.5), ("52", 2.5), ("99", 3.5), (None, 9.0)], "id string, valor double")
+    table = briefing.visit_long([(facts, "m", measures), (more, "m", {"turmas": F.col("n")})], {"pessoas": people}, {"taxa": published}, {("99", "taxa"): 4})
+    found = {(r.id, r.metrica): (r.valor, r.nivel_territorial, r.oficial) for r in table.collect()}
+    assert found[("5208707", "conectadas")] == (1.0, "municipio", False) and found[("52", "conectadas")] == (2.0, "estado", False)
+    assert found[("99", "conectadas")] == (4.0, "pais", False) and found[("99", "valor")] == (6.0, "pais", False)
+    assert found[("52", "valor")] == (1.0, "estado", False) and ("5200050", "valor") not in found
+    assert found[("99", "turmas")][0] == 3 and found[("52", "pessoas")][0] == 2 and found[("99", "pessoas")][0] == 2
+    assert found[("52", "taxa")] == (2.5, "estado", False) and found[("99", "taxa")] == (4.0, "pais", True)
+
+
+def test_visit_table_reads_each_fact_once(spark):
+    from civicpanel.catalogue import QUERIES
+
+    text_of = plan(QUERIES["briefing_visit"](spark, "/root/testdata/sf0.001"))
+    assert text_of.count("orders.parquet") <= 1 and text_of.count("lineitem.parquet") <= 1
