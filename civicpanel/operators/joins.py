@@ -17,19 +17,16 @@ def full_join(
     """Full outer join with merged ``keys``; nothing is lost on either side.
 
     Spark cannot split a skewed key in a full outer join.  Unless the caller
-    knows the keys to be unique on both sides, the result is made of an inner
-    join and the rows of either side without a partner: a hot key can be split in
-    each of the three.
+    knows the keys to be unique on both sides, the result is made of a left join,
+    where adaptive execution splits a hot key of ``left``, and of the rows of
+    ``right`` without a partner.  ``left`` should be the larger side.
     """
     keys = list(keys)
     if unique_keys:
         return left.join(right, keys, "full")
-    matched = left.join(right, keys)
-    only_left = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    found = left.join(right, keys, "left")
     only_right = right.join(left.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(only_left, allowMissingColumns=True).unionByName(
-        only_right, allowMissingColumns=True
-    )
+    return found.unionByName(only_right, allowMissingColumns=True)
 
 
 def star_join(spine: DataFrame, blocks: Sequence[DataFrame], key: str, bound: DataFrame) -> DataFrame:
