@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civicpanel.lineage import checkpoint_folder
@@ -17,33 +17,46 @@ from civicpanel.lineage import checkpoint_folder
 #: Equal payloads of fewer bytes are not referred to; each is a response.
 LEAST_SHARED = 100
 DATE = "1970-01-01T00:00:00Z"
+#: Fixed value: what a revisit record says about its payload.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def page_headers(pages: DataFrame) -> DataFrame:
     """page_id, header (bytes, with the empty line) and digest of the record of every page.
 
+    Record ids are made of the page's id and digest, and a number where both repeat.
+
     Of the pages with an equal payload of at least 100 bytes the one with the smallest id is
     the response; the others revisit it.  Equal smallest ids are all responses; a null id is
     a response only if all ids of its payload are null.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     keyed = pages.select("page_id", "url", F.sha2(payload, 256).alias("digest"), F.length(payload).alias("size"))
+    # Whole rows that repeat; one id with one payload is rare beyond that.
+    keyed = keyed.withColumn("number", F.row_number().over(Window.partitionBy("page_id", "digest").orderBy("url")))
     first = keyed.where(F.col("size") >= LEAST_SHARED).groupBy("digest").agg(
         F.min("page_id").alias("first_id"), F.lit(True).alias("shared")
     )
     rows = keyed.join(first, "digest", "left")
     revisit = F.coalesce(F.col("shared"), F.lit(False)) & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("none")), F.lit(">"))
+    again = F.when(F.col("number") > 1, F.concat(F.lit(":"), F.col("number").cast("string"))).otherwise(F.lit(""))
+
+    def name(c: str, number: Column) -> Column:
+        page = F.coalesce(F.col(c).cast("string"), F.lit("none"))
+        return F.concat(F.lit("<urn:page:"), page, F.lit(":"), F.col("digest"), number, F.lit(">"))
+
     line = lambda key, value: F.concat(F.lit(f"{key}: "), value, F.lit("\r\n"))
     target = F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     header = F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        line("WARC-Record-ID", name("page_id")),
+        line("WARC-Record-ID", name("page_id", again)),
         line("WARC-Date", F.lit(DATE)),
         F.coalesce(line("WARC-Target-URI", target), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
-        F.when(revisit, line("WARC-Refers-To", name("first_id"))).otherwise(F.lit("")),
+        F.when(revisit, F.concat(line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", name("first_id", F.lit(""))))).otherwise(
+            F.lit("")
+        ),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         line("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.col("size")).cast("string")),
         F.lit("\r\n"),
@@ -71,7 +84,11 @@ def write_archive(headers: DataFrame, payloads: DataFrame, folder: str) -> None:
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """All records: the stored columns of the headers, payload, and ``record`` (header and payload together).
+    """All records: the stored columns of the headers, payload, ``record`` and ``warc``.
+
+    ``record`` is the header with the payload, that of a revisit too.  ``warc`` is the record as
+    it stands in a WARC file: the block, which a revisit leaves empty, as its header says,
+    and the closing empty lines.  The records of an archive put together are a file.
 
     A payload that is missing or does not have its digest stops the job.
     """
@@ -81,7 +98,11 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     good = F.coalesce(F.sha2("payload", 256) == F.col("digest"), F.lit(False))
     verified = F.when(good, F.col("payload")).otherwise(F.raise_error(F.lit("payload without its digest")).cast("binary"))
     whole = whole.withColumn("payload", verified)
-    return whole.withColumn("record", F.concat("header", "payload"))
+    empty = header_field(F.col("header"), "Content-Length") == "0"
+    block = F.when(empty, F.lit(b"")).otherwise(F.col("payload"))
+    return whole.withColumns(
+        {"record": F.concat("header", "payload"), "warc": F.concat("header", block, F.lit(b"\r\n\r\n"))}
+    )
 
 
 def header_field(header: Column, name: str) -> Column:

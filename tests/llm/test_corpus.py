@@ -138,6 +138,45 @@ def test_archive_round_trip(frame, spark, tmp_path):
     assert all(b"\r\nX: y" not in bytes(r.header) for r in records)
 
 
+def parsed(data):
+    """The (header fields, block) of every record of a WARC file; anything but the format's bytes is refused."""
+    records, at = [], 0
+    while at < len(data):
+        end = data.index(b"\r\n\r\n", at)
+        version, *lines = data[at:end].split(b"\r\n")
+        assert version == b"WARC/1.1"
+        fields = dict(line.split(b": ", 1) for line in lines)
+        assert len(fields) == len(lines) and {b"WARC-Type", b"WARC-Record-ID", b"WARC-Date", b"Content-Length"} <= set(fields)
+        size = int(fields[b"Content-Length"])
+        block, at = data[end + 4 : end + 4 + size], end + 4 + size + 4
+        assert len(block) == size and data[at - 4 : at] == b"\r\n\r\n"
+        records.append((fields, block))
+    return records
+
+
+def test_the_archive_is_a_warc_file(frame, spark, tmp_path):
+    big = "<p>\r\n\r\nWARC/1.1\r\n" + "ü" * 200
+    pages = [(5, "http://a/5", big), (2, None, big), (9, "http://a/\r\nX: y", big), (1, "u", "short"), (1, "u", "other"), (4, "u", None),
+             (7, "u", "once" * 50), (7, "u", "once" * 50), (None, "u", big), (None, "u", "short"), (None, "u", "short")]
+    df = frame(pages, "page_id bigint, url string, html string")
+    folder = str(tmp_path / "archive")
+    warc_archive.write_archive(warc_archive.page_headers(df), df.selectExpr("CAST(coalesce(html, '') AS binary) AS payload"), folder)
+    rows = warc_archive.read_archive(spark, folder).collect()
+    records = parsed(b"".join(bytes(r.warc) for r in rows))
+    assert len(records) == len(pages)
+    ids = {f[b"WARC-Record-ID"]: (f, b) for f, b in records}
+    assert len(ids) == len(pages)
+    for (fields, block), row in zip(records, rows, strict=True):
+        digest = fields[b"WARC-Payload-Digest"].removeprefix(b"sha256:").decode()
+        if fields[b"WARC-Type"] == b"revisit":
+            assert block == b"" and fields[b"WARC-Profile"] == warc_archive.PROFILE.encode()
+            other, payload = ids[fields[b"WARC-Refers-To"]]
+            assert other[b"WARC-Type"] == b"response" and hashlib.sha256(payload).hexdigest() == digest
+        else:
+            assert hashlib.sha256(block).hexdigest() == digest and block == bytes(row.payload)
+    assert sum(f[b"WARC-Type"] == b"revisit" for f, _ in records) == 3
+
+
 def test_a_changed_payload_stops_the_job(frame, spark, tmp_path):
     folder = str(tmp_path / "archive")
     frame([("00", b"h")], "digest string, header binary").write.parquet(f"{folder}/headers")
