@@ -248,17 +248,12 @@ def level_filter(t):
 )
 def big_number(t):
     facts = placed_orders(t).select(fine("o_totalprice").alias("valor"), "id_municipio", "nome", "sigla_uf", "nome_uf")
-    panel = terr.expand_levels(facts, "id_municipio", "nome", "sigla_uf", "nome_uf")
     chosen = {
-        "pais": {},
-        "estado": {"estado": "EUROPE"},
-        "municipio": {"estado": "EUROPE", "municipio": "NATION_8 - EU"},
+        "pais": (terr.ALL, terr.ALL),
+        "estado": ("EUROPE", terr.ALL),
+        "municipio": ("EUROPE", "NATION_8 - EU"),
     }
-    numbers = [
-        terr.big_number(panel, "valor", **where).withColumn("nivel", F.lit(name))
-        for name, where in chosen.items()
-    ]
-    return numbers[0].unionByName(numbers[1]).unionByName(numbers[2])
+    return terr.big_numbers(facts, "valor", chosen, "id_municipio", "nome", "sigla_uf", "nome_uf")
 
 
 COMPLETE_SQL = with_places(

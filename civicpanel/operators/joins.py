@@ -12,20 +12,26 @@ from civicpanel.sizing import small_side, within
 
 
 def full_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], unique_keys: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    unique_keys: bool = False,
+    left_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Full outer join with merged ``keys``; nothing is lost on either side.
 
     Spark cannot split a skewed key in a full outer join.  Unless the caller
     knows the keys to be unique on both sides, the result is made of a left join,
     where adaptive execution splits a hot key of ``left``, and of the rows of
-    ``right`` without a partner.  ``left`` should be the larger side.
+    ``right`` without a partner.  ``left`` should be the larger side; ``left_keys`` may
+    give its keys from a cheaper source.
     """
     keys = list(keys)
     if unique_keys:
         return left.join(right, keys, "full")
     found = left.join(right, keys, "left")
-    only_right = right.join(left.select(*keys).distinct(), keys, "left_anti")
+    known = (left if left_keys is None else left_keys).select(*keys).distinct()
+    only_right = right.join(known, keys, "left_anti")
     return found.unionByName(only_right, allowMissingColumns=True)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civicpanel.operators.aggregate import money
+from civicpanel.operators.joins import full_join
 from civicpanel.operators.reshape import union_all
 from civicpanel.operators.territory import COUNTRY_ID
 from civicpanel.operators.windows import with_total
@@ -75,7 +76,7 @@ def reconcile(
 
     ``expected`` has one row per metric.  A metric missing on either side fails.
     """
-    joined = metrics.join(small_side(expected), metric, "full")
+    joined = full_join(metrics, small_side(expected), [metric])
     gap = F.col(value) - F.col(published)
     relative = F.try_divide(F.abs(gap), F.abs(published))
     return joined.withColumns({"diferenca": gap, "diferenca_relativa": relative}).withColumn(

@@ -382,6 +382,41 @@ def big_number(
     )
 
 
+def big_numbers(
+    facts: DataFrame,
+    metric: str,
+    chosen: Mapping[str, tuple[str, str]],
+    code: str,
+    name: str,
+    uf: str,
+    state: str,
+    out: str | None = None,
+) -> DataFrame:
+    """The :func:`big_number` of several (state, municipality) choices, from one pass over the facts.
+
+    The facts are at municipality level; ``chosen`` maps a label (``nivel``) to a choice of
+    the dashboard's two filters.  Nothing is expanded: every choice is a condition.
+    """
+    place = label(F.col(name), F.col(uf))
+    parts = []
+    for level, (estado, municipio) in chosen.items():
+        if estado == ALL and municipio != ALL:
+            raise ValueError("a municipality needs its state")
+        wanted = F.lit(True)
+        if estado != ALL:
+            wanted = wanted & (F.col(state) == estado)
+        if municipio != ALL:
+            wanted = wanted & (place == municipio)
+        parts.append(
+            F.struct(
+                money(F.when(wanted, F.col(metric))).cast("double").alias(out or metric),
+                F.count_if(wanted).alias("linhas"),
+                F.lit(level).alias("nivel"),
+            )
+        )
+    return facts.where(F.col(code).isNotNull()).agg(F.array(*parts).alias("p")).select(F.inline("p"))
+
+
 # --- completing and labelling -----------------------------------------------------
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from civicpanel.functions.brazil import STATE_IDS
 from civicpanel.functions.text import decode, status_default
+from civicpanel.lineage import written
 from civicpanel.operators import territory as terr
 from civicpanel.operators.territory import COUNTRY_ID
 from civicpanel.sizing import small_side
@@ -53,6 +54,8 @@ def adhesion_panel(sources: Mapping[str, DataFrame], estimates: Mapping[str, str
     answers = submitted.join(vacancies, "codigo_acesso", "left").select(
         "codigo_acesso", "estimativa_vaga", "cod_estimativa", "submissao"
     )
+    # A row for each place and estimate; the spine and its completion read it several times.
+    answers = written(answers)
     spine = terr.adhesion_spine(sources["municipio"], answers, "codigo_acesso")
     state_and_country = F.array(F.left("cod_ibge", F.lit(2)), F.lit(COUNTRY_ID))
     ids = F.when(

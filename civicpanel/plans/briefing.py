@@ -32,7 +32,7 @@ from civicpanel.operators.aggregate import (
     money,
 )
 from civicpanel.operators.clean import exclude_status
-from civicpanel.operators.report import fmt_items
+from civicpanel.operators.report import apply_overrides, fmt_items
 from civicpanel.operators.reshape import order_report, union_all
 from civicpanel.operators.territory import ALL, COUNTRY_ID
 from civicpanel.sizing import small_side, within
@@ -708,17 +708,13 @@ def visit_long(
                 "id", level.alias("nivel_territorial"), F.lit(metric).alias("metrica"), F.col("valor").cast("double").alias("valor")
             )
         )
-    table = union_all(parts).withColumn("oficial", F.lit(False))
+    table = union_all(parts)
     if not overrides:
-        return table
-    official = literal_table(
-        table.sparkSession, [(i, m, float(v)) for (i, m), v in overrides.items()], "_id string, _metrica string, _oficial double"
-    )
-    same = (F.col("id") == F.col("_id")) & (F.col("metrica") == F.col("_metrica"))
-    joined = table.join(small_side(official), same, "left")
-    return joined.select(
-        "id", "nivel_territorial", "metrica", F.coalesce("_oficial", "valor").alias("valor"), F.col("_oficial").isNotNull().alias("oficial")
-    )
+        return table.withColumn("oficial", F.lit(False))
+    rows = [(i, m, float(v)) for (i, m), v in overrides.items()]
+    official = literal_table(table.sparkSession, rows, "id string, metrica string, _oficial double")
+    shown = apply_overrides(table, official, ["id", "metrica"], "valor", "_oficial")
+    return shown.withColumnRenamed("is_override", "oficial").select("id", "nivel_territorial", "metrica", "valor", "oficial")
 
 
 def works_annex(works: DataFrame, category: str) -> DataFrame:

@@ -185,7 +185,10 @@ def infrastructure_panel(sources: Mapping[str, DataFrame]) -> DataFrame:
         *SUMS.values(),
     )
     master = sources["municipio"].withColumnRenamed("nome", "nome_municipio")
-    return full_join(policy, master, ["id_municipio"])
+    places = sources["censo"].where(F.col("escolarizacao").cast("string") == "1").select(
+        F.col("id_municipio").cast("string").alias("id_municipio")
+    )
+    return full_join(policy, master, ["id_municipio"], left_keys=places)
 
 
 def census_policy(

@@ -210,3 +210,17 @@ def test_visit_table_reads_each_fact_once(spark):
 
     text_of = plan(QUERIES["briefing_visit"](spark, "/root/testdata/sf0.001"))
     assert text_of.count("orders.parquet") <= 1 and text_of.count("lineitem.parquet") <= 1
+
+
+def test_big_numbers_equal_those_of_the_expanded_panel(frame):
+    from civicpanel.operators import territory as terr
+
+    facts = frame([("5208707", "Goiânia", "GO", "Goiás", 0.004)] * 1000 + [("4302303", "Bom Jesus", "RS", "Rio Grande do Sul", 2.0), (None, None, None, None, 9.0)],
+                  "id string, nome string, uf string, estado_nome string, v double")
+    chosen = {"pais": (terr.ALL, terr.ALL), "estado": ("Goiás", terr.ALL), "municipio": ("Goiás", "Goiânia - GO")}
+    found = {r.nivel: (r.v, r.linhas) for r in terr.big_numbers(facts, "v", chosen, "id", "nome", "uf", "estado_nome").collect()}
+    panel = terr.expand_levels(facts.where("id IS NOT NULL"), "id", "nome", "uf", "estado_nome")
+    for name, (estado, municipio) in chosen.items():
+        assert found[name] == tuple(terr.big_number(panel, "v", estado, municipio).first())
+    with pytest.raises(ValueError, match="state"):
+        terr.big_numbers(facts, "v", {"x": (terr.ALL, "Goiânia - GO")}, "id", "nome", "uf", "estado_nome")
