@@ -165,26 +165,31 @@ def judged(docs: DataFrame) -> DataFrame:
     limits = written(thresholds(sketches(counted(docs.select("lang", "source", "text")).drop("text"))))
     rows = counted(docs)
     names = [c for c in limits.columns if c not in ("level", "lang", "source")]
+    mark = "_"  # begins no column of the documents
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
     for level, keys in ((2, ["lang", "source"]), (1, ["lang"]), (0, [])):
         at = limits.where(F.col("level") == level).select(
-            F.lit(True).alias("_found"), *(F.col(k).alias(f"_{k}") for k in keys), *(F.col(c).alias(f"_{c}_{level}") for c in names)
+            F.lit(True).alias(f"{mark}found"),
+            *(F.col(k).alias(mark + k) for k in keys),
+            *(F.col(c).alias(f"{mark}{c}_{level}") for c in names),
         )
-        same = F.col("_found")
+        same = F.col(f"{mark}found")
         for k in keys:
-            same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+            same = same & F.col(k).eqNullSafe(F.col(mark + k))
         if keys:
-            rows = rows.join(at, same, "left").drop("_found", *(f"_{k}" for k in keys))
+            rows = rows.join(at, same, "left").drop(f"{mark}found", *(mark + k for k in keys))
         else:  # one row at most: a scalar subquery for each limit
             for c in names:
-                rows = rows.withColumn(f"_{c}_0", at.agg(F.max(f"_{c}_0")).scalar())
+                rows = rows.withColumn(f"{mark}{c}_0", at.agg(F.max(f"{mark}{c}_0")).scalar())
     values = measures()
     reasons = []
     for c in names:
         side, measure = c.split("_", 1)
-        limit = F.coalesce(*(F.col(f"_{c}_{level}") for level in (2, 1, 0)))
+        limit = F.coalesce(*(F.col(f"{mark}{c}_{level}") for level in (2, 1, 0)))
         beyond = values[measure] > limit if side == "high" else values[measure] < limit
         reasons.append(F.when(beyond, F.lit(c)))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed).withColumn("reasons", F.array_compact(F.array(*reasons)))
     kept = ~F.col("base_failed") & (F.size("reasons") == 0)
-    return rows.withColumn("kept", kept).drop(*(f"_{c}_{level}" for c in names for level in (2, 1, 0)))
+    return rows.withColumn("kept", kept).drop(*(f"{mark}{c}_{level}" for c in names for level in (2, 1, 0)))

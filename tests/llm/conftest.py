@@ -4,7 +4,8 @@ import pytest
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Names that the operators use for columns of their own.
-CLASHING = ["node", "key", "item", "size", "words", "kept", "score", "start", "digest", "component_id", "chunk", "print", "n_words"]
+CLASHING = ["node", "key", "item", "size", "words", "kept", "score", "start", "digest", "component_id", "chunk", "print", "n_words",
+            "_id", "_key", "_found", "_lang", "_source", "removed_spans", "text_key", "own_id", "own_key", "hit_id", "kept_id"]
 
 
 def word(rng):

@@ -59,6 +59,27 @@ def test_stages_one_after_another(spark, frame, corpus, tmp_path):
     assert corpus_pipeline.run(spark, folder).count() == len(kept[4])
 
 
+def test_stages_keep_texts_of_one_id_apart_and_clashing_columns(spark, frame, corpus, tmp_path):
+    bench = corpus[1]
+    folder = str(tmp_path)
+    frame([(1, bench)], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    clean = [f"{corpus[0][k][1]}" for k in (40, 41)]
+    rows = [(None, clean[0]), (None, f"{bench} x"), (7, f"{bench} y"), (7, clean[1]), (8, None)]
+    docs = frame(rows, "doc_id bigint, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "1 AS n_chars", "2 AS _id", "3 AS hit_id", "4 AS own_key")
+    kept = corpus_pipeline.decontamination(spark, docs, folder)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.select("doc_id", "text").collect())) == sorted(map(str, docs.where(
+        "text IS NULL OR NOT text LIKE '" + bench + "%'").select("doc_id", "text").collect()))
+    cut = corpus_pipeline.substring_dedup(spark, docs, folder)
+    assert cut.columns == docs.columns and cut.count() == 5 and cut.where("text IS NULL").count() == 1
+
+
+def test_operators_of_this_round_have_queries():
+    names = driver.queries()
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(11, 14)] == [1] * 3
+    assert "op13_importance" in driver.oracle_sql()
+
+
 def test_every_operator_has_a_query():
     names = driver.queries()
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
