@@ -149,7 +149,9 @@ def link_lists(listed: DataFrame, marked: DataFrame, texts: DataFrame, width: in
     ``marked`` node, n_shingles, sketch and bits; ``texts`` node and text.  All are written.
     """
     links = scratch.written(listed.selectExpr("node AS a", "node AS b").limit(0))
-    found, tried, total = components(links), None, 0
+    found, tried, total = links.selectExpr("a AS node", "b AS root"), None, 0
+    if listed.isEmpty():
+        return written(found)
     for number in range(64):
         placed = listed.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
         # Of the largest component of a list, another member stands for the list in each round.
@@ -161,6 +163,8 @@ def link_lists(listed: DataFrame, marked: DataFrame, texts: DataFrame, width: in
         stars = stars.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
         stars = scratch.written(stars if tried is None else stars.join(tried, ["a", "b"], "left_anti"))
         tried = stars if tried is None else tried.union(stars)
+        if stars.isEmpty():
+            break
         new = _confirmed(stars, marked, texts, width, percent, scratch)
         more = new.count()
         if not more:
@@ -188,9 +192,12 @@ def link_lists(listed: DataFrame, marked: DataFrame, texts: DataFrame, width: in
         ),
     )
     pairs = scratch.written(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-    pairs = pairs.join(tried, ["a", "b"], "left_anti")
-    more = _confirmed(pairs, marked, texts, width, percent, scratch)
-    return components(links.union(more)) if more.count() else found
+    pairs = scratch.written(pairs.join(tried, ["a", "b"], "left_anti"))
+    if not pairs.isEmpty():
+        more = _confirmed(pairs, marked, texts, width, percent, scratch)
+        if not more.isEmpty():
+            return components(links.union(more))
+    return written(found)
 
 
 def link_classes(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:

@@ -59,18 +59,19 @@ def anchors(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found, grams[found]
 
 
-def _anchored(batches: Iterator[pa.RecordBatch], part: int, around: bool) -> Iterator[pa.RecordBatch]:
-    """The anchors of one part of the keys; ``around`` adds hashes of the words around each."""
+def _anchored(batches: Iterator[pa.RecordBatch], part: int | None) -> Iterator[pa.RecordBatch]:
+    """The anchors of one part of the keys with hashes of the words around them; of no part, all keys alone."""
     for batch in batches:
         for a, b in text_slices(batch["text"]):
             own = batch.slice(a, b - a)
             words = find_words(own["text"])
             hashes = words.hashes(lower=True)
             at, keys = anchors(words, hashes)
-            keep = (keys >> np.uint64(32)) % np.uint64(PASSES) == part
-            at, keys = at[keep], keys[keep]
+            if part is not None:
+                keep = (keys >> np.uint64(32)) % np.uint64(PASSES) == part
+                at, keys = at[keep], keys[keep]
             text = np.searchsorted(words.first, at, side="right") - 1
-            if not around:
+            if part is None:
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), own["doc_id"].take(pa.array(text))], ["key", "doc_id"])
                 continue
             low, high = words.first[text], words.first[text + 1]
@@ -141,20 +142,19 @@ def _first():
 
 def _passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Passages of equal blocks at their full length."""
-    found = [_part_passages(docs, part, scratch) for part in range(PASSES)]
+    known = docs.select("doc_id", "text").mapInArrow(partial(_anchored, part=None), "key bigint, doc_id bigint")
+    known = scratch.written(_several(known, "key"))
+    found = [_part_passages(docs, known, part, scratch) for part in range(PASSES)]
     return _in_step(reduce(DataFrame.union, found).drop("removed"))
 
 
-def _part_passages(docs: DataFrame, part: int, scratch: Scratch) -> DataFrame:
-    """The passages that the anchors of one part of the keys find, written."""
-    known = docs.select("doc_id", "text").mapInArrow(partial(_anchored, part=part, around=False), "key bigint, doc_id bigint")
-    known = scratch.written(_several(known, "key"))
+def _part_passages(docs: DataFrame, known: DataFrame, part: int, scratch: Scratch) -> DataFrame:
+    """The passages that the anchors of one part of the ``known`` keys find, written."""
     rows = docs.mapInArrow(
-        partial(_anchored, part=part, around=True),
+        partial(_anchored, part=part),
         "key bigint, doc_id bigint, text_key bigint, at int, start int, n_words int, around bigint, before bigint, behind bigint",
     )
     rows = scratch.written(rows.join(known, "key", "left_semi"))
-    scratch.drop(known)
     firsts = rows.groupBy("key").agg(_first(), F.min("around").alias("low"), F.max("around").alias("high"))
     firsts = scratch.written(firsts)
     settled = _placed(rows, firsts.where("low = high").select("key", "first"), ["key"])
@@ -229,7 +229,8 @@ def _spans(words: Words, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarra
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The real paragraphs of every text with their band keys; ``node`` tells different ones apart."""
-    salts = [mix(np.array([k + 1], np.uint64)) for k in range(ROWS * BANDS)]
+    # The hashes of shingles are random, so an odd factor gives each minimum an order of its own.
+    factors = [mix(np.array([k + 1], np.uint64)) | np.uint64(1) for k in range(ROWS * BANDS)]
     for batch in batches:
         for a, b in text_slices(batch["text"]):
             own = batch.slice(a, b - a)
@@ -245,8 +246,8 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = []
             for band in range(BANDS):
                 key = np.full(len(n), mix(np.array([band], np.uint64))[0])
-                for salt in salts[band * ROWS : (band + 1) * ROWS]:
-                    key = mix(key ^ np.minimum.reduceat(mix(grams ^ salt), cut[:-1]))
+                for factor in factors[band * ROWS : (band + 1) * ROWS]:
+                    key = mix(key ^ np.minimum.reduceat(grams * factor, cut[:-1]))
                 keys.append(key)
             flat = pa.array(np.stack(keys, 1).ravel().view(np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -263,19 +264,22 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Text, sketch and parities of the paragraphs ``spans`` (node, start, n_words) of each text."""
     for batch in batches:
-        for i in range(batch.num_rows):
-            words = find_words(batch["text"].slice(i, 1))
+        for a, b in text_slices(batch["text"]):
+            own = batch.slice(a, b - a)
+            words = find_words(own["text"])
             hashes = words.hashes(lower=True)
-            spans = batch["spans"][i].as_py()
-            begin = np.array([s["start"] for s in spans])
-            end = begin + [s["n_words"] for s in spans]
+            spans, counts = own["spans"].flatten(), np.asarray(own["spans"].value_lengths(), np.int64)
+            node, start, n = (spans.field(k) for k in range(3))
+            begin = np.asarray(start, np.int64) + np.repeat(words.first[:-1], counts)
+            end = begin + np.asarray(n, np.int64)
             grams, cut = _spans(words, hashes, begin, end)
             sets = [np.unique(grams[x:y]) for x, y in zip(cut[:-1], cut[1:], strict=True)]
             data = words.data.tobytes()
+            texts = [data[x:y].decode() for x, y in zip(words.starts[begin], words.ends[end - 1], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([s["node"] for s in spans], pa.int64()),
-                    pa.array([data[words.starts[x] : words.ends[y - 1]].decode() for x, y in zip(begin, end, strict=True)], pa.string()),
+                    node,
+                    pa.array(texts, pa.string()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s[:SKETCH].view(np.int64) for s in sets], pa.list_(pa.int64())),
                     pa.array([parities(s) for s in sets], pa.list_(pa.int64())),
