@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from civicpanel.catalogue import QUERIES
 from civicpanel.operators.territory import build_territory
 from civicpanel.plans import adhesion, budget, programme, schools, teachers, transfers, works
 from tests.conftest import rows
@@ -158,6 +159,25 @@ def test_census_keeps_places_without_schools(frame, municipio, territory):
     assert panel.select("id").distinct().count() == 7
 
 
+def test_scholarship_people_are_joined_before_payments_are_repeated(spark, frame, tmp_path):
+    tables = {
+        "orders": frame([(1, d) for d in ("1995-01-01", "1996-01-01")] + [(51, "1997-01-01"), (3, None), (None, "1998-01-01")], "o_custkey bigint, o_orderdate string"),
+        "supplier": frame([(1, "a"), (41, "b"), (51, "c"), (91, "d"), (None, "e")], "s_suppkey bigint, s_name string"),
+        "customer": frame([(51, "x", "w", 9000.0), (51, "y", "v", 9000.0), (1, "z", "u", 10.0)], "c_custkey bigint, c_name string, c_mktsegment string, c_acctbal double"),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    panel = QUERIES["panel_scholarship"](spark, str(tmp_path))
+    assert rows(panel, "id_pessoa", "id_entidade_emec", "ano_pagamento", "nm_uf", "curso", "ies") == rows(frame(
+        [(1, "1", 1995, None, None, None), (1, "1", 1996, None, None, None), (3, "3", None, None, None, None), (None, None, 1998, None, None, None)]
+        + [(51, "11", 1997, uf, curso, ies) for uf in "ac" for curso, ies in ("wx", "vy")]
+        + [(None, "51", None, "b", None, None), (None, "51", None, "d", None, None), (None, None, None, "e", None, None)],
+        "p bigint, e string, a int, uf string, c string, i string",
+    ))
+    plan = panel._jdf.queryExecution().optimizedPlan().toString()
+    assert -1 < plan.index("Union") < plan.index("(id_pessoa#")
+
+
 def test_infrastructure_full_join(frame, municipio):
     names = frame([], "id_escola string, nome string")
     sources = {"censo": census_frame(frame), "escola": names, "municipio": municipio}
