@@ -75,27 +75,20 @@ def fmt_mil(c: Column) -> Column:
 def fmt_general(c: Column) -> Column:
     """Six significant digits without trailing zeros, decimal comma; ties to even.
 
-    Values outside ``1e-4 .. 1e6`` are written with an exponent.
+    Values outside ``1e-4 .. 1e6`` are written with an exponent; only for them the formatter is
+    called.  The expression is short, because the JVM does not compile long methods.
     """
     value = c.cast("double")
+    size = F.abs(value)
+    plain = F.when((size >= 9.999995e-5) & (size < 9.999995e5), value)  # once rounded to six digits
+    # Just below a power of ten, six digits and five give the same number.
+    unit = F.element_at(F.array(*[F.lit(10 ** (5 - power)).cast("decimal(11,0)") for power in range(-5, 6)]), (F.floor(F.log10(F.abs(plain))) + 6).cast("int"))
+    six = F.bround(plain.try_cast("decimal(24,18)") * unit, 0).cast("decimal(7,0)")
+    fixed = F.rtrim(F.rtrim((six / unit).cast("string"), F.lit("0")), F.lit("."))
     scientific = F.format_string("%.5e", value)
-    mantissa = F.substring_index(scientific, "e", 1)
-    exponent = F.substring_index(scientific, "e", -1)
-    power = exponent.try_cast("int")
-    exact = value.try_cast("decimal(38,18)")
-    trailing = r"\.?0+\z"
-    fixed = F.coalesce(
-        *[
-            F.when(power == digit, F.bround(exact, 5 - digit).cast("decimal(38,10)"))
-            for digit in range(-4, 6)
-        ]
-    )
-    with_exponent = F.concat(F.regexp_replace(mantissa, trailing, ""), F.lit("e"), exponent)
-    text = (
-        F.when(value == 0, F.lit("0"))
-        .when(power.between(-4, 5), F.regexp_replace(fixed.cast("string"), trailing, ""))
-        .otherwise(with_exponent)
-    )
+    mantissa = F.regexp_replace(F.substring_index(scientific, "e", 1), r"\.?0+\z", "")
+    with_exponent = F.concat(mantissa, F.lit("e"), F.substring_index(scientific, "e", -1))
+    text = F.when(value == 0, F.lit("0")).otherwise(F.coalesce(fixed, with_exponent))
     return F.when(value.isNotNull(), F.translate(text, ".", ","))
 
 

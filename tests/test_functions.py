@@ -95,6 +95,15 @@ def test_general_format(spark):
     ]
 
 
+def test_general_format_at_powers_of_ten_calls_the_formatter_for_exponents_only(spark, frame):
+    values = [999999.4, 999999.5, 99999.95, 9.999995, 9.9999949, -0.0001, 9.999994e-5, 9.999995e-5, 1.0000025, 1.0000035, -123456.5]
+    assert column(spark, values, formatting.fmt_general, "double") == [
+        "999999", "1e+06", "100000", "10", "9,99999", "-0,0001", "9,99999e-05", "0,0001", "1", "1", "-123456",
+    ]
+    plan = frame([(1.5,)], "v double").select(formatting.fmt_general(F.col("v")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("format_string") == 2
+
+
 def test_ratio(spark):
     df = spark.createDataFrame([(1, 8), (1, 3), (0, 0), (7075845, 12638396)], "a bigint, b bigint")
     got = [str(r[0]) for r in df.select(formatting.ratio(F.col("a"), F.col("b"), 2)).collect()]
