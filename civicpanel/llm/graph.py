@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicpanel.lineage import Scratch, written
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, keep: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
     """(node, root) for every node of ``edges`` (columns ``a``, ``b``); the root is the smallest.
 
     Alternates large-star and small-star steps until the edges stay the same, which takes a
     number of rounds that grows with the logarithm of the longest path.  Minima are combined
     before each shuffle and joins are plain equi-joins, so a node with very many neighbours is
     split by adaptive execution.  Every round is written to the checkpoint folder, and the one
-    before is deleted.  Null ends and loops are ignored; no edges give no rows.
+    before is deleted.  Null ends and loops are ignored; no edges give no rows.  ``keep`` writes
+    the result, for example to a scratch of the caller's.
     """
     with Scratch(edges.sparkSession) as scratch:
         now = scratch.written(
@@ -37,4 +40,4 @@ def components(edges: DataFrame) -> DataFrame:
             before, now = now, scratch.written(small.union(lowest).distinct())
             scratch.drop(before)
         pairs = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        return written(pairs.union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()))
+        return keep(pairs.union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()))

@@ -100,7 +100,7 @@ def _listed(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(value, node) of the lists in which every two texts that are to be linked meet."""
     least = _least_shared(f"ceil({percent / 100} * n_shingles)")
     listed = classes.select("node", "n_shingles", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
-    retained = f"least({LISTED}, n_shingles)"
+    retained, before = f"least({LISTED}, n_shingles)", []
     for _ in range(2):  # classes that leave make hashes of others their own
         sizes = listed.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
         shared = listed.join(sizes, "value")
@@ -109,6 +109,8 @@ def _listed(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
         # Hashes without a second class are the rarest; the order is the same for all classes.
         place = F.expr(f"{retained} - n_shared") + F.row_number().over(own.orderBy("members", "value"))
         shared = scratch.written(shared.withColumn("place", place).select("value", "node", "n_shingles", "place"))
+        scratch.drop(*before)
+        before = [shared]
         listed = shared.select("value", "node", "n_shingles")
     return shared.where(f"place <= {retained} - {least} + 1").select("value", "node")
 
@@ -134,16 +136,18 @@ def _confirmed(pairs: DataFrame, marked: DataFrame, texts: DataFrame, width: int
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, SKETCH)
     both = F.size(F.array_intersect(F.array_intersect("s_a", "s_b"), union))
     pairs = pairs.where(_possible(percent)).where(both >= (percent / 100 - MARGIN) * F.size(union))
-    pairs = scratch.written(pairs.select("a", "b"))
+    likely = pairs = scratch.written(pairs.select("a", "b"))
     for s in "ab":
         pairs = pairs.join(texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}")), s)
     kind = dict(marked.dtypes)["node"]
     checked = pairs.mapInArrow(partial(_verified, width=width), f"a {kind}, b {kind}, shared bigint, together bigint")
-    return scratch.written(checked.where(100 * F.col("shared") >= percent * F.col("together")).select("a", "b"))
+    links = scratch.written(checked.where(100 * F.col("shared") >= percent * F.col("together")).select("a", "b"))
+    scratch.drop(likely)
+    return links
 
 
 def link_lists(listed: DataFrame, marked: DataFrame, texts: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
-    """(node, root) of the nodes that have links.
+    """(node, root) of the nodes that have links, a table of ``scratch``.
 
     ``listed`` has the members of each list (value, node), at most a few lists for a node;
     ``marked`` node, n_shingles, sketch and bits; ``texts`` node and text.  All are written.
@@ -151,7 +155,7 @@ def link_lists(listed: DataFrame, marked: DataFrame, texts: DataFrame, width: in
     links = scratch.written(listed.selectExpr("node AS a", "node AS b").limit(0))
     found, tried, total = links.selectExpr("a AS node", "b AS root"), None, 0
     if listed.isEmpty():
-        return written(found)
+        return found
     for number in range(64):
         placed = listed.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
         # Of the largest component of a list, another member stands for the list in each round.
@@ -171,7 +175,8 @@ def link_lists(listed: DataFrame, marked: DataFrame, texts: DataFrame, width: in
             break
         total += more
         links = links.union(new)
-        found = components(links)
+        before, found = found, components(links, scratch.written)
+        scratch.drop(before)
         if more <= WORTH * total:
             break
 
@@ -191,27 +196,30 @@ def link_lists(listed: DataFrame, marked: DataFrame, texts: DataFrame, width: in
             " AND value_a = array_min(array_intersect(keys_a, keys_b))"
         ),
     )
-    pairs = scratch.written(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-    pairs = scratch.written(pairs.join(tried, ["a", "b"], "left_anti"))
+    met = scratch.written(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+    scratch.drop(rest)
+    pairs = scratch.written(met.join(tried, ["a", "b"], "left_anti"))
+    scratch.drop(met)
     if not pairs.isEmpty():
         more = _confirmed(pairs, marked, texts, width, percent, scratch)
         if not more.isEmpty():
-            return components(links.union(more))
-    return written(found)
+            return components(links.union(more), scratch.written)
+    return found
 
 
 def link_classes(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, root) of the classes that have links; ``classes`` must be a written table."""
     with Scratch(classes.sparkSession) as scratch:
-        listed = scratch.written(_listed(classes, percent, scratch))
-        meeting = listed.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
-        listed = scratch.written(listed.join(meeting.select("value"), "value", "left_semi"))
+        chosen = scratch.written(_listed(classes, percent, scratch))
+        meeting = chosen.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
+        listed = scratch.written(chosen.join(meeting.select("value"), "value", "left_semi"))
+        scratch.drop(chosen)
         marked = classes.join(listed.select("node").distinct(), "node", "left_semi")
         marked = scratch.written(marked.select("node", "doc_id", "text_key", "n_shingles", "sketch", "bits"))
         where = marked.select("node", F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"))
         texts = docs.join(where, F.expr("text_key = own_key AND doc_id <=> own_id"))
         texts = scratch.written(texts.select("node", "text").dropDuplicates(["node"]))
-        return link_lists(listed, marked, texts, width, percent, scratch)
+        return written(link_lists(listed, marked, texts, width, percent, scratch))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -20,7 +20,7 @@ not the first.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial, reduce
 
 import numpy as np
@@ -301,11 +301,15 @@ def _near_paragraphs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     one = one.groupBy(F.col("p.doc_id").alias("own_id"), F.col("p.text_key").alias("own_key")).agg(
         F.collect_list(F.struct("node", "p.start", "p.n_words")).alias("spans")
     )
-    texts = docs.join(scratch.written(one), F.expr("text_key = own_key AND doc_id = own_id"))
+    one = scratch.written(one)
+    texts = docs.join(one, F.expr("text_key = own_key AND doc_id = own_id"))
     kind = "node bigint, text string, n_shingles bigint, sketch array<bigint>, bits array<bigint>"
     marked = scratch.written(texts.select("text", "spans").mapInArrow(_signed, kind).dropDuplicates(["node"]))
+    scratch.drop(one)
     found = link_lists(listed, marked, marked.select("node", "text"), WIDTH, PERCENT, scratch)
-    rows = scratch.written(rows.drop("keys").join(found, "node"))
+    scratch.drop(listed, marked)
+    every, rows = rows, scratch.written(rows.drop("keys").join(found, "node"))
+    scratch.drop(every, found)
     firsts = rows.groupBy("root").agg(_first(), F.max("doc_id").alias("high_id")).where("first.doc_id <> high_id")
     return _told(_placed(rows, firsts.drop("high_id"), ["root"]))
 
@@ -319,11 +323,15 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     left alone.  Null and empty texts and documents with a null id have no rows; repeated rows
     count as one document; an empty table gives no rows; further columns are ignored.
     """
+    return _repeated(docs, written)
+
+
+def _repeated(docs: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     with Scratch(docs.sparkSession) as scratch:
-        passages = written(_passages(docs, scratch).select(*_FOUND))
+        passages = keep(_passages(docs, scratch).select(*_FOUND))
     with Scratch(docs.sparkSession) as scratch:
-        near = written(_near_paragraphs(docs, scratch).select(*_FOUND))
+        near = keep(_near_paragraphs(docs, scratch).select(*_FOUND))
     return passages.union(near).distinct()
 
 
@@ -349,9 +357,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Rows with one id and different texts lose what repeats in each of them; null texts stay.
     """
     own_id, own_key, spans = free_names(docs, "own_id", "own_key", "removed_spans")
-    gone = repeated_paragraphs(docs).where("removed").groupBy(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key)).agg(
-        F.collect_list(F.struct("start", "n_words")).alias(spans)
-    )
-    rows = docs.join(written(gone), (F.col("doc_id") == F.col(own_id)) & (F.xxhash64("text") == F.col(own_key)), "left")
+    with Scratch(docs.sparkSession) as scratch:
+        gone = _repeated(docs, scratch.written).where("removed").groupBy(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key))
+        gone = written(gone.agg(F.collect_list(F.struct("start", "n_words")).alias(spans)))
+    rows = docs.join(gone, (F.col("doc_id") == F.col(own_id)) & (F.xxhash64("text") == F.col(own_key)), "left")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return rows.drop(own_id, own_key).mapInArrow(partial(_without, text="text", spans=spans), fields)
