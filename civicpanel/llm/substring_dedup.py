@@ -21,7 +21,8 @@ not the first.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import partial, reduce
+from functools import partial
+from tempfile import TemporaryFile
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,10 @@ WIDTH = 5
 LEAST_WORDS = 15
 PERCENT = 80
 ROWS, BANDS = 3, 8
-#: Keys are handled in so many parts, by their hash; only one part is exchanged at a time.
+#: Keys are in so many parts, by their hash; blocks around anchors of one part are compared.
 PASSES = 2
+#: Bytes of text handled at once, and for each task that compares hashes.
+SLICE_BYTES, PART_BYTES = 1 << 20, 16 << 20
 #: How many words to either side a block with an anchor can reach, and one more.
 BEFORE, BEHIND = LEAST_WORDS - WIDTH + 1, LEAST_WORDS + 1
 SIDE = (LEAST_WORDS - WIDTH) // 2
@@ -59,69 +62,202 @@ def anchors(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found, grams[found]
 
 
-def _anchored(batches: Iterator[pa.RecordBatch], part: int | None) -> Iterator[pa.RecordBatch]:
-    """The anchors of one part of the keys with hashes of the words around them; of no part, all keys alone."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, Words, np.ndarray]]:
+    """Neighbouring texts under a number of their own, with their words and the hashes of these."""
     for batch in batches:
-        for a, b in text_slices(batch["text"]):
+        for a, b in text_slices(batch["text"], SLICE_BYTES):
             own = batch.slice(a, b - a)
             words = find_words(own["text"])
-            hashes = words.hashes(lower=True)
-            at, keys = anchors(words, hashes)
-            if part is not None:
-                keep = (keys >> np.uint64(32)) % np.uint64(PASSES) == part
-                at, keys = at[keep], keys[keep]
-            text = np.searchsorted(words.first, at, side="right") - 1
-            if part is None:
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), own["doc_id"].take(pa.array(text))], ["key", "doc_id"])
-                continue
-            low, high = words.first[text], words.first[text + 1]
-            begin, end = np.maximum(low, at - BEFORE), np.minimum(high, at + BEHIND)
-            reach = ((at - begin) << 8 | (end - at)).astype(np.uint64)
-            whole = mix(word_spans(hashes, begin, end, 1) ^ mix(reach + np.uint64(1)))
-            left = np.where(at - SIDE >= low, word_spans(hashes, np.maximum(at - SIDE, 0), at + WIDTH, 2), 0)
-            stop = np.minimum(at + WIDTH + SIDE, len(hashes))
-            right = np.where(at + WIDTH + SIDE <= high, word_spans(hashes, at, stop, 3), 0)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys.view(np.int64)),
-                    *(own[c].take(pa.array(text)) for c in ("doc_id", "text_key")),
-                    *(pa.array(v.astype(np.int32)) for v in (at - low, begin - low, end - begin)),
-                    *(pa.array(v.view(np.int64)) for v in (whole, left, right)),
-                ],
-                ["key", "doc_id", "text_key", "at", "start", "n_words", "around", "before", "behind"],
-            )
+            # Made of the first row, so that a task that runs again gives the same number.
+            first = np.array([own[c][0].as_py() for c in ("doc_id", "text_key")], np.int64).view(np.uint64)
+            yield int(mix(first[:1] ^ mix(first[1:])).view(np.int64)[0]), own, words, words.hashes(lower=True)
+
+
+def _dealt(number: int, columns: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    """The entries of one slice, packed column by column, dealt out by the hashes in the first column."""
+    entries = np.stack([np.asarray(c).astype(np.int64) for c in columns])
+    part = (entries[0].view(np.uint64) >> np.uint64(32)) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    used, cut = np.unique(part[order], return_index=True)
+    data = [entries[:, rows].tobytes() for rows in np.split(order, cut[1:])] if len(used) else []
+    return pa.RecordBatch.from_arrays(
+        [pa.array(used.astype(np.int32)), pa.array(np.full(len(used), number)), pa.array(data, pa.binary())], ["part", "slice", "data"]
+    )
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All blocks around the places ``ats`` of each text, by two hashes of their words."""
+_DEALT = "part int, slice bigint, data binary"
+
+
+def _stacked(rows: pa.Table | pa.RecordBatch, width: int) -> np.ndarray:
+    """All entries of ``width`` numbers that the rows hold."""
+    packed = [np.frombuffer(d, np.int64).reshape(width, -1) for d in rows["data"].to_pylist()]
+    return np.concatenate([np.zeros((width, 0), np.int64), *packed], 1)
+
+
+def _ids(own: pa.RecordBatch, text: np.ndarray) -> list[np.ndarray]:
+    return [np.asarray(own[c], np.int64)[text] for c in ("doc_id", "text_key")]
+
+
+def _anchored(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """The anchors with hashes of the words around them."""
+    for number, own, words, hashes in _slices(batches):
+        at, keys = anchors(words, hashes)
+        text = np.searchsorted(words.first, at, side="right") - 1
+        low, high = words.first[text], words.first[text + 1]
+        begin, end = np.maximum(low, at - BEFORE), np.minimum(high, at + BEHIND)
+        reach = ((at - begin) << 8 | (end - at)).astype(np.uint64)
+        whole = mix(word_spans(hashes, begin, end, 1) ^ mix(reach + np.uint64(1)))
+        left = np.where(at - SIDE >= low, word_spans(hashes, np.maximum(at - SIDE, 0), at + WIDTH, 2), 0)
+        stop = np.minimum(at + WIDTH + SIDE, len(hashes))
+        right = np.where(at + WIDTH + SIDE <= high, word_spans(hashes, at, stop, 3), 0)
+        doc, key = _ids(own, text)
+        yield _dealt(number, [keys, whole, doc, begin - low, key, (at - begin) << 8 | (end - begin), left, right], parts)
+
+
+def _sided(rows: pa.Table, parts: int) -> pa.Table:
+    """The hashes of the words to either side of the anchors of a slice."""
+    doc, key, at, *sides = _stacked(rows, 5)
+    side, doc, key, at = np.concatenate(sides), *(np.tile(v, 2) for v in (doc, key, at))
+    there = side != 0
+    zero = np.zeros(there.sum(), np.int64)
+    return pa.Table.from_batches([_dealt(rows["slice"][0].as_py(), [side[there], zero, doc[there], at[there], key[there]], parts)])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """All blocks around the places ``ats`` of each text, for each part of the keys, by two hashes of their words."""
+    for number, own, words, hashes in _slices(batches):
+        counts = np.asarray(own["ats"].value_lengths(), np.int64)
+        text = np.repeat(np.arange(len(counts)), counts)
+        at, part = np.divmod(np.asarray(own["ats"].flatten(), np.int64), PASSES)
+        reach = np.arange(LEAST_WORDS - WIDTH + 1)
+        starts = ((at + words.first[text])[:, None] - reach).ravel()
+        text, part = np.repeat(text, len(reach)), np.repeat(part, len(reach))
+        fits = (starts >= words.first[text]) & (starts + LEAST_WORDS <= words.first[text + 1])
+        starts, first = np.unique(starts[fits] * PASSES + part[fits], return_index=True)
+        text = text[fits][first]
+        starts, part = np.divmod(starts, PASSES)
+        key, check = (word_spans(hashes, starts, starts + LEAST_WORDS, s) for s in (4, 5))
+        check ^= part.astype(np.uint64)  # keeps the parts apart
+        doc, text_key = _ids(own, text)
+        yield _dealt(number, [key, check, doc, starts - words.first[text], text_key], parts)
+
+
+def _least(groups: np.ndarray) -> np.ndarray:
+    """One column for each value and check: first place, greatest document, and the range of the marks."""
+    order = np.lexsort(groups[4::-1])
+    value, check = groups[0][order], groups[1][order]
+    begins = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (check[1:] != check[:-1])])[: len(order)])
+    least = groups[:, order[begins]]
+    if len(begins):
+        for row, best in ((5, np.maximum), (6, np.minimum), (7, np.maximum)):
+            least[row] = best.reduceat(groups[row][order], begins)
+    return least
+
+
+def _shared(batches: Iterator[pa.RecordBatch], width: int, pairs: bool, answer: Callable) -> Iterator[pa.RecordBatch]:
+    """What ``answer`` makes of the entries whose value (with ``pairs``: and check) two documents have.
+
+    Entries have ``width`` numbers: value, check, doc_id, start, text_key, and more.  They are
+    kept in a file until all groups are known, so that only one place for each group is held.
+    """
+    groups, numbers = np.zeros((8, 0), np.int64), []
+    with TemporaryFile() as held:
+        for batch in batches:
+            for number, data in zip(batch["slice"].to_pylist(), batch["data"].to_pylist(), strict=True):
+                numbers.append((number, held.write(data)))
+            value, check, doc, start, key = _stacked(batch, width)[:5]
+            own = check if pairs else np.zeros_like(check)
+            groups = _least(np.concatenate([groups, np.stack([value, own, doc, start, key, doc, check, check])], 1))
+        groups = groups[:, groups[5] != groups[2]]
+        held.seek(0)
+        ready: list[tuple[int, bool, bytes]] = []
+        waiting = 0
+        for last, (number, size) in enumerate(numbers, 1 - len(numbers)):
+            entries = np.frombuffer(held.read(size), np.int64).reshape(width, -1)
+            at = np.searchsorted(groups[0], entries[0])
+            own = entries[1] if pairs else np.zeros_like(entries[1])
+            while True:  # values that are equal by chance
+                here = np.flatnonzero(at < groups.shape[1])
+                here = here[groups[0][at[here]] == entries[0][here]]
+                other = here[groups[1][at[here]] != own[here]]
+                if not len(other):
+                    break
+                at[other] += 1
+            ready += [(number, kind, found.tobytes()) for kind, found in answer(entries[:, here], groups[:, at[here]]) if found.shape[1]]
+            waiting += 8 * width * len(here)
+            if ready and (not last or waiting >= SLICE_BYTES):
+                names = [("slice", pa.int64()), ("settled", pa.bool_()), ("data", pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k[1]) for c, k in zip(zip(*ready), names, strict=True)], [k[0] for k in names])
+                ready, waiting = [], 0
+
+
+def _anchor_answer(entries: np.ndarray, groups: np.ndarray) -> list[tuple[bool, np.ndarray]]:
+    """Settled anchors as pieces beside their first places; of others the places, with the part of the key, and sides."""
+    settled = groups[6] == groups[7]
+    _, _, doc, start, key, reach, before, behind = entries
+    pieces = np.stack([doc, key, start, reach & 255, *groups[2:5]])
+    part = (entries[0].view(np.uint64) >> np.uint64(32)) % np.uint64(PASSES)
+    rest = np.stack([doc, key, (start + (reach >> 8)) * PASSES + part.astype(np.int64), before, behind])
+    return [(True, pieces[:, settled]), (False, rest[:, ~settled])]
+
+
+def _side_answer(entries: np.ndarray, groups: np.ndarray) -> list[tuple[bool, np.ndarray]]:
+    return [(False, entries[[2, 4, 3]])]
+
+
+def _block_answer(entries: np.ndarray, groups: np.ndarray) -> list[tuple[bool, np.ndarray]]:
+    n_words = np.full(entries.shape[1], LEAST_WORDS)
+    return [(True, np.stack([entries[2], entries[4], entries[3], n_words, *groups[2:5]]))]
+
+
+def _paired(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Band keys of paragraphs, with the paragraphs in the place of documents."""
     for batch in batches:
-        for a, b in text_slices(batch["text"]):
-            own = batch.slice(a, b - a)
-            words = find_words(own["text"])
-            hashes = words.hashes(lower=True)
-            counts = np.asarray(own["ats"].value_lengths(), np.int64)
-            text = np.repeat(np.arange(len(counts)), counts)
-            at = np.asarray(own["ats"].flatten(), np.int64) + words.first[text]
-            reach = np.arange(LEAST_WORDS - WIDTH + 1)
-            starts = (at[:, None] - reach).ravel()
-            text = np.repeat(text, len(reach))
-            fits = (starts >= words.first[text]) & (starts + LEAST_WORDS <= words.first[text + 1])
-            starts, first = np.unique(starts[fits], return_index=True)
-            text = text[fits][first]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(pa.array(word_spans(hashes, starts, starts + LEAST_WORDS, s).view(np.int64)) for s in (4, 5)),
-                    *(own[c].take(pa.array(text)) for c in ("doc_id", "text_key")),
-                    pa.array((starts - words.first[text]).astype(np.int32)),
-                ],
-                ["key", "check", "doc_id", "text_key", "start"],
-            )
+        node = np.repeat(np.asarray(batch["node"], np.int64), BANDS)
+        zero = np.zeros_like(node)
+        yield _dealt(0, [np.asarray(batch["keys"].flatten(), np.int64), zero, node, zero, zero], parts)
+
+
+def _pair_answer(entries: np.ndarray, groups: np.ndarray) -> list[tuple[bool, np.ndarray]]:
+    return [(True, entries[[0, 2]])]
 
 
-def _several(rows: DataFrame, *keys: str) -> DataFrame:
-    """The keys that two documents have."""
-    ends = rows.groupBy(*keys).agg(F.min("doc_id").alias("low_id"), F.max("doc_id").alias("high_id"))
-    return ends.where("low_id <> high_id").drop("low_id", "high_id")
+def _unpacked(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in _stacked(batch, len(names))], names)
+
+
+def _gathered(rows: pa.Table) -> pa.Table:
+    """The distinct places of each text of a slice."""
+    doc, key, at = found = _stacked(rows, 3)
+    doc, key, at = found[:, np.lexsort([at, key, doc])]
+    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (at[1:] != at[:-1])])
+    doc, key, at = doc[new], key[new], at[new]
+    begins = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])]))
+    offsets = np.append(begins, len(at)).astype(np.int32)
+    ats = pa.ListArray.from_arrays(pa.array(offsets), pa.array(at.astype(np.int32)))
+    return pa.table([pa.array(doc[begins]), pa.array(key[begins]), ats], ["doc_id", "text_key", "ats"])
+
+
+def _joined(rows: pa.Table) -> pa.Table:
+    """The pieces of a slice, those put together that touch and whose first places are in step with them."""
+    doc, key, start, n_words, first_doc, first_start, first_key = _stacked(rows, 7)
+    run = np.stack([doc, key, first_doc, first_key, first_start - start])
+    order = np.lexsort([start, *run])
+    run, start, end = run[:, order], start[order], (start + n_words)[order]
+    other = np.concatenate([[True], (run[:, 1:] != run[:, :-1]).any(0)])
+    far = np.cumsum(other) << 32  # ends of one run are below those of the next
+    reached = np.maximum.accumulate(end + far) - far
+    begins = np.flatnonzero(other | np.concatenate([[True], start[1:] > reached[:-1]]))
+    doc, key, first_doc, first_key, shift = run[:, begins]
+    start, end = start[begins], np.maximum.reduceat(end, begins)
+    columns = [doc, key, start, end - start, first_doc, start + shift, first_key]
+    return pa.table([pa.array(c.astype(k)) for c, k in zip(columns, _PIECE_KINDS, strict=True)], _PIECE)
+
+
+_PIECE = ["doc_id", "text_key", "start", "n_words", "component_id", "component_start", "component_key"]
+_PIECE_KINDS = [np.int64, np.int64, np.int32, np.int32, np.int64, np.int32, np.int64]
+_PIECES = "doc_id bigint, text_key bigint, start int, n_words int, component_id bigint, component_start int, component_key bigint"
 
 
 def _placed(rows: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
@@ -140,44 +276,30 @@ def _first():
     return F.min(F.struct("doc_id", "start", "text_key")).alias("first")
 
 
-def _passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Passages of equal blocks at their full length."""
-    known = docs.select("doc_id", "text").mapInArrow(partial(_anchored, part=None), "key bigint, doc_id bigint")
-    known = scratch.written(_several(known, "key"))
-    found = [_part_passages(docs, known, part, scratch) for part in range(PASSES)]
-    return _in_step(reduce(DataFrame.union, found).drop("removed"))
+def _asked(dealt: DataFrame, width: int, parts: int, answer: Callable, pairs: bool = False) -> DataFrame:
+    """The answers (slice, settled, data) to dealt entries; equal values meet in one task."""
+    dealt = dealt.repartitionById(parts, "part")
+    return dealt.mapInArrow(partial(_shared, width=width, pairs=pairs, answer=answer), "slice bigint, settled boolean, data binary")
 
 
-def _part_passages(docs: DataFrame, known: DataFrame, part: int, scratch: Scratch) -> DataFrame:
-    """The passages that the anchors of one part of the ``known`` keys find, written."""
-    rows = docs.mapInArrow(
-        partial(_anchored, part=part),
-        "key bigint, doc_id bigint, text_key bigint, at int, start int, n_words int, around bigint, before bigint, behind bigint",
-    )
-    rows = scratch.written(rows.join(known, "key", "left_semi"))
-    firsts = rows.groupBy("key").agg(_first(), F.min("around").alias("low"), F.max("around").alias("high"))
-    firsts = scratch.written(firsts)
-    settled = _placed(rows, firsts.where("low = high").select("key", "first"), ["key"])
-    settled = scratch.written(_in_step(settled).drop("removed"))
-    mixed = scratch.written(rows.join(firsts.where("low <> high").select("key"), "key", "left_semi"))
-    scratch.drop(rows, firsts)
-    sides = [mixed.select(F.col(s).alias("side"), "doc_id", "text_key", "at").where("side <> 0") for s in ("before", "behind")]
-    sides = sides[0].union(sides[1])
-    around = sides.join(_several(sides, "side"), "side", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("ats"))
-    around = scratch.written(around)
-    scratch.drop(mixed)
+def _parts(docs: DataFrame) -> int:
+    return 1 + (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES
+
+
+def _passages(docs: DataFrame, parts: int, scratch: Scratch) -> DataFrame:
+    """Passages of equal blocks at their full length."""
+    found = scratch.written(_asked(docs.mapInArrow(partial(_anchored, parts=parts), _DEALT), 8, parts, _anchor_answer))
+    settled = scratch.written(found.where("settled").groupBy("slice").applyInArrow(_joined, _PIECES))
+    sides = found.where("NOT settled").groupBy("slice").applyInArrow(lambda rows: _sided(rows, parts), _DEALT)
+    around = _asked(sides, 5, parts, _side_answer).groupBy("slice").applyInArrow(_gathered, "doc_id bigint, text_key bigint, ats array<int>")
+    around = scratch.written(around.dropDuplicates(["doc_id", "text_key"]))
+    scratch.drop(found)
     own = around.select(F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"), "ats")
     texts = docs.join(own, F.expr("text_key = own_key AND doc_id = own_id")).select("doc_id", "text_key", "text", "ats")
-    blocks = scratch.written(texts.mapInArrow(_blocks, "key bigint, check bigint, doc_id bigint, text_key bigint, start int"))
+    equal = _asked(texts.mapInArrow(partial(_blocks, parts=parts), _DEALT), 5, parts, _block_answer, pairs=True)
+    equal = scratch.written(equal.groupBy("slice").applyInArrow(_joined, _PIECES))
     scratch.drop(around)
-    keys = ["key", "check"]
-    ends = blocks.groupBy(*keys).agg(_first(), F.max("doc_id").alias("high_id")).where("first.doc_id <> high_id")
-    equal = _placed(blocks.withColumn("n_words", F.lit(LEAST_WORDS)), ends.drop("high_id"), keys)
-    equal = scratch.written(_in_step(equal).drop("removed"))
-    scratch.drop(blocks)
-    found = scratch.written(_in_step(settled.union(equal)))
-    scratch.drop(settled, equal)
-    return found
+    return _in_step(settled.union(equal))
 
 
 def _in_step(rows: DataFrame) -> DataFrame:
@@ -232,7 +354,7 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # The hashes of shingles are random, so an odd factor gives each minimum an order of its own.
     factors = [mix(np.array([k + 1], np.uint64)) | np.uint64(1) for k in range(ROWS * BANDS)]
     for batch in batches:
-        for a, b in text_slices(batch["text"]):
+        for a, b in text_slices(batch["text"], SLICE_BYTES):
             own = batch.slice(a, b - a)
             words = find_words(own["text"])
             hashes = words.hashes(lower=True)
@@ -264,7 +386,7 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Text, sketch and parities of the paragraphs ``spans`` (node, start, n_words) of each text."""
     for batch in batches:
-        for a, b in text_slices(batch["text"]):
+        for a, b in text_slices(batch["text"], SLICE_BYTES):
             own = batch.slice(a, b - a)
             words = find_words(own["text"])
             hashes = words.hashes(lower=True)
@@ -288,14 +410,15 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _near_paragraphs(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def _near_paragraphs(docs: DataFrame, parts: int, scratch: Scratch) -> DataFrame:
     """Lines and blocks of lines that are near copies of others, of other documents."""
     rows = scratch.written(
         docs.mapInArrow(_banded, "node bigint, doc_id bigint, text_key bigint, start int, n_words int, keys array<bigint>")
     )
-    listed = rows.select("node", F.explode("keys").alias("value")).distinct()
-    several = listed.groupBy("value").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    listed = scratch.written(listed.join(several.select("value"), "value", "left_semi"))
+    listed = rows.select("node", "keys").mapInArrow(partial(_paired, parts=parts), _DEALT)
+    listed = _asked(listed, 5, parts, _pair_answer).select("data")
+    listed = listed.mapInArrow(partial(_unpacked, names=["value", "node"]), "value bigint, node bigint")
+    listed = scratch.written(listed.distinct())
     place = F.struct("doc_id", "text_key", "start", "n_words")
     one = rows.join(listed.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(place).alias("p"))
     one = one.groupBy(F.col("p.doc_id").alias("own_id"), F.col("p.text_key").alias("own_key")).agg(
@@ -328,10 +451,11 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
 
 def _repeated(docs: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).where("doc_id IS NOT NULL AND text IS NOT NULL")
+    parts = _parts(docs)
     with Scratch(docs.sparkSession) as scratch:
-        passages = keep(_passages(docs, scratch).select(*_FOUND))
+        passages = keep(_passages(docs, parts, scratch).select(*_FOUND))
     with Scratch(docs.sparkSession) as scratch:
-        near = keep(_near_paragraphs(docs, scratch).select(*_FOUND))
+        near = keep(_near_paragraphs(docs, parts, scratch).select(*_FOUND))
     return passages.union(near).distinct()
 
 
