@@ -112,6 +112,22 @@ def test_full_join_forms_agree(frame):
     assert rows(joins.full_join(left, right, ["k"])) == rows(joins.full_join(left, right, ["k"], True))
 
 
+def test_full_join_of_many_rows_packs_a_small_right_side(spark, frame, monkeypatch):
+    left = frame([("a", 1, [1]), ("a", 1, [1]), ("a", None, None), ("b", 2, [2]), (None, 3, [3])], "k string, v int, w array<int>")
+    right = spark.sql("SELECT * FROM VALUES ('a', 7, 'x'), ('a', 7, 'x'), ('a', NULL, NULL), ('c', 8, 'y'), (NULL, 9, 'z') AS _(k, `n.1`, t)")
+    plain, packed = joins.full_join(left, right, ["k"]), joins.full_join(left, right, ["k"], many=True)
+    assert packed.dtypes == plain.dtypes and packed.count() == 13
+    assert rows(packed) == rows(plain)
+    plan = packed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate inline" in plan and "collect_list" in plan
+    keys = right.select("k")
+    assert rows(joins.full_join(left, keys, ["k"], many=True)) == rows(joins.full_join(left, keys, ["k"]))
+    monkeypatch.setattr(joins, "is_small", lambda df: False)
+    large = joins.full_join(left, right, ["k"], many=True)
+    assert "Generate" not in large._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(large) == rows(plain)
+
+
 def test_distinct_people_do_not_add_up(frame):
     df = frame([("p", "GO"), ("p", "RS"), ("q", "GO"), ("q", "GO"), ("r", None)], "p string, uf string")
     got = rows(aggregate.distinct_by_level(df, "p", "uf", "n"), "uf", "n", "nivel")

@@ -178,6 +178,17 @@ def test_scholarship_people_are_joined_before_payments_are_repeated(spark, frame
     assert -1 < plan.index("Union") < plan.index("(id_pessoa#")
 
 
+def test_scholarship_payments_meet_one_list_for_each_institution(spark, frame):
+    payments = frame([(1, 10, 2024), (1, 11, 2025), (3, 12, 2025)], "id_entidade_emec int, id_pessoa bigint, ano_pagamento int")
+    by_state = spark.sql("SELECT * FROM VALUES ('1', 'GO', 3), ('1', 'SP', 3), ('2', 'RS', 4) AS _(cd_entidade_emec, nm_uf, me_referencia)")
+    panel = teachers.scholarship_panel(payments, by_state)
+    assert rows(panel, "id_entidade_emec", "id_pessoa", "nm_uf", "mes_referencia_geo") == rows(frame(
+        [("1", 10, "GO", 3), ("1", 10, "SP", 3), ("1", 11, "GO", 3), ("1", 11, "SP", 3), ("3", 12, None, None), ("2", None, "RS", 4)],
+        "e string, p bigint, uf string, m int",
+    ))
+    assert "Generate inline" in panel._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_infrastructure_full_join(frame, municipio):
     names = frame([], "id_escola string, nome string")
     sources = {"censo": census_frame(frame), "escola": names, "municipio": municipio}
